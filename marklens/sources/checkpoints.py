@@ -1,0 +1,26 @@
+"""Cutting the lineage of a table that several jobs read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of the cluster; a scratch folder only in local mode."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="marklens-checkpoint-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute once and keep in reliable storage, so a lost executor costs nothing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
