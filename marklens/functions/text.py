@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from marklens.functions.scoring import raw_mean
 from marklens.spec import DEFAULT_SPEC, ScorecardSpec
 
-# White space at either end, Unicode spaces and separators included.
-_EDGE_SPACE = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
+# The characters Python counts as white space.
+_WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 # Java alone also reads "5d" or "0x1p3" as numbers; this pattern does not.
 _REAL_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def strip(column: Column) -> Column:
-    return F.regexp_replace(column, _EDGE_SPACE, "")
+    """Without white space at either end, as ``str.strip`` leaves it."""
+    return F.trim(column, F.lit(_WHITE_SPACE))
 
 
 def to_long(column: Column) -> Column:
@@ -26,10 +31,9 @@ def to_long(column: Column) -> Column:
 
 
 def to_double(column: Column) -> Column:
-    """Finite number in a text, or null; "NaN" and "inf" count as no number."""
+    """Number in a text, or null; the words "NaN" and "inf" count as no number."""
     text = strip(column)
-    number = F.when(text.rlike(_REAL_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.when(text.rlike(_REAL_NUMBER), text.try_cast("double"))
 
 
 def matches_pattern(

@@ -28,6 +28,8 @@ MARK_RANGE = "Marks must be between 0 and 100."
 KEY_RANGE = "Student ID must be at least 1."
 TOO_MANY_HOURS = "Study hours must not exceed {limit:g}."
 
+HOT_KEYS = 1000
+
 
 def parse(submissions: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     """Typed columns; text that is no number becomes null."""
@@ -94,31 +96,34 @@ def validate(
     new, other fields are numbers, name, attendance, hours, marks.
 
     What the rules need to know about a key is gathered once per key, so a key
-    with many rows is combined map-side. That table goes back to the rows
-    through a shuffle of its own, which lets adaptive execution split the rows
-    of a hot key. Rows without a key join on values no key has, spread over the
-    partitions instead of meeting in one.
+    with many rows is combined map-side, and then joined back to the rows: for
+    the HOT_KEYS keys with most rows by a broadcast, for the others through a
+    shuffle, in which none of them has more than 1/HOT_KEYS of the rows. Rows
+    that need nothing from the shuffle join on a value no key has, which spreads
+    them over the partitions instead of sending them all to one.
     """
     rows = parse(submissions, spec).withColumns(
         {"key_fault": key_fault(spec), "own_fault": own_fault(spec)}
     )
-    good = F.col("own_fault").isNull()
-    firsts = (
-        rows.filter(F.col("key_fault").isNull())
-        .groupBy(spec.key)
-        .agg(F.min(F.when(good, F.col(INGEST_ORDER))).alias("first_good"))
+    facts = _key_facts(rows, stored, spec)
+    most_rows = facts.orderBy(F.col("key_rows").desc(), spec.key).limit(HOT_KEYS)
+    hot = most_rows.select(
+        F.col(spec.key).alias("hot_key"),
+        F.col("first_good").alias("hot_first"),
+        F.col("is_stored").alias("hot_stored"),
     )
-    present = existing_keys(firsts, stored, spec).withColumn("is_stored", F.lit(True))
-    facts = (
-        firsts.join(present, spec.key, "left")
-        .withColumnRenamed(spec.key, "fact_key")
-        .repartition("fact_key")
+    # True of every key: with the same columns in use, both joins read one shuffle.
+    cold = facts.filter(F.col("key_rows") > 0).withColumnRenamed(spec.key, "cold_key")
+
+    served = F.col("key_fault").isNotNull() | F.col("hot_key").isNotNull()
+    join_key = F.when(served, -1 - F.abs(INGEST_ORDER)).otherwise(F.col(spec.key))
+    duplicate = F.coalesce("hot_stored", "is_stored") | (
+        F.col(INGEST_ORDER) > F.coalesce("hot_first", "first_good")
     )
-    join_key = F.coalesce(F.col(spec.key), -1 - F.col(INGEST_ORDER))
-    duplicate = F.col("is_stored") | (F.col(INGEST_ORDER) > F.col("first_good"))
     return (
-        rows.withColumn("join_key", join_key)
-        .join(facts, F.col("join_key") == F.col("fact_key"), "left")
+        rows.join(F.broadcast(hot), F.col(spec.key) == F.col("hot_key"), "left")
+        .withColumn("join_key", join_key)
+        .join(cold, F.col("join_key") == F.col("cold_key"), "left")
         .withColumn(
             REJECT_REASON,
             F.coalesce("key_fault", F.when(duplicate, DUPLICATE_KEY), "own_fault"),
@@ -127,6 +132,21 @@ def validate(
     )
 
 
+def _key_facts(rows: DataFrame, stored: DataFrame, spec: ScorecardSpec) -> DataFrame:
+    """Per key: rows in the batch, first row fit to be stored, and whether it is stored."""
+    fit = F.col("own_fault").isNull()
+    per_key = (
+        rows.filter(F.col("key_fault").isNull() & F.col(spec.key).isNotNull())
+        .groupBy(spec.key)
+        .agg(
+            F.count(F.lit(1)).alias("key_rows"),
+            F.min(F.when(fit, F.col(INGEST_ORDER))).alias("first_good"),
+        )
+    )
+    present = existing_keys(per_key, stored, spec).withColumn("is_stored", F.lit(True))
+    return per_key.join(present, spec.key, "left")
+
+
 def accepted(validated: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     return validated.filter(F.col(REJECT_REASON).isNull()).select(*spec.columns)
 

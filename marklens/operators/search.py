@@ -17,8 +17,8 @@ def find_by_key(df: DataFrame, key: int, spec: ScorecardSpec = DEFAULT_SPEC) ->
 def find_by_keys(
     df: DataFrame, keys: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Records whose key is in a key table, which may repeat keys."""
-    return df.join(keys.select(spec.key), spec.key, "left_semi")
+    """Records whose key is in a key table; repeated keys collapse before the join."""
+    return df.join(keys.select(spec.key).distinct(), spec.key, "left_semi")
 
 
 def search(

@@ -79,7 +79,7 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name and group per customer; the customer key is the table's unique key."""
     return table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Gender")
-    )
+    ).filter(F.col("c_custkey").isNotNull())
 
 
 def with_identity(core: DataFrame, people: DataFrame) -> DataFrame:
@@ -98,13 +98,13 @@ def name_few(few: DataFrame, people: DataFrame) -> DataFrame:
     The head is the broadcast side, so the customers are scanned and never
     shuffled. An outer join cannot broadcast its kept side; records without a
     customer come back through the union instead. One partition makes the head
-    a single shuffle result that both branches reuse.
+    a single shuffle result that both branches reuse; the null-safe comparison
+    keeps a null filter, and with it a difference, out of the one branch.
     """
     few = few.repartition(1)
-    columns = [c for c in few.columns]
-    named = people.join(F.broadcast(few), people["c_custkey"] == few[CUSTOMER_KEY]).select(
-        *columns, "Name", "Gender"
-    )
+    columns = few.columns
+    same_customer = people["c_custkey"].eqNullSafe(few[CUSTOMER_KEY])
+    named = people.join(F.broadcast(few), same_customer).select(*columns, "Name", "Gender")
     nothing = F.lit(None).cast("string")
     unnamed = few.withColumns({"Name": nothing, "Gender": nothing})
     return (
