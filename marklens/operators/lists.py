@@ -88,10 +88,14 @@ def best_rows_per_subject(
     """The k highest marks in each subject, with the other columns carried along.
 
     The rank filter sits right on the window, so each task drops all but its own
-    k rows per subject before the shuffle.
+    k rows per subject before the shuffle. The subjects are stacked rather than
+    unpivoted: two uses of an unpivot that carries columns along do not share
+    its shuffle.
     """
     carried = [c for c in df.columns if c not in spec.subjects]
-    long = df.unpivot(carried, list(spec.subjects), "Subject", "Mark")
+    marks = [cell for s in spec.subjects for cell in (F.lit(s), F.col(s))]
+    stacked = F.stack(F.lit(len(spec.subjects)), *marks).alias("Subject", "Mark")
+    long = df.select(*carried, stacked)
     best = Window.partitionBy("Subject").orderBy(F.col("Mark").desc_nulls_last(), spec.key)
     ranked = long.withColumn("Rank", F.row_number().over(best)).filter(F.col("Rank") <= k)
     return ranked.withColumn("Rank", F.col("Rank").cast("bigint"))

@@ -14,12 +14,15 @@ from pyspark.sql.streaming.query import StreamingQuery
 from marklens.operators import ingest
 from marklens.spec import DEFAULT_SPEC, INGEST_ORDER, REJECT_REASON, ScorecardSpec
 
+VERDICT = "verdict"
+ACCEPTED, REFUSED = "accepted", "refused"
+
 
 def read_stream(
     spark: SparkSession, path: str, spec: ScorecardSpec = DEFAULT_SPEC
 ) -> DataFrame:
     """Submission files that carry their own ``Ingest_Order`` column."""
-    schema = spec.submission_schema.add(INGEST_ORDER, "bigint")
+    schema = spec.submission_schema.add(INGEST_ORDER, "long")
     reader = spark.readStream.option("header", True).option("escape", '"')
     return reader.schema(schema).csv(path)
 
@@ -33,13 +36,13 @@ def check_rows(
 
 
 def stage(checked: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write what is there now, split into folders of good and refused rows."""
+    """Write what is there now, into one folder per verdict."""
     refused = F.col(REJECT_REASON).isNotNull()
     return (
-        checked.withColumn("refused", refused)
+        checked.withColumn(VERDICT, F.when(refused, REFUSED).otherwise(ACCEPTED))
         .writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy("refused")
+        .partitionBy(VERDICT)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
