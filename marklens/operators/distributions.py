@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import pairwise
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,55 +86,99 @@ def attendance_histogram(
     return dense_counts(df, ["Bin_Start", "Bin_End"], cases, "Students")
 
 
-def mark_frequencies(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    """Distinct marks per subject with their counts; equal marks meet map-side."""
-    cleaned = df.select(*[clean(s).alias(s) for s in spec.subjects])
-    long = cleaned.unpivot([], list(spec.subjects), "Subject", "Mark")
+def _long_marks(df: DataFrame, spec: ScorecardSpec, bins: int) -> DataFrame:
+    """One row per mark, with the subject's number, the mark's bin and its cell.
+
+    Bins and cells are numbered in the order of the marks; a bin has ``bins``
+    cells, and no two subjects share a bin number. Marks outside the range
+    belong to the first or the last bin. All but the mark are whole numbers,
+    which makes for fast grouping and joining.
+    """
+    stacked = F.stack(
+        F.lit(len(spec.subjects)),
+        *[cell for i, s in enumerate(spec.subjects) for cell in (F.lit(i), clean(s))],
+    ).alias("subject", "Mark")
+    share = (F.col("Mark") - spec.mark_min) / (spec.mark_max - spec.mark_min)
+    inside = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+    bin_in_subject = (F.col("cell") / bins).cast("bigint")
     return (
-        long.filter(F.col("Mark").isNotNull())
-        .groupBy("Subject", "Mark")
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.select(stacked)
+        .filter(F.col("Mark").isNotNull())
+        .withColumn("cell", (inside * (bins * bins)).cast("bigint"))
+        .withColumn("bin", F.col("subject") * F.lit(bins + 1) + bin_in_subject)
     )
 
 
-def _cumulative(freq: DataFrame, spec: ScorecardSpec, bins: int) -> DataFrame:
-    """Frequencies with the running count of marks up to each one.
+def _wanted_ranks() -> list[Column]:
+    """Positions, from 0, of the marks on both sides of each quartile."""
+    positions = [(F.col("total") - 1) * p for _, p in QUARTILES]
+    return [f(p).cast("bigint") for p in positions for f in (F.floor, F.ceil)]
+
 
-    A running count over a whole subject would be one task. It is split in two:
-    totals per bin, of which there are at most ``bins + 1`` per subject, and the
-    running count inside each bin, which runs in parallel over the bins.
+def _quartile_bins(long: DataFrame) -> DataFrame:
+    """Bins that hold a wanted rank, with the count of marks before each bin.
+
+    The counts are taken map-side; a subject has at most ``bins + 1`` of them.
     """
-    share = (F.col("Mark") - spec.mark_min) / (spec.mark_max - spec.mark_min)
-    bin_number = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins))
-    binned = freq.withColumn("bin", bin_number)
-    subject = Window.partitionBy("Subject")
-    earlier = subject.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        binned.groupBy("Subject", "bin")
-        .agg(F.sum("n").alias("bin_n"))
+    of_subject = Window.partitionBy("subject")
+    earlier = of_subject.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = long.groupBy("subject", "bin").agg(
+        F.count(F.lit(1)).alias("bin_n"), F.min("Mark").alias("low"), F.max("Mark").alias("high")
+    )
+    totals = counts.select(
+        "subject",
+        "bin",
+        "bin_n",
+        F.coalesce(F.sum("bin_n").over(earlier), F.lit(0)).alias("before"),
+        F.sum("bin_n").over(of_subject).alias("total"),
+        F.min("low").over(of_subject).alias("minimum"),
+        F.max("high").over(of_subject).alias("maximum"),
+    )
+    end = F.col("before") + F.col("bin_n")
+    holds_rank = reduce(or_, [(F.col("before") <= r) & (r < end) for r in _wanted_ranks()])
+    return totals.filter(holds_rank).drop("subject", "bin_n")
+
+
+def _ranked_marks(long: DataFrame) -> DataFrame:
+    """Distinct marks of the quartile bins with the running count up to each.
+
+    Equal marks meet map-side. The running count is split into counts per cell
+    and a count inside each cell, so it runs in parallel over the cells.
+    """
+    facts = ["subject", "bin", "before", "total", "minimum", "maximum"]
+    marks = (
+        long.join(F.broadcast(_quartile_bins(long)), "bin")
+        .groupBy(*facts, "cell", "Mark")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    earlier = (
+        Window.partitionBy("bin")
+        .orderBy("cell")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    cells = (
+        marks.groupBy("bin", "cell")
+        .agg(F.sum("n").alias("cell_n"))
         .select(
-            "Subject",
             "bin",
-            F.coalesce(F.sum("bin_n").over(earlier), F.lit(0)).alias("before"),
-            F.sum("bin_n").over(subject).alias("total"),
+            "cell",
+            F.coalesce(F.sum("cell_n").over(earlier), F.lit(0)).alias("before_cell"),
         )
     )
     inside = (
-        Window.partitionBy("Subject", "bin")
+        Window.partitionBy("bin", "cell")
         .orderBy("Mark")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return binned.join(F.broadcast(totals), ["Subject", "bin"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(inside)
-    )
+    upto = F.col("before") + F.col("before_cell") + F.sum("n").over(inside)
+    return marks.join(cells, ["bin", "cell"]).withColumn("upto", upto)
 
 
 def _quantile(p: float) -> Column:
     """Linear interpolation between the two marks around position (n-1)p."""
-    position = (F.max("total") - 1) * p
-    rank = (F.col("total") - 1) * p
-    low = F.min(F.when(F.col("upto") > F.floor(rank), F.col("Mark")))
-    high = F.min(F.when(F.col("upto") > F.ceil(rank), F.col("Mark")))
+    position = (F.col("total") - 1) * p
+    low = F.min(F.when(F.col("upto") > F.floor(position), F.col("Mark")))
+    high = F.min(F.when(F.col("upto") > F.ceil(position), F.col("Mark")))
     return low + (high - low) * (position - F.floor(position))
 
 
@@ -142,36 +188,41 @@ def subject_box(
     """Exact quartiles, fences, whiskers and outlier counts per subject.
 
     ``percentile`` would gather all distinct marks of a subject in one buffer.
-    Here the records are read once into frequencies, and every later step works
-    on that shuffle result. The broadcasts have at most ``bins + 1`` rows and
-    one row per subject.
+    Instead, one pass counts the marks per bin, one looks at the marks of the
+    few bins the quartiles fall in, and one compares marks with the fences. The
+    broadcasts have at most six bins and one pair of fences per subject.
     """
-    freq = mark_frequencies(df, spec)
+    long = _long_marks(df, spec, bins)
     iqr = F.col("Q3") - F.col("Q1")
     box = (
-        _cumulative(freq, spec, bins)
-        .groupBy("Subject")
-        .agg(
-            F.max("total").alias("Marks"),
-            F.min("Mark").alias("Minimum"),
-            *[_quantile(p).alias(name) for name, p in QUARTILES],
-            F.max("Mark").alias("Maximum"),
-        )
+        _ranked_marks(long)
+        .groupBy("subject", "total", "minimum", "maximum")
+        .agg(*[_quantile(p).alias(name) for name, p in QUARTILES])
         .withColumns(
-            {
-                "Lower_Fence": F.col("Q1") - 1.5 * iqr,
-                "Upper_Fence": F.col("Q3") + 1.5 * iqr,
-            }
+            {"Lower_Fence": F.col("Q1") - 1.5 * iqr, "Upper_Fence": F.col("Q3") + 1.5 * iqr}
         )
     )
+    fences = F.broadcast(box.select("subject", "Lower_Fence", "Upper_Fence"))
     within = F.col("Mark").between(F.col("Lower_Fence"), F.col("Upper_Fence"))
     reach = (
-        freq.join(F.broadcast(box.select("Subject", "Lower_Fence", "Upper_Fence")), "Subject")
-        .groupBy("Subject")
+        long.join(fences, "subject")
+        .groupBy("subject")
         .agg(
             F.min(F.when(within, F.col("Mark"))).alias("Lower_Whisker"),
             F.max(F.when(within, F.col("Mark"))).alias("Upper_Whisker"),
-            F.sum(F.when(within, 0).otherwise(F.col("n"))).alias("Outliers"),
+            F.count_if(~within).alias("Outliers"),
         )
     )
-    return box.join(F.broadcast(reach), "Subject")
+    names = F.array(*[F.lit(s) for s in spec.subjects])
+    return box.join(F.broadcast(reach), "subject").select(
+        F.element_at(names, F.col("subject") + 1).alias("Subject"),
+        F.col("total").alias("Marks"),
+        F.col("minimum").alias("Minimum"),
+        *[name for name, _ in QUARTILES],
+        F.col("maximum").alias("Maximum"),
+        "Lower_Fence",
+        "Upper_Fence",
+        "Lower_Whisker",
+        "Upper_Whisker",
+        "Outliers",
+    )
