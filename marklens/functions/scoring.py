@@ -12,8 +12,8 @@ from marklens.spec import AVERAGE, DEFAULT_SPEC, GRADE, STATUS, ScorecardSpec
 
 # The three risk reasons.
 REASON_BOTH = "Low attendance and low marks"
-REASON_ATTENDANCE = "Attendance below 75%"
-REASON_AVERAGE = "Average below 50"
+REASON_ATTENDANCE = "Attendance below {floor:g}%"
+REASON_AVERAGE = "Average below {floor:g}"
 
 
 def clean(column: str) -> Column:
@@ -64,8 +64,8 @@ def risk_reason(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
     low_average = F.col(AVERAGE) < spec.average_floor
     return (
         F.when(low_attendance & low_average, REASON_BOTH)
-        .when(low_attendance, REASON_ATTENDANCE)
-        .otherwise(REASON_AVERAGE)
+        .when(low_attendance, REASON_ATTENDANCE.format(floor=spec.attendance_floor))
+        .otherwise(REASON_AVERAGE.format(floor=spec.average_floor))
     )
 
 

@@ -23,7 +23,7 @@ DUPLICATE_KEY = "Student ID already exists!"
 BLANK_NAME = "Name cannot be empty."
 ATTENDANCE_RANGE = "Attendance must be between 0 and 100."
 NEGATIVE_HOURS = "Study hours cannot be negative."
-MARK_RANGE = "Marks must be between 0 and 100."
+MARK_RANGE = "Marks must be between {low:g} and {high:g}."
 # Messages for limits that the form's input fields impose.
 KEY_RANGE = "Student ID must be at least 1."
 TOO_MANY_HOURS = "Study hours must not exceed {limit:g}."
@@ -32,12 +32,16 @@ HOT_KEYS = 1000
 
 
 def parse(submissions: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    """Typed columns; text that is no number becomes null."""
+    """Typed columns; text that is no number becomes null, a missing column is blank."""
+
+    def text(column: str) -> Column:
+        return F.col(column) if column in submissions.columns else F.lit("")
+
     return submissions.select(
-        to_long(F.col(spec.key)).alias(spec.key),
-        strip(F.col(spec.name)).alias(spec.name),
-        strip(F.col(spec.group)).alias(spec.group),
-        *[to_double(F.col(c)).alias(c) for c in spec.numeric],
+        to_long(text(spec.key)).alias(spec.key),
+        strip(text(spec.name)).alias(spec.name),
+        strip(text(spec.group)).alias(spec.group),
+        *[to_double(text(c)).alias(c) for c in spec.numeric],
         INGEST_ORDER,
     )
 
@@ -58,7 +62,7 @@ def own_fault(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
         fault = fault.when(
             hours > spec.hours_max, TOO_MANY_HOURS.format(limit=spec.hours_max)
         )
-    return fault.when(bad_mark, MARK_RANGE)
+    return fault.when(bad_mark, MARK_RANGE.format(low=spec.mark_min, high=spec.mark_max))
 
 
 def key_fault(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:

@@ -12,7 +12,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="marklens-checkpoint-")
     if not context.getCheckpointDir():

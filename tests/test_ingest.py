@@ -1,11 +1,15 @@
 import random
+from dataclasses import replace
 
 import pytest
 
 from marklens.operators import ingest
 from marklens.sources import records as store
+from marklens.spec import DEFAULT_SPEC
 from samples import column, record, records, submitted
 
+MARK_RANGE = "Marks must be between 0 and 100."
+
 
 def reasons(spark, rows, stored=()):
     base = records(spark, [record(k) for k in stored])
@@ -32,8 +36,8 @@ def reasons(spark, rows, stored=()):
         ({"Attendance": "-0.1"}, ingest.ATTENDANCE_RANGE),
         ({"Study_Hours": "-0.5", "Math": "101"}, ingest.NEGATIVE_HOURS),
         ({"Study_Hours": "24.5", "Math": "101"}, "Study hours must not exceed 24."),
-        ({"Science": "100.5"}, ingest.MARK_RANGE),
-        ({"English": "-1"}, ingest.MARK_RANGE),
+        ({"Science": "100.5"}, MARK_RANGE),
+        ({"English": "-1"}, MARK_RANGE),
         ({"Attendance": "0", "Study_Hours": "24", "Math": "0", "English": "100"}, None),
     ],
 )
@@ -49,7 +53,22 @@ def test_first_acceptable_row_of_a_key_wins(spark):
         {"Student_ID": " 7", "Math": "x"},
     ]
     dup = ingest.DUPLICATE_KEY
-    assert reasons(spark, rows) == [ingest.MARK_RANGE, None, dup, dup]
+    assert reasons(spark, rows) == [MARK_RANGE, None, dup, dup]
+
+
+def test_missing_columns_are_blank(spark):
+    batch = submitted(spark, [{"Student_ID": "1"}]).drop("Gender")
+    (row,) = ingest.validate(batch, records(spark, [])).collect()
+    assert (row.Gender, row.Reject_Reason) == ("", None)
+    (row,) = ingest.validate(batch.drop("Math"), records(spark, [])).collect()
+    assert (row.Math, row.Reject_Reason) == (None, ingest.NOT_A_NUMBER)
+
+
+def test_without_an_upper_limit_for_hours(spark):
+    spec = replace(DEFAULT_SPEC, hours_max=None)
+    batch = submitted(spark, [{"Study_Hours": "30"}])
+    assert column(ingest.validate(batch, records(spark, []), spec), "Reject_Reason") == [None]
+    assert reasons(spark, [{"Study_Hours": "30"}]) == ["Study hours must not exceed 24."]
 
 
 def test_append_adds_only_new_keys(spark):
@@ -99,7 +118,7 @@ def one_at_a_time(rows, stored):
         elif not row["Name"].strip():
             verdicts.append(ingest.BLANK_NAME)
         elif float(row["Math"]) > 100:
-            verdicts.append(ingest.MARK_RANGE)
+            verdicts.append(MARK_RANGE)
         else:
             known.add(int(text))
             verdicts.append(None)

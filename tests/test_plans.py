@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from marklens.operators import ingest
 from marklens.sources import warehouse as wh
 from samples import final_plan, record, records
 
@@ -75,11 +76,18 @@ def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject(limit=5" in final_plan(queries()["sql_top_students"](spark, SF))
 
 
-def test_top_per_subject_limits_before_the_shuffle(spark):
-    plan = final_plan(queries()["top3_per_subject"](spark, SF))
-    # The plan prints from the top, so the partial limit follows its shuffle.
-    final, partial = (m.start() for m in re.finditer("WindowGroupLimit", plan))
-    assert "Exchange hashpartitioning(Subject" in plan[final:partial]
+def test_top_per_subject_keeps_k_rows_per_task(spark):
+    df = queries()["top3_per_subject"](spark, SF)
+    plan = final_plan(df).split("ReusedExchange")[0]
+    assert plan.count("TakeOrderedAndProject(limit=3") == 3
+
+
+def test_hot_keys_of_a_batch_have_a_bound(shuffled):
+    plan = final_plan(queries()["validate_rejects"](shuffled, SF))
+    assert plan.count("BroadcastExchange") == 1
+    assert f"TakeOrderedAndProject(limit={ingest.HOT_KEYS}" in plan
+    # Rows, facts per key, keys alone; the second join reads the same facts.
+    assert sorted(scans(plan)) == ["events", "events", "events", "orders"]
 
 
 def test_naming_the_best_never_shuffles_the_customers(shuffled):

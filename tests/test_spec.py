@@ -1,0 +1,65 @@
+"""The operators on another kind of table."""
+
+from marklens.functions.scoring import risk_reason, score
+from marklens.operators import distributions, ingest, lists, model, stats
+from marklens.spec import INGEST_ORDER, ScorecardSpec
+from samples import column, one
+
+SPEC = ScorecardSpec(
+    key="site",
+    name="label",
+    group="region",
+    attendance="uptime",
+    hours="load",
+    subjects=("speed", "safety"),
+    bands=((8.0, "good"), (5.0, "fair")),
+    lowest_band="poor",
+    pass_mark=5.0,
+    passed="KEEP",
+    failed="DROP",
+    attendance_floor=99.5,
+    average_floor=4.0,
+    mark_max=10.0,
+)
+
+
+def sites(spark):
+    rows = [
+        (1, "a", "n", 99.9, 2.0, 9.0, 8.0),
+        (2, "b", "n", 99.0, 3.0, 6.0, 5.0),
+        (3, "c", "s", 99.6, 1.0, 3.0, 4.0),
+    ]
+    return spark.createDataFrame(rows, SPEC.schema)
+
+
+def test_scores_and_lists(spark):
+    scored = score(sites(spark), SPEC)
+    assert column(scored, "Average") == [8.5, 5.5, 3.5]
+    assert column(scored, "Grade") == ["good", "fair", "poor"]
+    assert column(scored, "Status") == ["KEEP", "KEEP", "DROP"]
+    assert column(lists.at_risk(scored, SPEC), "site") == [3, 2]
+    reasons = lists.at_risk(scored, SPEC).select(risk_reason(SPEC).alias("r"))
+    assert column(reasons, "r") == ["Average below 4", "Attendance below 99.5%"]
+    best = {r.Subject: r.site for r in lists.top_per_subject(sites(spark), 1, SPEC).collect()}
+    assert best == {"speed": 1, "safety": 1}
+
+
+def test_summaries(spark):
+    scored = score(sites(spark), SPEC)
+    row = one(stats.class_statistics(scored, SPEC))
+    assert (row["speed_Average"], row["Passed"], row["Failed"]) == (6.0, 2, 1)
+    dense = distributions.grade_distribution_dense(scored, SPEC)
+    assert [tuple(r) for r in dense.collect()] == [("good", 1), ("fair", 1), ("poor", 1)]
+    box = {r.Subject: r.Median for r in distributions.subject_box(sites(spark), SPEC).collect()}
+    assert box == {"speed": 6.0, "safety": 5.0}
+    assert set(column(model.label_support(sites(spark), SPEC), "Support_Category")) == {"High support"}
+
+
+def test_validation(spark):
+    rows = [("4", "d", "s", "100", "1", "10", "10", 0), ("5", "e", "s", "100", "1", "11", "0", 1), ("1", "f", "s", "100", "1", "1", "1", 2)]
+    schema = SPEC.submission_schema.add(INGEST_ORDER, "long")
+    checked = ingest.validate(spark.createDataFrame(rows, schema), sites(spark), SPEC)
+    got = column(checked.orderBy(INGEST_ORDER), "Reject_Reason")
+    assert got[0] is None
+    assert got[2] == ingest.DUPLICATE_KEY
+    assert got[1].startswith("Marks must be between 0 and")

@@ -19,7 +19,7 @@ def test_staged_rows_join_the_table(spark, tmp_path):
 
     rows = spark.read.parquet(staged)
     refused = rows.filter(F.col(stream.VERDICT) == stream.REFUSED).orderBy("Ingest_Order")
-    assert column(refused, "Reject_Reason") == [ingest.NOT_A_NUMBER, ingest.MARK_RANGE]
+    assert column(refused, "Reject_Reason") == [ingest.NOT_A_NUMBER, "Marks must be between 0 and 100."]
 
     good = rows.filter(F.col(stream.VERDICT) == stream.ACCEPTED)
     ingest.append_to(good, table)
