@@ -16,7 +16,8 @@ marks AS (
 ),
 records AS (
   SELECT o_orderkey AS Student_ID, c_name AS Name, c_mktsegment AS Gender,
-         round(50 + o_totalprice / 10000, 2) AS Attendance,
+         (5000 + (CAST(round(o_totalprice * 100) AS BIGINT) + 5000) // 10000) / 100
+           AS Attendance,
          CAST(1 + day(o_orderdate) % 8 AS DOUBLE) AS Study_Hours,
          CAST(q AS DOUBLE) / n AS Math,
          CAST(d AS DOUBLE) / n AS Science,
@@ -30,7 +31,7 @@ means AS (
   SELECT *, (Math + Science + English) / 3 AS mean FROM records
 ),
 averaged AS (
-  SELECT *, round(mean, 2) AS Average FROM means
+  SELECT *, CAST(round(CAST(mean AS DECIMAL(18, 10)), 2) AS DOUBLE) AS Average FROM means
 ),
 scored AS (
   SELECT *,
