@@ -14,9 +14,10 @@ _WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_WHOLE_NUMBER = r"^[+-]?[0-9]+$"
-# Java alone also reads "5d" or "0x1p3" as numbers; this pattern does not.
-_REAL_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Only these characters may occur; the cast does the rest. Left to itself it
+# would read "5d" as a number, and be slow on text that is none.
+_WHOLE_NUMBER = "^[-+0-9]+$"
+_REAL_NUMBER = "^[-+.0-9eE]+$"
 
 
 def strip(column: Column) -> Column:
@@ -26,14 +27,20 @@ def strip(column: Column) -> Column:
 
 def to_long(column: Column) -> Column:
     """Whole number in a text, or null."""
-    text = strip(column)
-    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint"))
+    return _number(column, _WHOLE_NUMBER, "bigint")
 
 
 def to_double(column: Column) -> Column:
     """Number in a text, or null; the words "NaN" and "inf" count as no number."""
-    text = strip(column)
-    return F.when(text.rlike(_REAL_NUMBER), text.try_cast("double"))
+    return _number(column, _REAL_NUMBER, "double")
+
+
+def _number(column: Column, pattern: str, type_name: str) -> Column:
+    """Text that is a number as it stands is not trimmed first."""
+    stripped = strip(column)
+    return F.when(column.rlike(pattern), column.try_cast(type_name)).when(
+        stripped.rlike(pattern), stripped.try_cast(type_name)
+    )
 
 
 def matches_pattern(
