@@ -18,7 +18,6 @@ from marklens.operators import distributions as dist
 from marklens.operators import evaluate, ingest, lists, model, search, split, stats
 from marklens.plans import views
 from marklens.sources import warehouse as wh
-from marklens.sources.checkpoints import materialise
 from marklens.spec import AVERAGE, GRADE, STATUS, SUPPORT
 from marklens.spec import DEFAULT_SPEC as SPEC
 
@@ -295,23 +294,14 @@ def explain_support(spark, sf_dir):
     return core.select(SPEC.key, explanation().alias("Explanation"))
 
 
-def _hold_out_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on four fifths of the records, predict the rest."""
-    labelled = _core_labelled(spark, sf_dir)
-    divided = materialise(split.stratified_split(labelled, SUPPORT, SPEC.key, LABELS))
-    tree = model.train(divided.filter(~F.col(split.IS_TEST)))
-    return model.predict(tree, divided.filter(split.IS_TEST).drop(split.IS_TEST))
-
-
 @query
 def predict_support(spark, sf_dir):
-    return model.with_advice(_hold_out_predictions(spark, sf_dir))
+    return model.with_advice(model.train_and_hold_out(_core_labelled(spark, sf_dir)).predicted)
 
 
 @query
 def tree_evaluation(spark, sf_dir):
-    predicted = _hold_out_predictions(spark, sf_dir)
-    return evaluate.evaluation_metrics(predicted, SUPPORT, model.PREDICTED, LABELS)
+    return model.evaluation(model.train_and_hold_out(_core_labelled(spark, sf_dir)))
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:

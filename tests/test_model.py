@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marklens.operators import evaluate, model, split
-from marklens.plans.catalogue import LABELS, _core_labelled, _hold_out_predictions
+from marklens.plans.catalogue import LABELS, _core_labelled
 from marklens.spec import DEFAULT_SPEC, SUPPORT
 from samples import column, one, record, records
 
@@ -53,9 +53,12 @@ def test_split_is_repeatable(spark):
 
 
 def test_tree_on_held_out_records(spark):
-    predicted = _hold_out_predictions(spark, SF).cache()
-    metrics = one(evaluate.evaluation_metrics(predicted, SUPPORT, model.PREDICTED, LABELS))
+    hold_out = model.train_and_hold_out(_core_labelled(spark, SF))
+    predicted = hold_out.predicted.cache()
+    metrics = one(model.evaluation(hold_out))
     assert metrics["Accuracy"] >= 0.80
+    assert metrics["Test_Samples"] == predicted.count()
+    assert metrics["Training_Samples"] == hold_out.training.count() == 12_000
     labels = set(column(predicted.select(model.PREDICTED).distinct(), model.PREDICTED))
     assert labels <= set(LABELS)
     cells = evaluate.confusion_matrix(predicted, SUPPORT, model.PREDICTED, LABELS)
