@@ -19,9 +19,18 @@ from marklens.spec import INGEST_ORDER
 
 CUSTOMER_KEY = "customer_key"
 
+# The columns in use. A known schema saves the job that looks for one.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_quantity double, l_discount double, l_tax double",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,38 +41,31 @@ def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines before the shuffle.
     """
 
-    def total(column: str, factor: float):
-        return F.sum(F.floor(F.col(column) * factor + 0.5)).cast("double")
+    def mean(column: str, factor: int) -> Column:
+        return F.expr(f"cast(sum(floor({column} * {factor} + 0.5D)) AS double) / count(*)")
 
-    lines = F.count(F.lit(1))
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            (total("l_quantity", 2) / lines).alias("Math"),
-            (total("l_discount", 1000) / lines).alias("Science"),
-            (total("l_tax", 1250) / lines).alias("English"),
-        )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    return lines.agg(
+        mean("l_quantity", 2).alias("Math"),
+        mean("l_discount", 1000).alias("Science"),
+        mean("l_tax", 1250).alias("English"),
     )
 
 
 def settled(df: DataFrame) -> DataFrame:
     """Orders that are closed; they play the part of records already stored."""
-    return df.filter(F.col("o_orderstatus") == "F")
+    return df.filter("o_orderstatus = 'F'")
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders")
 
 
-def _attendance(price: Column) -> Column:
-    """50 plus a ten-thousandth of the price, rounded half up to two decimals.
-
-    Counted in whole cents, because a price on the edge between two hundredths
-    has no exact double and engines round it differently.
-    """
-    cents = F.floor(price * 100 + 0.5)
-    return (5000 + F.floor((cents + 5000) / 10000)) / 100
+# 50 plus a ten-thousandth of the price, rounded half up to two decimals. Counted
+# in whole cents, because a price on the edge between two hundredths has no exact
+# double and engines round it differently.
+_CENTS = "floor(o_totalprice * 100 + 0.5D)"
+_ATTENDANCE = f"(5000 + floor(({_CENTS} + 5000) / 10000)) / 100"
 
 
 def core_records(
@@ -72,24 +74,22 @@ def core_records(
     """Records without name and group, with the customer key instead."""
     headers = order_headers(spark, sf_dir) if orders is None else orders
     line_marks = marks(spark, sf_dir)
-    return headers.join(
-        line_marks, headers.o_orderkey == line_marks.l_orderkey, "left"
-    ).select(
-        F.col("o_orderkey").alias("Student_ID"),
-        _attendance(F.col("o_totalprice")).alias("Attendance"),
-        (1 + F.dayofmonth("o_orderdate") % 8).cast("double").alias("Study_Hours"),
+    same_order = headers["o_orderkey"] == line_marks["l_orderkey"]
+    return headers.join(line_marks, same_order, "left").selectExpr(
+        "o_orderkey AS Student_ID",
+        f"{_ATTENDANCE} AS Attendance",
+        "cast(1 + dayofmonth(o_orderdate) % 8 AS double) AS Study_Hours",
         "Math",
         "Science",
         "English",
-        F.col("o_custkey").alias(CUSTOMER_KEY),
+        f"o_custkey AS {CUSTOMER_KEY}",
     )
 
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name and group per customer; the customer key is the table's unique key."""
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Gender")
-    ).filter(F.col("c_custkey").isNotNull())
+    people = table(spark, sf_dir, "customer").filter("c_custkey IS NOT NULL")
+    return people.selectExpr("c_custkey", "c_name AS Name", "c_mktsegment AS Gender")
 
 
 def with_identity(core: DataFrame, people: DataFrame) -> DataFrame:
@@ -156,20 +156,14 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     past the allowed ranges on their own, and users submit many times.
     """
     events = table(spark, sf_dir, "events")
-    kind, user = F.col("event_type"), F.col("user_id").cast("string")
-    k = F.get_json_object("props", "$.k")
-    return events.select(
-        F.when(kind == "error", kind)
-        .otherwise(F.concat(F.lit(" "), user, F.lit(" ")))
-        .alias("Student_ID"),
-        F.when(kind == "view", "  ")
-        .otherwise(F.concat(F.lit(" "), kind, F.lit(" "), user))
-        .alias("Name"),
-        kind.alias("Gender"),
-        F.col("value").cast("string").alias("Attendance"),
-        (k.try_cast("double") / 4).cast("string").alias("Study_Hours"),
-        k.alias("Math"),
-        (99 - k.try_cast("int")).cast("string").alias("Science"),
-        F.when(kind == "click", F.col("props")).otherwise(k).alias("English"),
-        F.col("event_id").alias(INGEST_ORDER),
+    return events.withColumn("k", F.get_json_object("props", "$.k")).selectExpr(
+        "if(event_type = 'error', event_type, concat(' ', user_id, ' ')) AS Student_ID",
+        "if(event_type = 'view', '  ', concat(' ', event_type, ' ', user_id)) AS Name",
+        "event_type AS Gender",
+        "cast(value AS string) AS Attendance",
+        "cast(try_cast(k AS double) / 4 AS string) AS Study_Hours",
+        "k AS Math",
+        "cast(99 - try_cast(k AS int) AS string) AS Science",
+        "if(event_type = 'click', props, k) AS English",
+        f"event_id AS {INGEST_ORDER}",
     )
