@@ -31,8 +31,19 @@ def confusion_matrix_wide(
     df: DataFrame, actual: str, predicted: str, labels: Sequence[str]
 ) -> DataFrame:
     """One row per actual label and one column per predicted label."""
-    cells = confusion_matrix(df, actual, predicted, labels)
-    return cells.groupBy("Actual").pivot("Predicted", list(labels)).agg(F.sum("Samples"))
+    cells = [
+        F.count_if((F.col(actual) == a) & (F.col(predicted) == p)).alias(f"{i}_{j}")
+        for i, a in enumerate(labels)
+        for j, p in enumerate(labels)
+    ]
+    rows = [
+        F.struct(
+            F.lit(a).alias("Actual"),
+            *[F.col(f"{i}_{j}").alias(p) for j, p in enumerate(labels)],
+        )
+        for i, a in enumerate(labels)
+    ]
+    return df.agg(*cells).select(F.inline(F.array(*rows)))
 
 
 def _ratio(part: Column, whole: Column) -> Column:

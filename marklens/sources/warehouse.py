@@ -103,18 +103,19 @@ def with_identity(core: DataFrame, people: DataFrame) -> DataFrame:
 
 
 def name_few(few: DataFrame, people: DataFrame) -> DataFrame:
-    """Attach name and group to a head of a few records (a top-k or one key).
-
-    The head is the broadcast side, so the customers are scanned and never
-    shuffled. An outer join cannot broadcast its kept side; records without a
-    customer come back through the union instead. One partition makes the head
-    a single shuffle result that both branches reuse; the null-safe comparison
-    keeps a null filter, and with it a difference, out of the one branch.
+    """Attach name and group to a head of few records (a top-k or one key).
+
+    The limit tells Spark how small the head is, so it is the side that gets
+    broadcast, and the customers are scanned without a shuffle. An outer join
+    cannot broadcast its kept side; records without a customer come back through
+    the union instead. One partition makes the head a single shuffle result that
+    both branches reuse; the null-safe comparison keeps a null filter, and with
+    it a difference, out of the one branch.
     """
     few = few.repartition(1)
     columns = few.columns
     same_customer = people["c_custkey"].eqNullSafe(few[CUSTOMER_KEY])
-    named = people.join(F.broadcast(few), same_customer).select(*columns, "Name", "Gender")
+    named = people.join(few, same_customer).select(*columns, "Name", "Gender")
     nothing = F.lit(None).cast("string")
     unnamed = few.withColumns({"Name": nothing, "Gender": nothing})
     return (

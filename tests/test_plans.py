@@ -89,10 +89,21 @@ def test_hot_keys_of_a_batch_have_a_bound(shuffled):
     assert sorted(scans(plan)) == ["events", "events", "events", "orders"]
 
 
-def test_naming_the_best_never_shuffles_the_customers(shuffled):
-    plan = final_plan(queries()["top_students"](shuffled, SF))
-    assert not re.search(r"hashpartitioning\(c_custkey", plan)
-    assert "BroadcastHashJoin" in plan
+@pytest.mark.parametrize(
+    ("name", "limit"), [("top_students", "2k"), ("top3_per_subject", "2k"), ("find_by_id", "64k")]
+)
+def test_naming_the_best_never_shuffles_the_customers(spark, name, limit):
+    """The limit alone makes the winners the broadcast side."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, limit)
+    try:
+        plan = final_plan(queries()[name](spark, SF))
+    finally:
+        spark.conf.set(threshold, before)
+    assert not re.search(r"hashpartitioning\((coalesce\()?c_custkey", plan)
+    assert re.search(r"BroadcastHashJoin \[coalesce\(c_custkey", plan)
+    assert sorted(scans(plan)) == ["customer", "lineitem", "orders"]
 
 
 def test_filters_run_before_names_are_joined(shuffled):
