@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marklens.functions.rounding import round_half_up
 from marklens.spec import AVERAGE, DEFAULT_SPEC, GRADE, STATUS, ScorecardSpec
 
 # The three risk reasons.
@@ -26,7 +27,7 @@ def raw_mean(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
 
 
 def average(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
-    return F.round(raw_mean(spec), 2)
+    return round_half_up(raw_mean(spec), 2)
 
 
 def grade(spec: ScorecardSpec = DEFAULT_SPEC, column: str = AVERAGE) -> Column:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from marklens.functions import scoring, text
 from marklens.functions.advice import HIGH_SUPPORT, ON_TRACK, suggestions
+from marklens.functions.rounding import round_half_up
 from marklens.operators import model
 from samples import EXPECTED, column, one, record, records, sample
 
@@ -126,6 +127,26 @@ def test_text_to_number(spark, value, number, real):
     assert (row["n"], row["r"]) == (number, real)
 
 
+def test_fast_rounding_equals_spark_rounding(spark):
+    ids = spark.range(200_000)
+    hand_made = [0.0, -0.0, 1.005, 2.675, 0.125, 0.135, -0.125, -1.005, 1e6, 1e15 + 0.3, 1e300]
+    hand_made += [float("nan"), float("inf"), float("-inf"), None, 0.005, 0.00499999999, 99.995]
+    values = spark.createDataFrame([(v,) for v in hand_made], "x double")
+    for column in (
+        (F.rand(1) - 0.5) * 200,
+        F.floor(F.rand(2) * 100_000) / 1000,  # one in ten a tie
+        F.floor(F.rand(3) * 300) / 3,
+        F.floor(F.rand(4) * 1e6) / 8,
+        F.rand(5) * 1e9,
+    ):
+        values = values.union(ids.select(column))
+    for digits in (0, 1, 2):
+        rounded = values.select(
+            "x", round_half_up(F.col("x"), digits).alias("fast"), F.round("x", digits).alias("slow")
+        )
+        assert rounded.filter(~F.col("fast").eqNullSafe(F.col("slow"))).take(5) == []
+
+
 def test_average_preview_rounds_like_python(spark):
     marks = [(50.0, 50.0, 50.015), (33.0, 33.0, 33.015), (89.985, 90.0, 90.0)]
     df = records(spark, [record(i, 80.0, 4.0, *m) for i, m in enumerate(marks, 1)])
