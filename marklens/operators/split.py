@@ -23,54 +23,58 @@ def stratified_split(
 
     Rows are ordered by a hash of the unique key and the first ones are the test
     rows. Ranking a label in one window would sort a third of the table in one
-    task. Instead, counts per label and hash bucket show in which bucket the cut
-    falls, only that bucket is ranked, and every row then compares its own hash
+    task. Instead, counts per slot (a label's hash bucket) show in which slot the
+    cut falls, only that slot is ranked, and every row then compares its own hash
     with the cut. The broadcasts have one row per label. Rows with a label not
     in ``labels`` are training rows.
     """
-    hashed = df.withColumn("h", F.xxhash64(key)).withColumn(
-        "bucket", F.shiftrightunsigned("h", 64 - bucket_bits)
+    buckets = 1 << bucket_bits
+    number = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)) - 1
+    hashed = df.withColumns({"split_label": number, "split_hash": F.xxhash64(key)}).withColumn(
+        "split_slot",
+        F.col("split_label") * F.lit(buckets) + F.shiftrightunsigned("split_hash", 64 - bucket_bits),
     )
-    known = hashed.filter(F.col(label).isin(*labels)).select(label, key, "h", "bucket")
+    known = hashed.filter(F.col("split_label") >= 0).select("split_slot", "split_hash", key)
 
-    of_label = Window.partitionBy(label)
-    running = of_label.orderBy("bucket").rowsBetween(
+    of_label = Window.partitionBy("split_label")
+    running = of_label.orderBy("split_slot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    cut_buckets = (
-        known.groupBy(label, "bucket")
+    upto, wanted, n = F.col("upto"), F.col("wanted"), F.col("n")
+    cut_slots = (
+        known.groupBy("split_slot")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("split_label", F.floor(F.col("split_slot") / buckets))
         .select(
-            F.col(label).alias("cut_label"),
-            F.col("bucket").alias("cut_bucket"),
+            "split_slot",
             "n",
             F.sum("n").over(running).alias("upto"),
             F.round(F.sum("n").over(of_label) * share).cast("bigint").alias("wanted"),
         )
-        .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .withColumn("rank_in_bucket", F.col("wanted") - F.col("upto") + F.col("n"))
-        .select("cut_label", "cut_bucket", "rank_in_bucket")
+        .filter((upto >= wanted) & (upto - n < wanted))
+        .select("split_slot", (wanted - upto + n).alias("rank_in_slot"))
     )
 
-    here = (F.col(label) == F.col("cut_label")) & (F.col("bucket") == F.col("cut_bucket"))
-    by_hash = Window.partitionBy("cut_label").orderBy("h", key)
+    by_hash = Window.partitionBy("split_slot").orderBy("split_hash", key)
     cuts = (
-        known.join(F.broadcast(cut_buckets), here)
+        known.join(F.broadcast(cut_slots), "split_slot")
         .withColumn("rank", F.row_number().over(by_hash))
-        .filter(F.col("rank") == F.col("rank_in_bucket"))
-        .select("cut_label", "cut_bucket", F.col("h").alias("cut_h"), F.col(key).alias("cut_key"))
+        .filter(F.col("rank") == F.col("rank_in_slot"))
+        .select(
+            F.floor(F.col("split_slot") / buckets).alias("cut_label"),
+            F.col("split_slot").alias("cut_slot"),
+            F.col("split_hash").alias("cut_h"),
+            F.col(key).alias("cut_key"),
+        )
     )
 
     # Hashes of one bucket share their top bits, so signed comparison is in order there.
-    before_cut = (F.col("bucket") < F.col("cut_bucket")) | (
-        (F.col("bucket") == F.col("cut_bucket"))
-        & (
-            (F.col("h") < F.col("cut_h"))
-            | ((F.col("h") == F.col("cut_h")) & (F.col(key) <= F.col("cut_key")))
-        )
+    same_slot, same_hash = F.col("split_slot") == F.col("cut_slot"), F.col("split_hash") == F.col("cut_h")
+    before_cut = (F.col("split_slot") < F.col("cut_slot")) | (
+        same_slot & ((F.col("split_hash") < F.col("cut_h")) | (same_hash & (F.col(key) <= F.col("cut_key"))))
     )
     return (
-        hashed.join(F.broadcast(cuts), F.col(label) == F.col("cut_label"), "left")
+        hashed.join(F.broadcast(cuts), F.col("split_label") == F.col("cut_label"), "left")
         .withColumn(IS_TEST, F.coalesce(before_cut, F.lit(False)))
         .select(*df.columns, IS_TEST)
     )
