@@ -30,11 +30,12 @@ def stratified_split(
     """
     buckets = 1 << bucket_bits
     number = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)) - 1
-    hashed = df.withColumns({"split_label": number, "split_hash": F.xxhash64(key)}).withColumn(
-        "split_slot",
-        F.col("split_label") * F.lit(buckets) + F.shiftrightunsigned("split_hash", 64 - bucket_bits),
-    )
+    bucket = F.shiftrightunsigned("split_hash", 64 - bucket_bits)
+    hashed = df.withColumns(
+        {"split_label": number, "split_hash": F.xxhash64(key)}
+    ).withColumn("split_slot", F.col("split_label") * F.lit(buckets) + bucket)
     known = hashed.filter(F.col("split_label") >= 0).select("split_slot", "split_hash", key)
+    label_of_slot = F.floor(F.col("split_slot") / buckets)
 
     of_label = Window.partitionBy("split_label")
     running = of_label.orderBy("split_slot").rowsBetween(
@@ -44,7 +45,7 @@ def stratified_split(
     cut_slots = (
         known.groupBy("split_slot")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("split_label", F.floor(F.col("split_slot") / buckets))
+        .withColumn("split_label", label_of_slot)
         .select(
             "split_slot",
             "n",
@@ -61,21 +62,21 @@ def stratified_split(
         .withColumn("rank", F.row_number().over(by_hash))
         .filter(F.col("rank") == F.col("rank_in_slot"))
         .select(
-            F.floor(F.col("split_slot") / buckets).alias("cut_label"),
+            label_of_slot.alias("cut_label"),
             F.col("split_slot").alias("cut_slot"),
-            F.col("split_hash").alias("cut_h"),
+            F.col("split_hash").alias("cut_hash"),
             F.col(key).alias("cut_key"),
         )
     )
 
     # Hashes of one bucket share their top bits, so signed comparison is in order there.
-    same_slot, same_hash = F.col("split_slot") == F.col("cut_slot"), F.col("split_hash") == F.col("cut_h")
-    before_cut = (F.col("split_slot") < F.col("cut_slot")) | (
-        same_slot & ((F.col("split_hash") < F.col("cut_h")) | (same_hash & (F.col(key) <= F.col("cut_key"))))
-    )
+    slot, hash_ = F.col("split_slot"), F.col("split_hash")
+    cut_slot, cut_hash = F.col("cut_slot"), F.col("cut_hash")
+    earlier_key = (hash_ == cut_hash) & (F.col(key) <= F.col("cut_key"))
+    is_test = (slot < cut_slot) | ((slot == cut_slot) & ((hash_ < cut_hash) | earlier_key))
     return (
         hashed.join(F.broadcast(cuts), F.col("split_label") == F.col("cut_label"), "left")
-        .withColumn(IS_TEST, F.coalesce(before_cut, F.lit(False)))
+        .withColumn(IS_TEST, F.coalesce(is_test, F.lit(False)))
         .select(*df.columns, IS_TEST)
     )
 
