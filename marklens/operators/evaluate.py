@@ -124,8 +124,9 @@ def classification_report(
     # One row holding the class rows and the three summary rows.
     nothing = F.lit(None).cast("double")
     accuracy = _ratio(F.max("hits"), F.max("total"))
+    class_row = F.struct("position", "Label", *measures, "Support")
     folded = rows.agg(
-        F.array_sort(F.collect_list(F.struct("position", "Label", *measures, "Support"))).alias("c"),
+        F.array_sort(F.collect_list(class_row)).alias("c"),
         F.array(
             _summary(len(labels), "accuracy", [nothing, nothing, accuracy], support),
             _summary(len(labels) + 1, "macro avg", [F.avg(m) for m in measures], support),
