@@ -8,9 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import neardup, sharding
+from marklens.llm import bpe, neardup, sharding
 from marklens.llm.storage import table, workspace
 
+#: Name of the vocabulary file among those of the public tokenizers.
+VOCABULARY = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -41,3 +44,19 @@ def op1_virtual_slots(spark, sf_dir):
 @query
 def op9_lsh_forest(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_distinct_words(spark, sf_dir, vocabulary=None):
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path(VOCABULARY)
+    spec = bpe.load_spec(vocabulary)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), spec).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return bpe.decode(encoded, spec).select("row.*", F.sha2("text", 256).alias("decoded_sha256"))
