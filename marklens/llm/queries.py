@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, neardup, sharding
+from marklens.llm import bpe, neardup, secrets, sharding
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -41,6 +41,13 @@ def op1_virtual_slots(spark, sf_dir):
     )
 
 
+@query
+def op5_ownership_frequency(spark, sf_dir):
+    """A document is a repository of its own here, its source the owner."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(docs, docs["doc_id"], docs["source"])
+
+
 @query
 def op9_lsh_forest(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
