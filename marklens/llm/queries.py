@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, neardup, secrets, sharding
+from marklens.llm import bpe, licenses, neardup, secrets, sharding
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -48,6 +48,11 @@ def op5_ownership_frequency(spark, sf_dir):
     return secrets.report(docs, docs["doc_id"], docs["source"])
 
 
+@query
+def op7_diagonal_voting(spark, sf_dir):
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_lsh_forest(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
