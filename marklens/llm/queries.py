@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, licenses, neardup, secrets, sharding
+from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, secrets, sharding
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -41,6 +41,12 @@ def op1_virtual_slots(spark, sf_dir):
     )
 
 
+@query
+def op3_template_windows(spark, sf_dir):
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.report(docs, benchmark)
+
+
 @query
 def op5_ownership_frequency(spark, sf_dir):
     """A document is a repository of its own here, its source the owner."""
@@ -48,6 +54,12 @@ def op5_ownership_frequency(spark, sf_dir):
     return secrets.report(docs, docs["doc_id"], docs["source"])
 
 
+@query
+def op6_improbable_features(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return fingerprint.edited_likeness(docs, fingerprint.rarity(docs))
+
+
 @query
 def op7_diagonal_voting(spark, sf_dir):
     return licenses.report(table(spark, sf_dir, "documents"))
