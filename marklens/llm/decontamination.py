@@ -79,6 +79,15 @@ def _kinds(w: Words, units: np.ndarray) -> np.ndarray:
     return kinds
 
 
+def _folded(data: np.ndarray) -> np.ndarray:
+    """Accented capitals of two bytes (Latin-1) as small letters; A-Z stay."""
+    lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+    lead = lead[(data[lead] >= 0x80) & (data[lead] <= 0x9E) & (data[lead] != 0x97)]
+    data = data.copy()
+    data[lead] += 0x20
+    return data
+
+
 def _unit_hashes() -> np.ndarray:
     raw = np.frombuffer("\n".join(UNITS).encode(), np.uint8)
     return words(raw, np.array([0, len(raw)]), PLAIN).hashes
@@ -90,6 +99,7 @@ def _windows(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa
     units, size = _unit_hashes(), windows.words
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
+        data = _folded(data)
         for low, high in chunks(offsets):
             w = words(data, offsets[low : high + 1], PLAIN)
             kinds = _kinds(w, units)

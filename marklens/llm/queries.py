@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, secrets, sharding
+from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, quality, secrets, sharding
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -47,6 +47,22 @@ def op3_template_windows(spark, sf_dir):
     return decontamination.report(docs, benchmark)
 
 
+@query
+def op4_site_bayes(spark, sf_dir):
+    """The source is the host here, the language its path."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    known = labels.select("doc_id", labels["quality"].alias("label"))
+    scored, _ = quality.score(docs.select("doc_id", "text", "source", "lang"), known, docs["source"], docs["lang"])
+    return scored.select(
+        "row.doc_id",
+        F.round("evidence", 6).alias("evidence"),
+        F.round("host_rate", 6).alias("host_rate"),
+        F.round("path_rate", 6).alias("path_rate"),
+        F.round("probability", 6).alias("probability"),
+        (F.col("probability") >= 0.5).alias("good"),
+    )
+
+
 @query
 def op5_ownership_frequency(spark, sf_dir):
     """A document is a repository of its own here, its source the owner."""
