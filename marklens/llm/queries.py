@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, quality, secrets, sharding
+from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, quality, secrets, sharding, wrappers
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -41,6 +41,12 @@ def op1_virtual_slots(spark, sf_dir):
     )
 
 
+@query
+def op2_union_free_wrappers(spark, sf_dir):
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op3_template_windows(spark, sf_dir):
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
@@ -93,10 +99,5 @@ def op10_distinct_words(spark, sf_dir, vocabulary=None):
 
         vocabulary = public_tokenizers.path(VOCABULARY)
     spec = bpe.load_spec(vocabulary)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), spec).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return bpe.decode(encoded, spec).select("row.*", F.sha2("text", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), spec)
+    return bpe.decode(encoded, spec, digests=True)
