@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, decontamination, fingerprint, licenses, neardup, quality, secrets, sharding, wrappers
+from marklens.llm import bpe, decontamination, fingerprint, language, licenses, neardup, quality, secrets, sharding, wrappers
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -87,6 +87,13 @@ def op7_diagonal_voting(spark, sf_dir):
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_evidence_fusion(spark, sf_dir):
+    pages, docs = (table(spark, sf_dir, t) for t in ("pages", "documents"))
+    found = language.identify(pages, docs)
+    return found.withColumn("probability", F.round("probability", 6))
+
+
 @query
 def op9_lsh_forest(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
