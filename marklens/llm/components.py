@@ -27,10 +27,13 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     both = links.select("a", "b").filter("a <> b")
     both = keep(both.union(both.select("b", "a")).distinct().toDF("a", "b"), "links")
-    start = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = start.select(F.col("a").alias("id"), F.least("a", "b").alias("label"))
-    if known is not None:
-        merged = known.select("id", "label").union(labels)
+    if known is None:
+        nearest = both.groupBy("a").agg(F.min("b").alias("b"))
+        labels = nearest.select(F.col("a").alias("id"), F.least("a", "b").alias("label"))
+    else:
+        # A known label may only fall together with those of its whole component.
+        own = both.select(F.col("a").alias("id"), F.col("a").alias("label"))
+        merged = known.select("id", "label").union(own)
         labels = merged.groupBy("id").agg(F.min("label").alias("label"))
     labels = keep(labels, "labels")
     before = _total(labels)

@@ -7,11 +7,14 @@ the least prefix; where they are dense the sort itself goes deeper, up to the
 whole row of values. So depth follows the region and no bucket has a size limit.
 Neighbours are candidates only: a link holds when the full sets confirm it.
 
-In a dense region the nearest neighbours need not be the linked ones. Rows that
-have more neighbours than the reach go through another round with a wider reach,
-in which only pairs of different components are looked at, until a round finds no
-new link or no row is left. A family of near copies is one component after the
-first round, so it costs no pairs later.
+1. The next neighbour in a few trees. This joins families of near copies at a
+   cost that grows with their size, not its square.
+2. All trees. In each region (sets that share the least prefix) every component
+   stands once, and components within reach are compared in full: the members of
+   the larger in blocks, those of the smaller past each block. Regions of one
+   component, as most are by now, fall out.
+3. Components with more neighbours than the reach go again, with a wider reach,
+   until no such region is left or a round finds no link.
 
 Edge cases: a null text reads as empty; an empty set is linked with nothing; a
 row without doc_id has no component and takes no part; rows that share a doc_id
@@ -38,15 +41,19 @@ from marklens.llm.wordhash import SHINGLE, SPACED, buffers, chunks, mix, shingle
 @dataclass(frozen=True)
 class Forest:
     """trees: sort orders; depth: hash values in each; least: values that
-    candidates share at least; reach: neighbours looked at, each side; widening:
-    factor by which the reach grows in each further round; percent: intersection of a link's sets in percent of their union."""
+    candidates share at least; first_trees: trees of the first round; reach:
+    neighbours looked at, each side; widening: factor by which the reach grows in
+    each further round; percent: intersection of a link's sets in percent of their
+    union; block: members of a component that are held at a time."""
 
     trees: int = 16
     depth: int = 6
     least: int = 3
+    first_trees: int = 4
     reach: int = 8
     widening: int = 8
     percent: int = 85
+    block: int = 256
     shingle: int = SHINGLE
 
     @property
@@ -113,21 +120,21 @@ def signatures(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
 def _neighbours(
     batches: Iterator[pa.RecordBatch], forest: Forest, reach: int, estimate: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows that stand within reach in the sorted order.
+    """Pairs of components that stand within reach in the sorted order.
 
-    ``candidate``: sizes allow a link that is not known yet. ``dense``: the pair
-    stands at full reach, so there may be more beyond. ``estimate``: whole
-    signatures are there, and pairs far below the limit by them are left out. The last rows of a batch
+    ``candidate``: their set sizes allow a link. ``dense``: the pair stands at full
+    reach, so there may be more beyond. ``estimate``: signatures are there; two
+    single sets far below the limit by them are left out. The last rows of a batch
     are carried over to the next one.
     """
     width = 4 * forest.depth
+    fields = ("component", "size", "n_min", "n_max", "tree")
     carried = None
     for batch in batches:
-        fields = ("doc_id", "n_shingles", "component", "tree")
-        columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in fields]
         new = batch.num_rows
         if not new:
             continue
+        columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in fields]
         paths = b"".join(batch.column("path").to_pylist())
         columns.append(np.frombuffer(paths, np.uint8).reshape(-1, width)[:, : 4 * forest.least])
         if estimate:
@@ -135,7 +142,7 @@ def _neighbours(
             columns.append(np.frombuffer(whole, ">u4").reshape(new, -1))
         if carried is not None:
             columns = [np.concatenate(x) for x in zip(carried, columns, strict=True)]
-        ids, sizes, known, trees, keys = columns[:5]
+        ids, members, low_n, high_n, trees, keys = columns[:6]
         old = len(ids) - new
         for step in range(1, min(reach, len(ids) - 1) + 1):
             # Pairs wholly among the carried rows were seen before.
@@ -145,12 +152,13 @@ def _neighbours(
             if not len(near):
                 break  # neighbours further off share no more
             a, b = near, near + step
-            small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-            fresh = (100 * small >= forest.percent * large) & (known[a] != known[b])
+            least = np.maximum(low_n[a], low_n[b])
+            fresh = 100 * np.minimum(high_n[a], high_n[b]) >= forest.percent * least
+            fresh &= ids[a] != ids[b]
             if estimate:
-                fresh[fresh] = (
-                    columns[5][a[fresh]] == columns[5][b[fresh]]
-                ).mean(axis=1) >= forest.estimate
+                single = fresh & (members[a] == 1) & (members[b] == 1)
+                alike = (columns[6][a[single]] == columns[6][b[single]]).mean(axis=1)
+                fresh[single] = alike >= forest.estimate
             use = fresh | (step == reach)
             a, b, fresh = a[use], b[use], fresh[use]
             yield pa.RecordBatch.from_arrays(
@@ -165,23 +173,26 @@ def _neighbours(
         carried = [x[-reach:].copy() for x in columns]
 
 
-def neighbours(
-    sets: DataFrame, reach: int, forest: Forest = DEFAULT, estimate: bool = False
-) -> DataFrame:
-    """Pairs (a < b) of neighbours in any tree, as (a, b, candidate, dense).
-
-    ``sets`` has one row per distinct set, with the component known so far. The
-    sort splits a dense region over as many partitions as it needs. Neighbours on
-    either side of a partition border miss each other in that one tree only.
-    """
+def _rows(sets: DataFrame, trees: int, forest: Forest, *more: str) -> DataFrame:
+    """A row per set and tree, with its path there and the region's hash."""
     width = 4 * forest.depth
     paths = F.expr(
-        f"transform(sequence(0, {forest.trees - 1}), "
+        f"transform(sequence(0, {trees - 1}), "
         f"t -> struct(t AS tree, substring(signature, 1 + t * {width}, {width}) AS path))"
     )
-    carried = ["doc_id", "n_shingles", "component"] + ["signature"] * estimate
-    rows = sets.select(*carried, F.explode(paths).alias("at")).select(*carried, "at.*")
-    order = ("tree", "path", "doc_id")
+    rows = sets.select("component", "n_shingles", *more, F.explode(paths).alias("at"))
+    region = F.xxhash64("at.tree", F.expr(f"substring(at.path, 1, {4 * forest.least})"))
+    return rows.select("component", "n_shingles", *more, "at.tree", "at.path", region.alias("region"))
+
+
+def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = False) -> DataFrame:
+    """Pairs (a < b) of neighbouring components, as (a, b, candidate, dense).
+
+    The sort splits a dense region over as many partitions as it needs.
+    Neighbours on either side of a partition border miss each other in that one
+    tree only.
+    """
+    order = ("tree", "path", "component")
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     pairs = ordered.mapInArrow(
         partial(_neighbours, forest=forest, reach=reach, estimate=estimate),
@@ -192,50 +203,162 @@ def neighbours(
     )
 
 
+def first_pairs(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
+    """Each set with its next neighbour in the first trees."""
+    alone = sets.withColumn("component", F.col("doc_id"))
+    rows = _rows(alone, forest.first_trees, forest).select(
+        "component",
+        F.lit(1).cast("long").alias("size"),
+        F.col("n_shingles").alias("n_min"),
+        F.col("n_shingles").alias("n_max"),
+        "tree",
+        "path",
+    )
+    return neighbours(rows, 1, forest)
+
+
+def region_pairs(
+    sets: DataFrame, reach: int, forest: Forest = DEFAULT, estimate: bool = False
+) -> DataFrame:
+    """Components that meet in a region of any tree, within reach.
+
+    ``sets`` has component and its size. Regions with one component are left out
+    by their smallest and greatest component; in the others each component has
+    one row, with the range of its set sizes there.
+    """
+    more = ["size"] + ["signature"] * estimate
+    rows = _rows(sets, forest.trees, forest, *more)
+    mixed = (
+        rows.groupBy("region")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+        .select(F.col("region").alias("mixed"))
+    )
+    mixed = keep(mixed, "mixed")
+    rows = rows.join(mixed, F.col("region") == F.col("mixed"), "left_semi")
+    once = rows.groupBy("tree", "region", "component").agg(
+        F.first("size").alias("size"),
+        F.min("n_shingles").alias("n_min"),
+        F.max("n_shingles").alias("n_max"),
+        F.min("path").alias("path"),
+        *[F.first("signature").alias("signature")] * estimate,
+    )
+    return neighbours(once.drop("region"), reach, forest, estimate)
+
+
 def _compare(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
-    """Linked pairs, from rows (a, b, asked, text) in the order of a, b, asked."""
-    pair, firsts = None, []
+    """Links, from rows (base, block, side, doc_id, text) in this order: the
+    members of a block first, then the documents asked against them."""
+    seeds = _seeds(forest.trees * forest.depth)
+    block, ids, sets, signs = None, [], [], None
     for batch in batches:
-        linked = []
-        columns = [batch.column(x).to_pylist() for x in ("a", "b", "asked")]
-        for a, b, asked, found in zip(*columns, _sets(batch.column("text"), forest), strict=True):
-            if (a, b) != pair:
-                pair, firsts = (a, b), []
-            if asked == a:
-                firsts.append(found)
+        links = []
+        fields = ("base", "block", "side", "doc_id")
+        columns = [batch.column(x).to_pylist() for x in fields]
+        for base, number, side, doc, found in zip(
+            *columns, _sets(batch.column("text"), forest), strict=True
+        ):
+            if (base, number) != block:
+                block, ids, sets, signs = (base, number), [], [], None
+            if not side:
+                ids.append(doc)
+                sets.append(found)
                 continue
-            for other in firsts:
+            if not len(found) or not sets:
+                continue
+            likely = range(len(sets))
+            if len(sets) > 1:
+                if signs is None:
+                    signs = np.stack([_least_values(x, *seeds) for x in sets])
+                alike = (signs == _least_values(found, *seeds)).mean(axis=1)
+                likely = np.argsort(-alike, kind="stable")[: int((alike >= forest.estimate).sum())]
+            for i in likely:
+                other = sets[i]
+                small, large = sorted((other.size, found.size))
+                if 100 * small < forest.percent * large:
+                    continue
                 both = np.intersect1d(other, found, assume_unique=True).size
-                if both and 100 * both >= forest.percent * (other.size + found.size - both):
-                    linked.append(pair)
-                    break
+                if both and 100 * both >= forest.percent * (small + large - both):
+                    links.append((ids[i], doc))
+                    break  # one link joins the two components
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p[i] for p in linked], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
         )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
-    """The pairs (a < b) whose full shingle sets overlap enough.
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose id is among ``ids``, and a few others.
 
-    Every text is shuffled once, to meet the pairs that ask for it; then the two
-    texts of a pair meet. Where a doc_id has several texts, one that links is enough.
+    The ids' hashes set bits in a map of fixed size, which is broadcast, so that
+    the other texts need not be shuffled to find out. An exact join follows.
     """
-    asks = pairs.select("a", "b", F.col("a").alias("asked")).union(
-        pairs.select("a", "b", F.col("b"))
+    bits = 1 << 26
+
+    def place(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(bits))
+
+    maps = ids.select(place("doc_id").alias("bit")).groupBy(
+        F.bitmap_bucket_number("bit").alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    rows = docs.select("doc_id", "text", place("doc_id").alias("bit"))
+    rows = rows.join(F.broadcast(maps), F.bitmap_bucket_number("bit") == F.col("bucket"))
+    at = F.bitmap_bit_position("bit")
+    byte = F.expr("conv(hex(substring(map, cast(position div 8 AS int) + 1, 1)), 16, 10)")
+    rows = rows.withColumn("position", at).withColumn("byte", byte.cast("int"))
+    is_set = F.expr("shiftright(byte, cast(position % 8 AS int)) % 2 = 1")
+    return rows.filter(is_set).select("doc_id", "text")
+
+
+def confirmed(
+    pairs: DataFrame, members: DataFrame, docs: DataFrame, forest: Forest = DEFAULT
+) -> DataFrame:
+    """Links (a, b) between the components of each pair, one or more if there are any.
+
+    ``members``: doc_id, component and its size. The larger component is the base:
+    each member goes to one block of it. The documents of the smaller go to every
+    block. So a text is sent once for each component that it is compared with, or
+    block of it, and pairs of documents are never listed.
+    """
+    sizes = members.select(F.col("component"), "size").distinct()
+    known = pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
+    swap = F.col("size_a") >= F.col("size_b")
+    sides = known.select(
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("base"),
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("other"),
+        F.ceil(F.greatest("size_a", "size_b") / forest.block).alias("blocks"),
+    )
+    bases = sides.select("base", "blocks").distinct()
+    own = members.join(bases, F.col("component") == F.col("base")).select(
+        "base",
+        F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("long").alias("block"),
+        F.lit(0).alias("side"),
+        "doc_id",
     )
-    texts = docs.select("doc_id", "text")
-    sent = asks.join(texts, F.col("asked") == F.col("doc_id")).select("a", "b", "asked", "text")
-    met = sent.repartition("a", "b").sortWithinPartitions("a", "b", "asked")
+    asked = members.join(sides, F.col("component") == F.col("other")).select(
+        "base",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.lit(1).alias("side"),
+        "doc_id",
+    )
+    places = keep(own.union(asked).distinct(), "places")
+    texts = _only(docs, places).withColumnRenamed("doc_id", "text_id")
+    sent = places.join(texts, F.col("doc_id") == F.col("text_id")).drop("text_id")
+    met = sent.repartition("base", "block").sortWithinPartitions("base", "block", "side", "doc_id")
     return met.mapInArrow(partial(_compare, forest=forest), "a long, b long")
 
 
-def _with_component(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return sets.withColumn("component", F.col("doc_id"))
-    known = sets.join(labels, F.col("doc_id") == F.col("id"), "left").drop("id")
+def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds component and its number of sets."""
+    known = rows.join(labels, F.col("doc_id") == F.col("id"), "left").drop("id")
     return known.withColumn("component", F.coalesce("label", "doc_id")).drop("label")
 
 
+def _members(ids: DataFrame, labels: DataFrame) -> DataFrame:
+    rows = keep(_with_component(ids, labels), "members")
+    sizes = rows.groupBy("component").agg(F.count("*").alias("size"))
+    return keep(rows.join(sizes, "component"), "members")
+
+
 def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -251,24 +374,31 @@ def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
         F.first("signature").alias("signature"),
     )
     sets = keep(sets, "sets")
+    ids = sets.select("doc_id").distinct()
     # A doc_id on several rows ties their sets together, and copies their ids.
-    links = usable.join(
-        sets.select("digest", F.col("doc_id").alias("first_id")), "digest"
-    ).filter("doc_id <> first_id").select("first_id", "doc_id")
-    labels, reach, dense = None, forest.reach, sets
+    firsts = sets.select("digest", F.col("doc_id").alias("first_id"))
+    copies = usable.select("digest", "doc_id").join(firsts, "digest").filter("doc_id <> first_id")
+    pairs = keep(first_pairs(sets, forest), "pairs").filter("candidate").select("a", "b")
+    alone = ids.select("doc_id", F.col("doc_id").alias("component"), F.lit(1).alias("size"))
+    found = confirmed(pairs, alone, docs, forest)
+    links = keep(found.union(copies.select("first_id", "doc_id")), "links")
+    labels = components(links)
+    asked, reach = sets, forest.reach
     while True:
-        asked = _with_component(dense, labels)
-        wider = labels is not None
-        pairs = keep(neighbours(asked, reach, forest, wider), "pairs")
-        found = confirmed(pairs.filter("candidate").select("a", "b"), docs, forest)
-        found = keep(found if wider else found.union(links), "found")
-        if wider and found.isEmpty():
+        members = _members(ids, labels)
+        placed = asked.drop("component", "size").join(members, "doc_id")
+        wider = reach > forest.reach
+        pairs = keep(region_pairs(placed, reach, forest, wider), "pairs")
+        found = confirmed(pairs.filter("candidate").select("a", "b"), members, docs, forest)
+        found = keep(found, "found")
+        if found.isEmpty():
             break
-        labels = components(found.toDF("a", "b"), labels)
         crowded = pairs.filter("dense")
         crowded = crowded.select("a").union(crowded.select("b")).distinct()
-        dense = keep(dense.join(crowded, F.col("doc_id") == F.col("a"), "left_semi"), "dense")
-        if dense.isEmpty():
+        crowded = members.join(crowded, F.col("component") == F.col("a"), "left_semi")
+        asked = keep(asked.join(crowded.select("doc_id"), "doc_id", "left_semi"), "dense")
+        labels = components(found, labels)
+        if asked.isEmpty():
             break
         reach *= forest.widening
     rows = signed.drop("signature", "digest").join(
