@@ -1,8 +1,8 @@
 """BPE encoding and decoding by a table of distinct words.
 
-Words are what stands between blanks, tabs and line ends; the tokenizers served
-here drop white space and never join text across it, so a text's ids are its
-words' ids in turn. Each distinct word is encoded once; ids come back to every
+Words are what stands between blanks and line ends; the tokenizers served here drop
+white space and never join text across it, so a text's ids are its words' ids in
+turn. Each distinct word is encoded once; ids come back to every
 place of the word by a join. Decoding joins each id with its piece.
 
 The word table is broadcast, so its size is bounded: it holds the most frequent
@@ -23,6 +23,7 @@ import json
 import os
 from collections.abc import Iterator
 from functools import partial
+from hashlib import sha256
 from pathlib import Path
 
 import numpy as np
@@ -33,9 +34,8 @@ from pyspark.sql import functions as F
 
 from marklens.llm.storage import keep
 
-LIMIT = 400_000
+LIMIT = 800_000
 LONGEST = 48
-BLANKS = "[ \\t\\n\\r]+"
 
 
 def load_spec(path: str) -> str:
@@ -67,7 +67,9 @@ def _encode_words(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.R
 
 
 def _places(docs: DataFrame):
-    return F.split(F.coalesce("text", F.lit("")), BLANKS)
+    """The words; empty where blanks meet. One plain blank splits fastest."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    return F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
 
 
 def word_table(docs: DataFrame, spec: str, limit: int = LIMIT) -> DataFrame:
@@ -103,9 +105,6 @@ class _Texts:
             raise ValueError("places of a text are out of order")
         self.next = int(places[-1]) + 1
 
-    def spelled(self) -> str:
-        return b"".join(self.parts).decode().removeprefix(" ")
-
 
 def _gather(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """One row of ids per text, from its places in order."""
@@ -175,23 +174,29 @@ def encode(docs: DataFrame, spec: str, limit: int = LIMIT) -> DataFrame:
 
 
 def pieces(spark: SparkSession, spec: str) -> DataFrame:
-    """Piece of every id; as many rows as the vocabulary has."""
+    """Piece of every id, a blank before it; as many rows as the vocabulary has."""
     described = json.loads(spec)
-    rows = {number: piece for piece, number in described["model"]["vocab"].items()}
-    rows |= {x["id"]: x["content"] for x in described["added_tokens"]}
+    rows = {number: " " + piece for piece, number in described["model"]["vocab"].items()}
+    rows |= {x["id"]: " " + x["content"] for x in described["added_tokens"]}
     return spark.createDataFrame(sorted(rows.items()), "id int, piece string")
 
 
-def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spell(batches: Iterator[pa.RecordBatch], digests: bool) -> Iterator[pa.RecordBatch]:
     """One text per run of places: its pieces, a blank between each two."""
-    texts, head, started = _Texts(), None, False
+    texts, ids, doc, started = _Texts(), [], None, False
+    out: list[tuple] = []
+
+    def close() -> None:
+        if started:
+            spelled = b"".join(texts.parts).decode().removeprefix(" ")
+            out.append((doc, spelled, np.concatenate(ids) if digests else None))
+
     for batch in batches:
         if not batch.num_rows:
             continue
         places = batch.column("place").to_numpy(zero_copy_only=False)
         heads = places == 0
         texts.check(places, heads)
-        # Every piece but a text's first comes with its blank in front.
         column = batch.column("piece")
         offsets = np.frombuffer(column.buffers()[1], np.int32)
         offsets = offsets[column.offset : column.offset + len(column) + 1]
@@ -200,52 +205,60 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero(heads)
         bounds = [int(offsets[0]), *offsets[cuts].tolist(), int(offsets[-1])]
         parts = [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        rows = batch.column("row").take(pa.array(cuts)).to_pylist()
-        out_rows, out_texts = [], []
+        # A text without ids has one row without an id.
+        known = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
+        numbers = batch.column("id").fill_null(0).to_numpy(zero_copy_only=False)
+        numbers = [
+            n[k]
+            for n, k in zip(np.split(numbers, cuts), np.split(known, cuts), strict=True)
+        ]
+        docs = batch.column("doc_id").take(pa.array(cuts)).to_pylist()
         texts.parts.append(parts[0])
-        for part, row in zip(parts[1:], rows, strict=True):
-            if started:
-                out_rows.append(head)
-                out_texts.append(texts.spelled())
-            texts.parts, head, started = [part], row, True
-        yield _spelled(out_rows, out_texts, batch.schema)
-        schema = batch.schema
-    if started:
-        yield _spelled([head], [texts.spelled()], schema)
-
-
-def _spelled(rows: list[dict], texts: list[str], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows, schema.field("row").type), pa.array(texts, pa.string())],
-        names=["row", "text"],
-    )
-
-
-def decode(encoded: DataFrame, spec: str) -> DataFrame:
-    """The text of every row's ids, as (row, text) with the other columns in row.
-
-    A tokenizer without a decoder spells its pieces with a blank in between.
-    An id that the vocabulary lacks has no piece and is passed over.
+        ids.append(numbers[0])
+        for part, number, head in zip(parts[1:], numbers[1:], docs, strict=True):
+            close()
+            texts.parts, ids, doc, started = [part], [number], head, True
+        if out:
+            yield _columns(out, digests)
+            out.clear()
+    close()
+    if out:
+        yield _columns(out, digests)
+
+
+def _columns(rows: list[tuple], digests: bool) -> pa.RecordBatch:
+    docs, texts, ids = zip(*rows, strict=True)
+    columns = {"doc_id": pa.array(docs, pa.int64())}
+    if digests:
+        sizes = [len(x) for x in ids]
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        numbers = pa.array(np.concatenate(ids)).cast(pa.string())
+        listed = pc.binary_join(pa.ListArray.from_arrays(ends, numbers), " ").to_pylist()
+        columns["n_tokens"] = pa.array(sizes, pa.int64())
+        columns["ids_sha256"] = pa.array([sha256(x.encode()).hexdigest() for x in listed])
+        columns["decoded_sha256"] = pa.array([sha256(x.encode()).hexdigest() for x in texts])
+    else:
+        columns["text"] = pa.array(texts, pa.string())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def decode(encoded: DataFrame, spec: str, digests: bool = False) -> DataFrame:
+    """The text of every row's ids, as (doc_id, text).
+
+    A tokenizer without a decoder spells its pieces with a blank in between. An id
+    that the vocabulary lacks has no piece and is passed over. ``digests`` gives
+    n_tokens and SHA-256 of the ids and of the text instead of the text.
     """
     if json.loads(spec)["decoder"] is not None:
         raise ValueError("only tokenizers without a decoder of their own are served")
-    spark = encoded.sparkSession
-    others = [c for c in encoded.columns if c != "ids"]
-    rows = encoded.select(
-        F.struct(*others).alias("row"), F.posexplode_outer("ids").alias("place", "id")
-    )
-    # The other columns travel with the first place only.
-    first = F.coalesce("place", F.lit(0)) == 0
-    rows = rows.select(
-        F.when(first, F.col("row")).alias("row"), F.coalesce("place", F.lit(0)).alias("place"), "id"
-    )
-    spelled = rows.join(F.broadcast(pieces(spark, spec)), "id", "left").select(
-        "row",
-        "place",
-        F.when(F.col("piece").isNull(), "")
-        .when(F.col("place") == 0, F.col("piece"))
-        .otherwise(F.concat(F.lit(" "), "piece"))
-        .alias("piece"),
+    places = encoded.select("doc_id", F.posexplode_outer("ids").alias("place", "id"))
+    spelled = places.join(F.broadcast(pieces(encoded.sparkSession, spec)), "id", "left").select(
+        "doc_id",
+        F.coalesce("place", F.lit(0)).alias("place"),
+        "id",
+        F.coalesce("piece", F.lit("")).alias("piece"),
     )
-    kind = encoded.select(F.struct(*others).alias("row")).schema["row"].dataType.simpleString()
-    return spelled.mapInArrow(_spell, f"row {kind}, text string")
+    schema = "doc_id long, text string"
+    if digests:
+        schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return spelled.mapInArrow(partial(_spell, digests=digests), schema)

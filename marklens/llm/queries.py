@@ -58,7 +58,7 @@ def op4_site_bayes(spark, sf_dir):
     """The source is the host here, the language its path."""
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     known = labels.select("doc_id", labels["quality"].alias("label"))
-    scored, _ = quality.score(docs.select("doc_id", "text", "source", "lang"), known, docs["source"], docs["lang"])
+    scored = quality.score(docs, known, docs["source"], docs["lang"])
     return scored.select(
         "row.doc_id",
         F.round("evidence", 6).alias("evidence"),
@@ -99,12 +99,14 @@ def op9_lsh_forest(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 @query
 def op10_distinct_words(spark, sf_dir, vocabulary=None):
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary = public_tokenizers.path(VOCABULARY)
-    spec = bpe.load_spec(vocabulary)
+    spec = bpe.load_spec(vocabulary or vocabulary_path())
     encoded = bpe.encode(table(spark, sf_dir, "documents"), spec)
     return bpe.decode(encoded, spec, digests=True)
