@@ -1,5 +1,198 @@
-"""SQL for the queries of the operators for training data, where SQL can express them."""
+"""SQL for the queries of the operators for training data, where SQL can express them.
+
+The others need a trained model, a tokenizer, a greedy balance or a page's
+structure; the tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from marklens.llm.licenses import BASE as PHRASES
+from marklens.llm.licenses import DEFAULT as VOTING
+from marklens.llm.licenses import MORE as PASSAGES
+from marklens.llm.secrets import BASE as FIXED_KINDS
+from marklens.llm.secrets import KINDS, LIVE_CHARACTERS, LIVE_LENGTH, SHARED_OWNERS
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+
+LSH_FOREST = rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(words) >= 5 THEN list_distinct(list_transform(
+            range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+        WHEN len(words) > 0 THEN ['short ' || array_to_string(words, ' ')]
+        ELSE [] END AS shingles
+    FROM worded
+),
+single AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb,
+        count(*) AS common
+    FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+),
+links AS (SELECT a, b FROM shared WHERE 100 * common >= 85 * (na + nb - common)),
+reached AS (
+    SELECT doc_id AS start, doc_id AS seen FROM documents
+    UNION
+    SELECT start, b FROM reached JOIN links ON seen = a
+)
+SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id,
+    sets.doc_id = component_id AS kept
+FROM sets JOIN (SELECT start, min(seen) AS component_id FROM reached GROUP BY start)
+    ON start = sets.doc_id
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets() -> str:
+    kinds = ", ".join(
+        f"({rank}, '{k.name}', {_quoted(k.pattern)}, {k.group}, {k.least})"
+        for rank, k in enumerate(KINDS)
+    )
+    # The group to extract has to be a constant.
+    values = " ".join(
+        f"WHEN {rank} THEN regexp_extract_all(txt, {_quoted(k.pattern)}, {k.group})"
+        for rank, k in enumerate(KINDS)
+    )
+    wholes = " ".join(
+        f"WHEN {rank} THEN regexp_extract_all(txt, {_quoted(k.pattern)}, 0)"
+        for rank, k in enumerate(KINDS)
+    )
+    pieces = " ".join(
+        f"WHEN {rank} THEN string_split_regex(txt, {_quoted(k.pattern)})"
+        for rank, k in enumerate(KINDS)
+    )
+    counts = ", ".join(
+        f"coalesce(count(DISTINCT place) FILTER (kind = '{k.name}'), 0)::BIGINT AS n_{k.name}"
+        for k in FIXED_KINDS
+    )
+    verdicts = ", ".join(
+        f"count(DISTINCT place) FILTER (verdict = '{v}')::BIGINT AS n_{v}"
+        for v in ("live", "shared")
+    )
+    fixed = len(FIXED_KINDS)
+    return f"""
+WITH kinds(rank, kind, pattern, grp, least) AS (VALUES {kinds}),
+texts AS (SELECT doc_id, source, coalesce(text, '') AS txt FROM documents),
+found AS (
+    SELECT doc_id, source, rank, kind, least,
+        CASE rank {pieces} END AS pieces,
+        CASE rank {wholes} END AS wholes,
+        CASE rank {values} END AS vals
+    FROM texts, kinds
+),
+hits AS (
+    SELECT doc_id, source, rank, kind, vals[i] AS val, length(wholes[i]) AS size,
+        least, list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(wholes[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT *, unnest(range(1, len(wholes) + 1)) AS i FROM found)
+),
+spans AS (
+    SELECT *, start + size AS stop, (start, rank, kind, start + size) AS place
+    FROM hits WHERE length(val) >= least
+),
+held AS (
+    SELECT val, count(DISTINCT coalesce(source, chr(0))) AS owners FROM spans GROUP BY val
+),
+judged AS (
+    SELECT spans.*, CASE WHEN owners >= {SHARED_OWNERS} THEN 'shared'
+        WHEN length(val) >= {LIVE_LENGTH}
+            AND len(list_distinct(string_split(val, ''))) >= {LIVE_CHARACTERS} THEN 'live'
+        ELSE 'plain' END AS verdict
+    FROM spans JOIN held USING (val)
+),
+listed AS (
+    SELECT doc_id, {counts}, {verdicts},
+        string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ','
+            ORDER BY start, rank) AS spans,
+        string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ','
+            ORDER BY start, rank) FILTER (rank < {fixed}) AS base
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+    coalesce(n_shared, 0) AS n_shared
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
+def _licenses() -> str:
+    phrases = ", ".join(
+        f"({number}, {_quoted(text)}, '{label}')"
+        for number, (text, label) in enumerate(PHRASES + PASSAGES)
+    )
+    base = len(PHRASES)
+    return rf"""
+WITH phrases(template, phrase, label) AS (VALUES {phrases}),
+worded AS (
+    SELECT doc_id,
+        regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+),
+pairs AS (
+    SELECT doc_id, i AS place, words[i + 1] || ' ' || words[i + 2] AS gram
+    FROM (SELECT doc_id, words, unnest(range(0, len(words) - 1)) AS i FROM worded)
+),
+places AS (
+    SELECT template, label, i AS place, len(words) - 1 AS pairs,
+        words[i + 1] || ' ' || words[i + 2] AS gram
+    FROM (SELECT *, unnest(range(0, len(words) - 1)) AS i
+          FROM (SELECT *, string_split(phrase, ' ') AS words FROM phrases))
+),
+lined AS (
+    SELECT doc_id, template, label, p.pairs, pairs.place - p.place AS diagonal,
+        list(DISTINCT p.place) AS matched, min(pairs.place) AS first, max(pairs.place) AS last
+    FROM pairs JOIN places p USING (gram)
+    GROUP BY ALL
+),
+gaps AS (
+    SELECT *, coalesce(diagonal - lag(diagonal) OVER line > {VOTING.band}, true)::INT AS opens
+    FROM lined WHERE pairs >= {VOTING.exact}
+    WINDOW line AS (PARTITION BY doc_id, template ORDER BY diagonal)
+),
+banded AS (
+    SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM gaps
+),
+merged AS (
+    SELECT doc_id, template, label, pairs, min(first) AS first, max(last) AS last,
+        len(list_distinct(flatten(list(matched)))) / pairs AS score
+    FROM banded GROUP BY doc_id, template, label, pairs, band
+),
+spans AS (
+    SELECT doc_id, template, label, first, 1.0::DOUBLE AS score FROM lined
+    WHERE pairs < {VOTING.exact} AND len(matched) = pairs
+    UNION ALL
+    SELECT doc_id, template, label, first, score FROM merged
+    WHERE score >= {VOTING.cover} AND last - first + 2 <= {VOTING.slack} * (pairs + 1)
+),
+listed AS (
+    SELECT doc_id, count(*) FILTER (template < {base}) AS n_base,
+        min(first) FILTER (template < {base}) AS first_word,
+        max(first) FILTER (template < {base}) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (template < {base}) AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+        max(score) AS score
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+    first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM worded LEFT JOIN listed USING (doc_id)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op5_ownership_frequency": _secrets(),
+    "op7_diagonal_voting": _licenses(),
+    "op9_lsh_forest": LSH_FOREST,
+}

@@ -132,7 +132,9 @@ def _fitted(x: np.ndarray, label: np.ndarray, steps: int) -> Classifier:
     return Classifier(mean, scale, weights, float(np.log(good / (len(label) - good))))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa.RecordBatch]:
+def _scored(
+    batches: Iterator[pa.RecordBatch], model: Classifier, keep_text: bool
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
         parts = [np.zeros(0)]
@@ -141,15 +143,23 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[pa
             z = np.clip((x - model.mean) / model.scale, -8, 8)
             parts.append(z @ model.weights[:-1] + model.weights[-1] - model.prior)
         evidence = np.clip(np.concatenate(parts), -20, 20)
+        names = ["row", "text"] if keep_text else ["row"]
+        columns = [batch.column(name) for name in names]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(evidence)], names=["row", "evidence"]
+            [*columns, pa.array(evidence)], names=[*names, "evidence"]
         )
 
 
-def with_evidence(rows: DataFrame, model: Classifier) -> DataFrame:
-    """(row, evidence) from (row, text): log odds of good without any prior."""
+def with_evidence(rows: DataFrame, model: Classifier, keep_text: bool = False) -> DataFrame:
+    """(row, evidence) from (row, text): log odds of good without any prior.
+
+    ``keep_text`` adds the text.
+    """
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(partial(_scored, model=model), f"row {kind}, evidence double")
+    text = "text string, " if keep_text else ""
+    return rows.mapInArrow(
+        partial(_scored, model=model, keep_text=keep_text), f"row {kind}, {text}evidence double"
+    )
 
 
 def _strength(mean: Column, spread: Column) -> Column:
@@ -203,29 +213,37 @@ def posterior(evidence: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, host: Column, path: Column, bound: int = LABELLED
-) -> tuple[DataFrame, DataFrame]:
-    """Every document with its probability, and the rates of the sites.
-
-    Rows come as (row, host, path, evidence, ..., probability), ``row`` holding
-    all columns of the document. The evidence is computed twice rather than
-    stored with the texts.
+    docs: DataFrame,
+    labels: DataFrame,
+    host: Column,
+    path: Column,
+    bound: int = LABELLED,
+    keep_text: bool = False,
+) -> DataFrame:
+    """Every document as (row, host, path, evidence, host_rate, path_rate,
+    probability), ``row`` holding its columns but for the text.
+
+    The evidence is computed twice rather than stored with the texts. ``keep_text``
+    adds the column ``text``.
     """
     model = fit(docs, labels, bound)
-    rows = docs.select(
-        F.struct(
-            F.struct("*").alias("doc"), host.cast("string").alias("host"),
-            path.cast("string").alias("path"),
-        ).alias("row"),
-        "text",
+    site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
+    others = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("doc")
+    sites = with_evidence(docs.select(F.struct(*site).alias("row"), "text"), model)
+    rates = keep(site_rates(sites.select("row.*", "evidence"), model), "site-rates")
+    rows = docs.select(F.struct(others, *site).alias("row"), "text")
+    every = with_evidence(rows, model, keep_text).select(
+        F.col("row.doc").alias("row"), "row.host", "row.path", "evidence", *["text"] * keep_text
     )
-    sites = docs.select(
-        F.struct(host.cast("string").alias("host"), path.cast("string").alias("path")).alias("row"),
-        "text",
-    )
-    flat = with_evidence(sites, model).select("row.host", "row.path", "evidence")
-    rates = keep(site_rates(flat, model), "site-rates")
-    every = with_evidence(rows, model).select(
-        F.col("row.doc").alias("row"), "row.host", "row.path", "evidence"
+    return posterior(every, rates)
+
+
+def good_documents(
+    docs: DataFrame, labels: DataFrame, host: Column, path: Column, limit: float = 0.5
+) -> DataFrame:
+    """The documents whose probability reaches the limit, with all their columns."""
+    scored = score(docs, labels, host, path, keep_text=True)
+    stay = scored.filter(F.col("probability") >= limit)
+    return stay.select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     )
-    return posterior(every, rates), rates
