@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Nearer to a tie than this, the double alone does not tell which way it goes.
 _DOUBT = 1e-6
-# Beyond this, a double has too few decimals left for the test above.
-_LARGE = 1e6
+# Beyond this, divided by the unit, a double has too few decimals left for the test.
+_LARGE = 1e8
 
 
 def round_half_up(column: Column, digits: int) -> Column:
@@ -21,5 +21,5 @@ def round_half_up(column: Column, digits: int) -> Column:
     unit = 10**digits
     shifted = column * unit + 0.5
     whole = F.floor(shifted)
-    is_clear = (F.abs(column) < _LARGE) & (shifted - whole).between(_DOUBT, 1 - _DOUBT)
+    is_clear = (F.abs(column) < _LARGE / unit) & (shifted - whole).between(_DOUBT, 1 - _DOUBT)
     return F.when(is_clear, whole / unit).otherwise(F.round(column, digits))

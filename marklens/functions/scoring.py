@@ -22,6 +22,11 @@ def clean(column: str) -> Column:
     return F.nanvl(F.col(column), F.lit(None).cast("double"))
 
 
+def cleaned(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
+    """The table with NaN read as missing in each numeric column that it has."""
+    return df.withColumns({c: clean(c) for c in spec.numeric if c in df.columns})
+
+
 def raw_mean(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
     return reduce(add, [clean(s) for s in spec.subjects]) / len(spec.subjects)
 

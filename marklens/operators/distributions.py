@@ -87,12 +87,11 @@ def attendance_histogram(
 
 
 def _long_marks(df: DataFrame, spec: ScorecardSpec, bins: int) -> DataFrame:
-    """One row per mark, with the subject's number, the mark's bin and its cell.
+    """One row per mark, with the subject's number and the mark's bin.
 
-    Bins and cells are numbered in the order of the marks; a bin has ``bins``
-    cells, and no two subjects share a bin number. Marks outside the range
-    belong to the first or the last bin. All but the mark are whole numbers,
-    which makes for fast grouping and joining.
+    Bins are numbered in the order of the marks, and no two subjects share a bin
+    number. Marks outside the range belong to the first or the last bin. All but
+    the mark are whole numbers, which makes for fast grouping and joining.
     """
     stacked = F.stack(
         F.lit(len(spec.subjects)),
@@ -100,11 +99,10 @@ def _long_marks(df: DataFrame, spec: ScorecardSpec, bins: int) -> DataFrame:
     ).alias("subject", "Mark")
     share = (F.col("Mark") - spec.mark_min) / (spec.mark_max - spec.mark_min)
     inside = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
-    bin_in_subject = (F.col("cell") / bins).cast("bigint")
+    bin_in_subject = (inside * bins).cast("bigint")
     return (
         df.select(stacked)
         .filter(F.col("Mark").isNotNull())
-        .withColumn("cell", (inside * (bins * bins)).cast("bigint"))
         .withColumn("bin", F.col("subject") * F.lit(bins + 1) + bin_in_subject)
     )
 
@@ -133,21 +131,28 @@ def _quartile_bins(long: DataFrame) -> DataFrame:
         F.sum("bin_n").over(of_subject).alias("total"),
         F.min("low").over(of_subject).alias("minimum"),
         F.max("high").over(of_subject).alias("maximum"),
+        "low",
+        "high",
     )
     end = F.col("before") + F.col("bin_n")
     holds_rank = reduce(or_, [(F.col("before") <= r) & (r < end) for r in _wanted_ranks()])
     return totals.filter(holds_rank).drop("subject", "bin_n")
 
 
-def _ranked_marks(long: DataFrame) -> DataFrame:
+def _ranked_marks(long: DataFrame, cells_per_bin: int) -> DataFrame:
     """Distinct marks of the quartile bins with the running count up to each.
 
     Equal marks meet map-side. The running count is split into counts per cell
-    and a count inside each cell, so it runs in parallel over the cells.
+    and a count inside each cell, so it runs in parallel over the cells. Cells cut
+    what a bin was seen to hold, from its lowest to its highest mark.
     """
+    width = F.col("high") - F.col("low")
+    inside_bin = F.when(width > 0, (F.col("Mark") - F.col("low")) / width).otherwise(0.0)
+    cell = F.least((inside_bin * cells_per_bin).cast("bigint"), F.lit(cells_per_bin - 1))
     facts = ["subject", "bin", "before", "total", "minimum", "maximum"]
     marks = (
         long.join(F.broadcast(_quartile_bins(long)), "bin")
+        .withColumn("cell", cell)
         .groupBy(*facts, "cell", "Mark")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -195,7 +200,7 @@ def subject_box(
     long = _long_marks(df, spec, bins)
     iqr = F.col("Q3") - F.col("Q1")
     box = (
-        _ranked_marks(long)
+        _ranked_marks(long, bins)
         .groupBy("subject", "total", "minimum", "maximum")
         .agg(*[_quantile(p).alias(name) for name, p in QUARTILES])
         .withColumns(

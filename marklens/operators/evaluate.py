@@ -95,11 +95,10 @@ def evaluation_metrics(
     occurs = (F.col("n_predicted") + F.col("Support")) > 0
 
     def class_mean(column: str) -> Column:
-        mean = F.coalesce(F.avg(F.when(occurs, F.col(column))), F.lit(0.0))
-        return F.round(mean, 6).alias(column)
+        return F.coalesce(F.avg(F.when(occurs, F.col(column))), F.lit(0.0)).alias(column)
 
     return rows.agg(
-        F.round(_ratio(F.max("hits"), F.max("total")), 6).alias("Accuracy"),
+        _ratio(F.max("hits"), F.max("total")).alias("Accuracy"),
         *[class_mean(c) for c in METRICS[1:]],
         F.max("total").alias("Samples"),
     )
@@ -134,9 +133,7 @@ def classification_report(
         ).alias("s"),
     )
     unfolded = folded.select(F.inline(F.concat("c", "s")))
-    return unfolded.select(
-        "Label", *[F.round(m, 6).alias(m) for m in measures], "Support"
-    )
+    return unfolded.select("Label", *measures, "Support")
 
 
 def _summary(position: int, label: str, measures: list[Column], support: Column) -> Column:

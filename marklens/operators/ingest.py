@@ -25,10 +25,10 @@ ATTENDANCE_RANGE = "Attendance must be between 0 and 100."
 NEGATIVE_HOURS = "Study hours cannot be negative."
 MARK_RANGE = "Marks must be between {low:g} and {high:g}."
 # Messages for limits that the form's input fields impose.
-KEY_RANGE = "Student ID must be at least 1."
+KEY_RANGE = "Student ID must be at least {low}."
+UNKNOWN_GROUP = "{group} must be one of {choices}."
 TOO_MANY_HOURS = "Study hours must not exceed {limit:g}."
 
-HOT_KEYS = 1000
 
 
 def parse(submissions: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
@@ -55,7 +55,13 @@ def own_fault(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
     fault = (
         F.when(missing, NOT_A_NUMBER)
         .when(F.coalesce(F.col(spec.name), F.lit("")) == "", BLANK_NAME)
-        .when(~attendance.between(0, 100), ATTENDANCE_RANGE)
+    )
+    if spec.groups is not None:
+        known = F.coalesce(F.col(spec.group).isin(*spec.groups), F.lit(False))
+        choices = ", ".join(spec.groups)
+        fault = fault.when(~known, UNKNOWN_GROUP.format(group=spec.group, choices=choices))
+    fault = (
+        fault.when(~attendance.between(0, 100), ATTENDANCE_RANGE)
         .when(hours < 0, NEGATIVE_HOURS)
     )
     if spec.hours_max is not None:
@@ -67,7 +73,10 @@ def own_fault(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
 
 def key_fault(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
     key = F.col(spec.key)
-    return F.when(key.isNull(), NOT_A_NUMBER).when(key < 1, KEY_RANGE)
+    fault = F.when(key.isNull(), NOT_A_NUMBER)
+    if spec.key_min is None:
+        return fault
+    return fault.when(key < spec.key_min, KEY_RANGE.format(low=spec.key_min))
 
 
 def existing_keys(
@@ -100,34 +109,28 @@ def validate(
     new, other fields are numbers, name, attendance, hours, marks.
 
     What the rules need to know about a key is gathered once per key, so a key
-    with many rows is combined map-side, and then joined back to the rows: for
-    the HOT_KEYS keys with most rows by a broadcast, for the others through a
-    shuffle, in which none of them has more than 1/HOT_KEYS of the rows. Rows
-    that need nothing from the shuffle join on a value no key has, which spreads
-    them over the partitions instead of sending them all to one.
+    with many rows is combined map-side, and then joined back to the rows. Both
+    sides of that join come straight from a shuffle, so adaptive execution splits
+    the rows of a frequent key, however many there are. Rows that need nothing
+    from the join bear a value no key has, which spreads them over the partitions
+    instead of sending them all to one.
     """
     rows = parse(submissions, spec).withColumns(
         {"key_fault": key_fault(spec), "own_fault": own_fault(spec)}
     )
-    facts = _key_facts(rows, stored, spec)
-    most_rows = facts.orderBy(F.col("key_rows").desc(), spec.key).limit(HOT_KEYS)
-    hot = most_rows.select(
-        F.col(spec.key).alias("hot_key"),
-        F.col("first_good").alias("hot_first"),
-        F.col("is_stored").alias("hot_stored"),
-    )
-    # True of every key: with the same columns in use, both joins read one shuffle.
-    cold = facts.filter(F.col("key_rows") > 0).withColumnRenamed(spec.key, "cold_key")
-
-    served = F.col("key_fault").isNotNull() | F.col("hot_key").isNotNull()
-    join_key = F.when(served, -1 - F.abs(INGEST_ORDER)).otherwise(F.col(spec.key))
-    duplicate = F.coalesce("hot_stored", "is_stored") | (
-        F.col(INGEST_ORDER) > F.coalesce("hot_first", "first_good")
+    # As a decimal the key is not what the facts are partitioned by already, hence the
+    # shuffle of their own; and there are values that no key has.
+    wide = "decimal(21, 0)"
+    facts = _key_facts(rows, stored, spec).select(
+        F.col(spec.key).cast(wide).alias("fact_key"), "first_good", "is_stored"
     )
+    beyond = F.xxhash64(INGEST_ORDER).cast(wide) + F.lit("1" + "0" * 20).cast(wide)
+    keyed = F.col("key_fault").isNull()
+    join_key = F.when(keyed, F.col(spec.key).cast(wide)).otherwise(beyond.cast(wide))
+    duplicate = F.col("is_stored") | (F.col(INGEST_ORDER) > F.col("first_good"))
     return (
-        rows.join(F.broadcast(hot), F.col(spec.key) == F.col("hot_key"), "left")
-        .withColumn("join_key", join_key)
-        .join(cold, F.col("join_key") == F.col("cold_key"), "left")
+        rows.withColumn("join_key", join_key)
+        .join(facts, F.col("join_key") == F.col("fact_key"), "left")
         .withColumn(
             REJECT_REASON,
             F.coalesce("key_fault", F.when(duplicate, DUPLICATE_KEY), "own_fault"),
@@ -137,15 +140,12 @@ def validate(
 
 
 def _key_facts(rows: DataFrame, stored: DataFrame, spec: ScorecardSpec) -> DataFrame:
-    """Per key: rows in the batch, first row fit to be stored, and whether it is stored."""
+    """Per key: the first row fit to be stored, and whether the key is stored."""
     fit = F.col("own_fault").isNull()
     per_key = (
         rows.filter(F.col("key_fault").isNull() & F.col(spec.key).isNotNull())
         .groupBy(spec.key)
-        .agg(
-            F.count(F.lit(1)).alias("key_rows"),
-            F.min(F.when(fit, F.col(INGEST_ORDER))).alias("first_good"),
-        )
+        .agg(F.min(F.when(fit, F.col(INGEST_ORDER))).alias("first_good"))
     )
     present = existing_keys(per_key, stored, spec).withColumn("is_stored", F.lit(True))
     return per_key.join(present, spec.key, "left")
@@ -168,13 +168,16 @@ def append_new(
 
 
 def append_to(
-    submissions: DataFrame, path: str, spec: ScorecardSpec = DEFAULT_SPEC
+    submissions: DataFrame,
+    path: str,
+    spec: ScorecardSpec = DEFAULT_SPEC,
+    storage: str = "csv",
 ) -> None:
     """Add a batch to the table at ``path``; only new files are written.
 
     Running it again adds nothing, since the keys are stored by then.
     """
     spark = submissions.sparkSession
-    store.create_empty(spark, path, spec)
-    stored = store.read_records(spark, path, spec)
-    store.append(accepted(validate(submissions, stored, spec), spec), path, spec)
+    store.create_empty(spark, path, spec, storage)
+    stored = store.read_records(spark, path, spec, storage=storage)
+    store.append(accepted(validate(submissions, stored, spec), spec), path, spec, storage)

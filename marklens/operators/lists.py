@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marklens.functions.scoring import is_at_risk, risk_reason
+from marklens.functions.scoring import cleaned, is_at_risk, risk_reason
 from marklens.spec import (
     AVERAGE,
     DEFAULT_SPEC,
@@ -27,24 +27,24 @@ def roster(
     """All records by key; ``with_group=False`` leaves the group column out."""
     group = [spec.group] if with_group else []
     columns = [spec.key, spec.name, *group, *spec.numeric, AVERAGE, GRADE, STATUS]
-    return scored.select(*columns).orderBy(spec.key)
+    return cleaned(scored, spec).select(*columns).orderBy(spec.key)
 
 
 def attendance_relation(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    return scored.select(spec.key, spec.name, spec.attendance, AVERAGE, GRADE, spec.hours)
+    return cleaned(scored, spec).select(spec.key, spec.name, spec.attendance, AVERAGE, GRADE, spec.hours)
 
 
 def study_hours_relation(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    return scored.select(spec.key, spec.name, spec.hours, AVERAGE, GRADE)
+    return cleaned(scored, spec).select(spec.key, spec.name, spec.hours, AVERAGE, GRADE)
 
 
 def low_attendance(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     below = F.col(spec.attendance) < spec.attendance_floor
-    return df.filter(below).select(spec.key, spec.name, spec.attendance)
+    return cleaned(df, spec).filter(below).select(spec.key, spec.name, spec.attendance)
 
 
 def by_study_hours(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    return df.select(spec.key, spec.name, spec.hours).orderBy(
+    return cleaned(df, spec).select(spec.key, spec.name, spec.hours).orderBy(
         F.col(spec.hours).desc_nulls_last(), spec.key
     )
 
@@ -52,14 +52,14 @@ def by_study_hours(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFra
 def at_risk(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     """Records below either threshold, weakest average first."""
     columns = [spec.key, spec.name, spec.attendance, AVERAGE, GRADE, STATUS]
-    return scored.filter(is_at_risk(spec)).select(*columns).orderBy(*_weakest_first(spec))
+    return cleaned(scored, spec).filter(is_at_risk(spec)).select(*columns).orderBy(*_weakest_first(spec))
 
 
 def at_risk_reasons(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     """The same records with the reason in place of the status."""
     columns = [spec.key, spec.name, spec.attendance, AVERAGE, GRADE]
     return (
-        scored.filter(is_at_risk(spec))
+        cleaned(scored, spec).filter(is_at_risk(spec))
         .select(*columns, risk_reason(spec).alias(REASON))
         .orderBy(*_weakest_first(spec))
     )
@@ -93,6 +93,7 @@ def best_rows_per_subject(
     One ranking window over all subjects would sort every task's rows first,
     which takes ten times as long. Here the window only numbers the winners.
     """
+    df = cleaned(df, spec)
     heads = [
         df.orderBy(F.col(s).desc_nulls_last(), spec.key)
         .limit(k)

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
 )
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marklens.functions.advice import suggestions
-from marklens.functions.scoring import support_label
+from marklens.functions.scoring import clean, support_label
 from marklens.functions.text import explanation
 from marklens.operators import evaluate
 from marklens.operators.split import IS_TEST, stratified_split
-from marklens.sources.checkpoints import materialise
 from marklens.spec import DEFAULT_SPEC, SUPPORT, ScorecardSpec
 
 VECTOR = "features"
@@ -35,12 +37,16 @@ def label_support(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFram
     return df.withColumn(SUPPORT, support_label(spec))
 
 
+def is_complete(spec: ScorecardSpec = DEFAULT_SPEC) -> Column:
+    """Whether a record has every feature; NaN counts as missing."""
+    return reduce(and_, [clean(c).isNotNull() for c in spec.features])
+
+
 def assemble(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    """Add the feature vector; rows with a missing feature are left out."""
-    assembler = VectorAssembler(
-        inputCols=list(spec.features), outputCol=VECTOR, handleInvalid="skip"
-    )
-    return assembler.transform(df)
+    """Add the feature vector of every record, with 0 for a missing feature."""
+    filled = {f"filled_{c}": F.coalesce(clean(c), F.lit(0.0)) for c in spec.features}
+    assembler = VectorAssembler(inputCols=list(filled), outputCol=VECTOR)
+    return assembler.transform(df.withColumns(filled)).drop(*filled)
 
 
 def _categories(spec: ScorecardSpec) -> Column:
@@ -64,7 +70,11 @@ def train(
     seed: int = 42,
     weight_col: str | None = None,
 ) -> DecisionTreeClassificationModel:
-    """Fit a tree; pass a table that was materialised, since fitting reads it often."""
+    """Fit a tree on the complete records.
+
+    Fitting reads its input once per level of the tree, so it is kept meanwhile; a
+    lost part is computed again.
+    """
     tree = DecisionTreeClassifier(
         featuresCol=VECTOR,
         labelCol=LABEL_INDEX,
@@ -75,16 +85,24 @@ def train(
     )
     if weight_col:
         tree = tree.setWeightCol(weight_col)
-    return tree.fit(index_labels(assemble(labelled, spec), spec))
+    rows = index_labels(assemble(labelled.filter(is_complete(spec)), spec), spec)
+    weight = [weight_col] if weight_col else []
+    rows = rows.select(VECTOR, LABEL_INDEX, *weight).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return tree.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 @dataclass(frozen=True)
 class HoldOut:
-    """A trained tree, the records it learned from, and its predictions on the rest."""
+    """A trained tree, the records it learned from, its predictions on the records
+    held out, and the incomplete records, which take part in neither."""
 
     tree: DecisionTreeClassificationModel
     training: DataFrame
     predicted: DataFrame
+    left_out: DataFrame
 
 
 def train_and_hold_out(
@@ -93,30 +111,67 @@ def train_and_hold_out(
     share: float = 0.2,
     **tree_options,
 ) -> HoldOut:
-    """Train on all but a stratified share of the records, predict that share.
+    """Train on all but a stratified share of the complete records, predict that share.
 
-    The split table is stored once; training and prediction read it from there.
+    The split depends on the keys alone, so it is computed again where it is used.
     """
     categories = spec.support.categories
-    divided = materialise(stratified_split(labelled, SUPPORT, spec.key, categories, share))
+    complete = labelled.filter(is_complete(spec))
+    divided = stratified_split(complete, SUPPORT, spec.key, categories, share)
     training = divided.filter(~F.col(IS_TEST)).drop(IS_TEST)
     tree = train(training, spec, **tree_options)
     held_out = divided.filter(IS_TEST).drop(IS_TEST)
-    return HoldOut(tree, training, predict(tree, held_out, spec))
+    left_out = labelled.filter(~is_complete(spec))
+    return HoldOut(tree, training, predict(tree, held_out, spec), left_out)
 
 
-def evaluation(hold_out: HoldOut, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    """The tree's measures on the records held out, with both sample counts.
+def sample_counts(
+    labelled: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC, share: float = 0.2
+) -> DataFrame:
+    """Records to learn from, held out, and left out since a feature is missing."""
+    complete = labelled.filter(is_complete(spec))
+    divided = stratified_split(complete, SUPPORT, spec.key, spec.support.categories, share)
+    counts = divided.agg(
+        F.count_if(~F.col(IS_TEST)).alias("Training_Samples"),
+        F.count_if(F.col(IS_TEST)).alias("Test_Samples"),
+    )
+    missing = labelled.agg(F.count_if(~is_complete(spec)).alias("Left_Out"))
+    return counts.withColumn("Left_Out", missing.scalar())
 
-    The confusion matrix and the report come from ``operators.evaluate`` on the
-    same predictions.
-    """
+
+def evaluation(hold_out: HoldOut, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
+    """The tree's measures on the records held out, with all sample counts."""
     metrics = evaluate.evaluation_metrics(
         hold_out.predicted, SUPPORT, PREDICTED, spec.support.categories
     )
-    training_samples = hold_out.training.agg(F.count(F.lit(1))).scalar()
+    rows = F.count(F.lit(1))
     return metrics.withColumnRenamed("Samples", "Test_Samples").withColumns(
-        {"Training_Samples": training_samples, "Data_Note": F.lit(DATA_NOTE)}
+        {
+            "Training_Samples": hold_out.training.agg(rows).scalar(),
+            "Left_Out": hold_out.left_out.agg(rows).scalar(),
+            "Data_Note": F.lit(DATA_NOTE),
+        }
+    )
+
+
+@dataclass(frozen=True)
+class TreeReport:
+    """What is known of a tree: measures, confusion matrix, report and classes."""
+
+    metrics: DataFrame
+    matrix: DataFrame
+    report: DataFrame
+    classes: tuple[str, ...]
+
+
+def tree_report(hold_out: HoldOut, spec: ScorecardSpec = DEFAULT_SPEC) -> TreeReport:
+    classes = tuple(spec.support.categories)
+    columns = (hold_out.predicted, SUPPORT, PREDICTED, classes)
+    return TreeReport(
+        evaluation(hold_out, spec),
+        evaluate.confusion_matrix(*columns),
+        evaluate.classification_report(*columns),
+        classes,
     )
 
 
@@ -133,22 +188,25 @@ def predict(
     df: DataFrame,
     spec: ScorecardSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Add the predicted category to the given columns."""
+    """Add the predicted category to every record; null where a feature is missing."""
     position = F.col("prediction").cast("int") + 1
     predicted = model.transform(assemble(df, spec))
-    return predicted.select(
-        *df.columns, F.element_at(_categories(spec), position).alias(PREDICTED)
-    )
+    category = F.when(is_complete(spec), F.element_at(_categories(spec), position))
+    return predicted.select(*df.columns, category.alias(PREDICTED))
 
 
 def with_advice(
     predicted: DataFrame, category: str = PREDICTED, spec: ScorecardSpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Add the prediction record: category, explanation and suggestions."""
+    """Add the prediction record: category, explanation and suggestions.
+
+    A record without a category has neither explanation nor suggestions.
+    """
+    known = F.col(category).isNotNull()
     record = F.struct(
         F.col(category).alias("category"),
-        explanation(spec).alias("explanation"),
-        suggestions(category, spec).alias("suggestions"),
+        F.when(known, explanation(spec)).alias("explanation"),
+        F.when(known, suggestions(category, spec)).alias("suggestions"),
     )
     return predicted.withColumn("Prediction", record)
 

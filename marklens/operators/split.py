@@ -19,7 +19,10 @@ def stratified_split(
     share: float = 0.2,
     bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Add ``Is_Test``: of each label, exactly the rounded share of its rows.
+    """Add ``Is_Test`` for the share of all rows, rounded up, in the labels' proportions.
+
+    Each label gives its part of the total rounded down; the rows that are then
+    missing go to the labels with the largest remainders, the first of equal ones.
 
     Rows are ordered by a hash of the unique key and the first ones are the test
     rows. Ranking a label in one window would sort a third of the table in one
@@ -37,21 +40,18 @@ def stratified_split(
     known = hashed.filter(F.col("split_label") >= 0).select("split_slot", "split_hash", key)
     label_of_slot = F.floor(F.col("split_slot") / buckets)
 
-    of_label = Window.partitionBy("split_label")
-    running = of_label.orderBy("split_slot").rowsBetween(
+    slots = (
+        known.groupBy("split_slot")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("split_label", label_of_slot)
+    )
+    running = Window.partitionBy("split_label").orderBy("split_slot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     upto, wanted, n = F.col("upto"), F.col("wanted"), F.col("n")
     cut_slots = (
-        known.groupBy("split_slot")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("split_label", label_of_slot)
-        .select(
-            "split_slot",
-            "n",
-            F.sum("n").over(running).alias("upto"),
-            F.round(F.sum("n").over(of_label) * share).cast("bigint").alias("wanted"),
-        )
+        slots.withColumn("upto", F.sum("n").over(running))
+        .join(F.broadcast(_test_sizes(slots, share)), "split_label")
         .filter((upto >= wanted) & (upto - n < wanted))
         .select("split_slot", (wanted - upto + n).alias("rank_in_slot"))
     )
@@ -81,6 +81,27 @@ def stratified_split(
     )
 
 
+def _test_sizes(slots: DataFrame, share: float) -> DataFrame:
+    """Wanted test rows per label, by largest remainder; one row per label."""
+    every = Window.partitionBy(F.lit(0))
+    exact = "decimal(38, 0)"
+    per_label = slots.groupBy("split_label").agg(F.sum("n").cast(exact).alias("n"))
+    total = F.sum("n").over(every).cast(exact)
+    # The share of a whole number is rounded up unless it is whole but for the last bits.
+    test = F.ceil(F.round(F.sum("n").over(every).cast("double") * share, 6)).cast(exact)
+    quota = per_label.select("split_label", "n", total.alias("total"), test.alias("test"))
+    quota = quota.select(
+        "split_label",
+        "test",
+        F.expr("cast(n * test div total AS bigint)").alias("part"),
+        F.expr("cast(n * test % total AS double) / cast(total AS double)").alias("rest"),
+    )
+    largest = Window.partitionBy(F.lit(0)).orderBy(F.desc("rest"), "split_label")
+    missing = F.col("test").cast("bigint") - F.sum("part").over(every)
+    more = F.when(F.row_number().over(largest) <= missing, 1).otherwise(0)
+    return quota.select("split_label", (F.col("part") + more).alias("wanted"))
+
+
 def split_sizes(split: DataFrame, label: str) -> DataFrame:
     """Training and test rows per label."""
     return split.groupBy(label).agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marklens.functions.scoring import cleaned
 from marklens.functions.text import fixed, percent
 from marklens.spec import AVERAGE, DEFAULT_SPEC, STATUS, ScorecardSpec
 
@@ -19,7 +20,7 @@ def _subject_means(spec: ScorecardSpec) -> list[Column]:
 
 def class_statistics(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     """Row count, class and subject averages, passes and failures."""
-    return scored.agg(
+    return cleaned(scored, spec).agg(
         F.count(F.lit(1)).alias("Total_Students"),
         _mean(AVERAGE).alias("Class_Average"),
         *_subject_means(spec),
@@ -29,18 +30,18 @@ def class_statistics(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> D
 
 
 def subject_averages(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    return df.agg(*_subject_means(spec))
+    return cleaned(df, spec).agg(*_subject_means(spec))
 
 
 def subject_averages_long(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     """One row per subject; the unpivot works on the one aggregated row."""
-    wide = df.agg(*[_mean(s).alias(s) for s in spec.subjects])
+    wide = cleaned(df, spec).agg(*[_mean(s).alias(s) for s in spec.subjects])
     return wide.unpivot([], list(spec.subjects), "Subject", "Average")
 
 
 def attendance_summary(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     attendance = F.col(spec.attendance)
-    return df.agg(
+    return cleaned(df, spec).agg(
         _mean(spec.attendance).alias("Average_Attendance"),
         F.count_if(attendance >= spec.attendance_floor).alias("High_Attendance"),
         F.count_if(attendance < spec.attendance_floor).alias("Low_Attendance"),
@@ -48,7 +49,7 @@ def attendance_summary(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> Dat
 
 
 def study_hours_summary(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
-    return df.agg(
+    return cleaned(df, spec).agg(
         _mean(spec.hours).alias("Average_Hours"),
         F.max(spec.hours).alias("Maximum_Hours"),
         F.min(spec.hours).alias("Minimum_Hours"),
@@ -84,7 +85,7 @@ _KPI_MEANS = ("Class_Average", "Average_Attendance", "Average_Study_Hours")
 def _kpis(scored: DataFrame, spec: ScorecardSpec) -> DataFrame:
     total = F.count(F.lit(1))
     passed = F.count_if(F.col(STATUS) == spec.passed)
-    return scored.agg(
+    return cleaned(scored, spec).agg(
         total.alias("Total_Students"),
         F.avg(AVERAGE).alias("Class_Average"),
         F.avg(spec.attendance).alias("Average_Attendance"),

@@ -277,12 +277,18 @@ def support_distribution(spark, sf_dir):
 
 @query
 def split_sizes(spark, sf_dir):
-    labelled = _core_labelled(spark, sf_dir)
+    """Of the complete records, as they are split to train and evaluate a tree."""
+    complete = _core_labelled(spark, sf_dir).filter(model.is_complete())
     return split.split_sizes(
-        split.stratified_split(labelled, SUPPORT, SPEC.key, LABELS), SUPPORT
+        split.stratified_split(complete, SUPPORT, SPEC.key, LABELS), SUPPORT
     )
 
 
+@query
+def sample_counts(spark, sf_dir):
+    return model.sample_counts(_core_labelled(spark, sf_dir))
+
+
 @query
 def suggestions(spark, sf_dir):
     return model.suggestion_rows(_core_labelled(spark, sf_dir))
@@ -294,14 +300,61 @@ def explain_support(spark, sf_dir):
     return core.select(SPEC.key, explanation().alias("Explanation"))
 
 
+def _trained(spark: SparkSession, sf_dir: str) -> model.HoldOut:
+    """The tree over a folder's records, trained once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TREES:
+        _TREES.clear()
+        _TREES[key] = model.train_and_hold_out(_core_labelled(spark, sf_dir))
+    return _TREES[key]
+
+
+_TREES: dict[tuple[str, str], model.HoldOut] = {}
+
+
 @query
 def predict_support(spark, sf_dir):
-    return model.with_advice(model.train_and_hold_out(_core_labelled(spark, sf_dir)).predicted)
+    """Every record of the table, those with a missing feature without a category."""
+    tree = _trained(spark, sf_dir).tree
+    return model.with_advice(model.predict(tree, _core_labelled(spark, sf_dir)))
+
+
+@query
+def predict_hours_band(spark, sf_dir):
+    """A tree that learns bands of whole study hours, which it can only learn exactly."""
+    hours = F.col(SPEC.hours)
+    high, moderate, on_track = LABELS
+    band = F.when(hours <= 3, high).when(hours <= 5, moderate).otherwise(on_track)
+    rows = wh.core_records(spark, sf_dir).drop(wh.CUSTOMER_KEY).withColumn(SUPPORT, band)
+    predicted = model.with_advice(model.predict(model.train(rows), rows))
+    return predicted.select(
+        SPEC.key,
+        F.col("Prediction.category").alias("Category"),
+        F.col("Prediction.explanation").alias("Explanation"),
+        F.array_join("Prediction.suggestions", " ").alias("Suggestions"),
+    )
 
 
 @query
 def tree_evaluation(spark, sf_dir):
-    return model.evaluation(model.train_and_hold_out(_core_labelled(spark, sf_dir)))
+    return model.evaluation(_trained(spark, sf_dir))
+
+
+@query
+def tree_matrix(spark, sf_dir):
+    return model.tree_report(_trained(spark, sf_dir)).matrix
+
+
+@query
+def tree_class_report(spark, sf_dir):
+    return model.tree_report(_trained(spark, sf_dir)).report
+
+
+def _six_digits(df: DataFrame) -> DataFrame:
+    """Measures as two engines print them alike."""
+    return df.select(
+        *[F.round(c, 6).alias(c) if c in evaluate.METRICS else c for c in df.columns]
+    )
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +365,8 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def eval_metrics(spark, sf_dir):
-    return evaluate.evaluation_metrics(_flagged(spark, sf_dir), SUPPORT, FLAG, LABELS)
+    metrics = evaluate.evaluation_metrics(_flagged(spark, sf_dir), SUPPORT, FLAG, LABELS)
+    return _six_digits(metrics)
 
 
 @query
@@ -333,4 +387,5 @@ def confusion_matrix_wide(spark, sf_dir):
 
 @query
 def classification_report(spark, sf_dir):
-    return evaluate.classification_report(_flagged(spark, sf_dir), SUPPORT, FLAG, LABELS)
+    report = evaluate.classification_report(_flagged(spark, sf_dir), SUPPORT, FLAG, LABELS)
+    return _six_digits(report)

@@ -176,6 +176,30 @@ kpis AS (
 )
 """
 
+# Complete records: the share of all, rounded up, shared out by largest remainder.
+_SIZES = """
+counts AS (
+  SELECT Support_Category, count(*) AS n FROM scored WHERE mean IS NOT NULL
+  GROUP BY Support_Category
+),
+quotas AS (
+  SELECT *, sum(n) OVER () AS total, CAST(ceil(sum(n) OVER () * 0.2) AS BIGINT) AS held
+  FROM counts
+),
+parts AS (SELECT *, CAST(n * held // total AS BIGINT) AS part, n * held % total AS rest FROM quotas),
+sizes AS (
+  SELECT Support_Category, n, part + CASE WHEN
+           row_number() OVER (ORDER BY rest DESC, Support_Category) <= held - sum(part) OVER ()
+         THEN 1 ELSE 0 END AS test
+  FROM parts
+)
+"""
+
+_EXPLANATION = """'Entered marks average: ' || printf('%.1f', mean) || '/100; attendance: '
+       || printf('%.0f', Attendance) || '%; study time: '
+       || printf('%.1f', Study_Hours) || ' hours/day. '
+       || 'This is a demonstration prediction based on synthetic data.'"""
+
 ORACLE: dict[str, str] = {
     "scan_base": f"{_WITH} SELECT {_RECORD} FROM records",
     "existing_keys": """
@@ -310,24 +334,33 @@ SELECT Student_ID, Attendance, Study_Hours, Math, Science, English, Support_Cate
 FROM scored""",
     "support_distribution": f"""{_WITH}
 SELECT Support_Category, count(*) AS Students FROM scored GROUP BY Support_Category""",
-    "split_sizes": f"""{_WITH},
-sizes AS (
-  SELECT Support_Category, count(*) AS n, CAST(round(count(*) * 0.2) AS BIGINT) AS test
-  FROM scored GROUP BY Support_Category
-)
+    "split_sizes": f"""{_WITH}, {_SIZES}
 SELECT Support_Category, n - test AS Training_Samples, test AS Test_Samples FROM sizes""",
+    "sample_counts": f"""{_WITH}, {_SIZES}
+SELECT CAST(sum(n - test) AS BIGINT) AS Training_Samples,
+       CAST(sum(test) AS BIGINT) AS Test_Samples,
+       (SELECT count(*) FILTER (mean IS NULL) FROM scored) AS Left_Out FROM sizes""",
+    "predict_hours_band": f"""{_WITH},
+banded AS (
+  SELECT *, CASE WHEN mean IS NULL THEN NULL WHEN Study_Hours <= 3 THEN 'High support'
+                 WHEN Study_Hours <= 5 THEN 'Moderate support' ELSE 'On track' END AS band
+  FROM scored
+),
+advice AS (
+  SELECT category, string_agg(sentence, ' ' ORDER BY position) AS sentences
+  FROM {_SUGGESTIONS} AS a(category, position, sentence) GROUP BY category
+)
+SELECT Student_ID, band AS Category,
+       CASE WHEN band IS NOT NULL THEN {_EXPLANATION} END AS Explanation,
+       sentences AS Suggestions
+FROM banded LEFT JOIN advice ON category = band""",
     "suggestions": f"""{_WITH}
 SELECT Student_ID, Support_Category, CAST(position AS BIGINT) AS Position,
        sentence AS Suggestion
 FROM scored JOIN {_SUGGESTIONS} AS a(category, position, sentence)
   ON category = Support_Category""",
     "explain_support": f"""{_WITH}
-SELECT Student_ID,
-       'Entered marks average: ' || printf('%.1f', mean) || '/100; attendance: '
-       || printf('%.0f', Attendance) || '%; study time: '
-       || printf('%.1f', Study_Hours) || ' hours/day. '
-       || 'This is a demonstration prediction based on synthetic data.' AS Explanation
-FROM scored""",
+SELECT Student_ID, {_EXPLANATION} AS Explanation FROM scored""",
     "eval_metrics": f"{_WITH}, {_COUNTS}, {_METRICS} SELECT * FROM metrics",
     "eval_cards": f"""{_WITH}, {_COUNTS}, {_METRICS}
 SELECT printf('%.2f', Accuracy * 100) || '%' AS Accuracy,

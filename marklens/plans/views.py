@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marklens.functions.scoring import cleaned
 from marklens.spec import AVERAGE, DEFAULT_SPEC, GRADE, STATUS, ScorecardSpec
 
 VIEW = "students"
 
 
-def register_view(scored: DataFrame, name: str = VIEW) -> None:
-    scored.createOrReplaceTempView(name)
+def register_view(
+    scored: DataFrame, name: str = VIEW, spec: ScorecardSpec = DEFAULT_SPEC
+) -> None:
+    cleaned(scored, spec).createOrReplaceTempView(name)
 
 
 def class_summary(

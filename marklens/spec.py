@@ -63,6 +63,8 @@ class ScorecardSpec:
     mark_min: float = 0.0
     mark_max: float = 100.0
     hours_max: float | None = 24.0
+    key_min: int | None = 1
+    groups: tuple[str, ...] | None = None
 
     support: SupportRules = field(default_factory=SupportRules)
 

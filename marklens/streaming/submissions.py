@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from marklens.operators import ingest
+from marklens.sources.records import header_schema
 from marklens.spec import DEFAULT_SPEC, INGEST_ORDER, REJECT_REASON, ScorecardSpec
 
 VERDICT = "verdict"
@@ -21,10 +23,16 @@ ACCEPTED, REFUSED = "accepted", "refused"
 def read_stream(
     spark: SparkSession, path: str, spec: ScorecardSpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Submission files that carry their own ``Ingest_Order`` column."""
-    schema = spec.submission_schema.add(INGEST_ORDER, "long")
+    """Submission files that carry their own ``Ingest_Order`` column.
+
+    Columns are found by the header of the files that are there at the start; a
+    file with another header stops the stream.
+    """
+    schema = header_schema(spark, path, {INGEST_ORDER: T.LongType()})
+    if not len(schema):
+        schema = spec.submission_schema.add(INGEST_ORDER, "long")
     reader = spark.readStream.option("header", True).option("escape", '"')
-    return reader.schema(schema).csv(path)
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def check_rows(

@@ -34,21 +34,21 @@ def test_against_plain_python(spark, seed, used):
     occurring = [m for m in per_class.values() if m[3] + m[4]]
     got = one(evaluate.evaluation_metrics(df, "a", "p", LABELS))
     assert got["Samples"] == 97
-    assert got["Accuracy"] == pytest.approx(accuracy, abs=1e-6)
+    assert got["Accuracy"] == pytest.approx(accuracy, abs=1e-12)
     for i, name in enumerate(("Precision", "Recall", "F1_Score")):
         want = sum(m[i] for m in occurring) / len(occurring)
-        assert got[name] == pytest.approx(want, abs=1e-6)
+        assert got[name] == pytest.approx(want, abs=1e-12)
 
     report = {r.Label: r for r in evaluate.classification_report(df, "a", "p", LABELS).collect()}
     for label, want in per_class.items():
         row = report[label]
-        assert (row.Precision, row.Recall, row.F1_Score) == pytest.approx(want[:3], abs=1e-6)
+        assert (row.Precision, row.Recall, row.F1_Score) == pytest.approx(want[:3], abs=1e-12)
         assert row.Support == want[3]
-    assert report["accuracy"].F1_Score == pytest.approx(accuracy, abs=1e-6)
+    assert report["accuracy"].F1_Score == pytest.approx(accuracy, abs=1e-12)
     macro = sum(m[0] for m in per_class.values()) / 3
-    assert report["macro avg"].Precision == pytest.approx(macro, abs=1e-6)
+    assert report["macro avg"].Precision == pytest.approx(macro, abs=1e-12)
     weighted = sum(m[1] * m[3] for m in per_class.values()) / 97
-    assert report["weighted avg"].Recall == pytest.approx(weighted, abs=1e-6)
+    assert report["weighted avg"].Recall == pytest.approx(weighted, abs=1e-12)
 
 
 def test_report_order(spark):
@@ -79,3 +79,10 @@ def test_cards(spark):
     df = table(spark, [(LABELS[0], LABELS[0]), (LABELS[1], LABELS[0]), (LABELS[1], LABELS[1])])
     cards = one(evaluate.metric_cards(evaluate.evaluation_metrics(df, "a", "p", LABELS)))
     assert cards["Accuracy"] == "66.67%"
+
+
+def test_cards_round_once(spark):
+    metrics = spark.createDataFrame(
+        [(0.12344996, 0.5, 0.5, 0.5)], "Accuracy double, Precision double, Recall double, F1_Score double"
+    )
+    assert one(evaluate.metric_cards(metrics))["Accuracy"] == "12.34%"

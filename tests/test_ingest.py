@@ -6,7 +6,7 @@ import pytest
 from marklens.operators import ingest
 from marklens.sources import records as store
 from marklens.spec import DEFAULT_SPEC
-from samples import column, record, records, submitted
+from samples import column, final_plan, record, records, submitted
 
 MARK_RANGE = "Marks must be between 0 and 100."
 
@@ -23,7 +23,7 @@ def reasons(spark, rows, stored=()):
         ({}, None),
         ({"Student_ID": "x"}, ingest.NOT_A_NUMBER),
         ({"Student_ID": None}, ingest.NOT_A_NUMBER),
-        ({"Student_ID": "0"}, ingest.KEY_RANGE),
+        ({"Student_ID": "0"}, "Student ID must be at least 1."),
         ({"Student_ID": " 42 "}, ingest.DUPLICATE_KEY),
         ({"Student_ID": "0042"}, ingest.DUPLICATE_KEY),
         ({"Student_ID": "42", "Math": "x"}, ingest.DUPLICATE_KEY),
@@ -112,7 +112,7 @@ def one_at_a_time(rows, stored):
         if not text.lstrip("+-").isdigit():
             verdicts.append(ingest.NOT_A_NUMBER)
         elif int(text) < 1:
-            verdicts.append(ingest.KEY_RANGE)
+            verdicts.append("Student ID must be at least 1.")
         elif int(text) in known:
             verdicts.append(ingest.DUPLICATE_KEY)
         elif not row["Name"].strip():
@@ -125,11 +125,10 @@ def one_at_a_time(rows, stored):
     return verdicts
 
 
-@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
-def test_same_as_one_at_a_time(spark, monkeypatch, hot_keys):
+@pytest.mark.parametrize("seed", [1, 3, 1000])
+def test_same_as_one_at_a_time(spark, seed):
     """Random batches in which one key holds a third of the rows and many ids are bad."""
-    monkeypatch.setattr(ingest, "HOT_KEYS", hot_keys)
-    rng = random.Random(hot_keys)
+    rng = random.Random(seed)
     rows = []
     for _ in range(600):
         key = "7" if rng.random() < 0.33 else str(rng.randint(-2, 60))
@@ -142,3 +141,41 @@ def test_same_as_one_at_a_time(spark, monkeypatch, hot_keys):
         )
     stored = range(20, 40)
     assert reasons(spark, rows, stored) == one_at_a_time(rows, stored)
+
+
+def test_frequent_keys_are_split(spark):
+    """Two keys of a third of the rows each: adaptive execution splits both."""
+    rows = [
+        {"Student_ID": str(key), "Name": f"{i} " + "x" * 40}
+        for i, key in enumerate([7, 8, 9] * 1500)
+    ]
+    rows += [{"Student_ID": str(i)} for i in range(100, 1500)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        batch = submitted(spark, rows).repartition(8)
+        checked = ingest.validate(batch, records(spark, [record(9)]))
+        assert "skew=true" in final_plan(checked)
+        kept = ingest.accepted(checked)
+        assert kept.filter("Student_ID IN (7, 8)").count() == 2
+        assert kept.count() == 1402
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_optional_rules(spark):
+    spec = replace(DEFAULT_SPEC, groups=("F", "Other"), key_min=None)
+    rows = [{"Student_ID": "-4"}, {"Student_ID": "0", "Gender": "Zed"}]
+    checked = ingest.validate(submitted(spark, rows), records(spark, []), spec)
+    reasons_ = [r.Reject_Reason for r in checked.orderBy("Ingest_Order").collect()]
+    assert reasons_ == [None, "Gender must be one of F, Other."]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -12,13 +13,19 @@ SF = "/root/testdata/sf0.01"
 
 
 def brute_force(df, share):
-    """Rank every label by hash in plain Python."""
+    """Rank every label by hash in plain Python; totals by largest remainder."""
     rows = df.select("Student_ID", SUPPORT, F.xxhash64("Student_ID").alias("h")).collect()
+    sizes = {label: sum(r[SUPPORT] == label for r in rows) for label in LABELS}
+    total, n = math.ceil(round(len(rows) * share, 6)), len(rows)
+    wanted = {label: size * total // n for label, size in sizes.items()}
+    present = [label for label in LABELS if sizes[label]]
+    order = sorted(present, key=lambda x: (-(sizes[x] * total % n), LABELS.index(x)))
+    for label in order[: total - sum(wanted.values())]:
+        wanted[label] += 1
     test = set()
-    for label in {r[SUPPORT] for r in rows}:
+    for label in present:
         ranked = sorted((r.h % 2**64, r.Student_ID) for r in rows if r[SUPPORT] == label)
-        wanted = int(len(ranked) * share + 0.5)
-        test |= {key for _, key in ranked[:wanted]}
+        test |= {key for _, key in ranked[: wanted[label]]}
     return test
 
 
@@ -34,6 +41,14 @@ def test_split_is_exact(spark, bits, share):
     assert got == brute_force(df, share)
 
 
+def test_total_of_uneven_classes(spark):
+    """Nine rows in three classes at a fifth are two test rows, not three."""
+    rows = [(k, LABELS[k % 3]) for k in range(9)]
+    df = spark.createDataFrame(rows, f"Student_ID bigint, {SUPPORT} string")
+    parts = split.stratified_split(df, SUPPORT, "Student_ID", LABELS, 0.2)
+    assert parts.filter(split.IS_TEST).count() == 2
+
+
 def test_split_leaves_other_labels_in_training(spark):
     df = spark.createDataFrame([(1, "On track"), (2, None), (3, "?")], f"Student_ID bigint, {SUPPORT} string")
     parts = split.stratified_split(df, SUPPORT, "Student_ID", LABELS, 1.0)
@@ -58,7 +73,13 @@ def test_tree_on_held_out_records(spark):
     metrics = one(model.evaluation(hold_out))
     assert metrics["Accuracy"] >= 0.80
     assert metrics["Test_Samples"] == predicted.count()
-    assert metrics["Training_Samples"] == hold_out.training.count() == 12_000
+    assert metrics["Training_Samples"] == hold_out.training.count() == 11_794
+    assert metrics["Test_Samples"] == 2_949 and metrics["Left_Out"] == 257
+    report = model.tree_report(hold_out)
+    assert one(report.matrix.agg(F.sum("Samples").alias("n")))["n"] == 2_949
+    assert report.classes == tuple(LABELS)
+    recall = {r.Label: r.Recall for r in report.report.collect()}
+    assert set(LABELS) <= set(recall)
     labels = set(column(predicted.select(model.PREDICTED).distinct(), model.PREDICTED))
     assert labels <= set(LABELS)
     cells = evaluate.confusion_matrix(predicted, SUPPORT, model.PREDICTED, LABELS)
@@ -92,11 +113,14 @@ def test_save_and_load(spark, tmp_path):
     assert differ.count() == 0
 
 
-def test_incomplete_records_are_not_predicted(spark):
+@pytest.mark.parametrize("gap", [None, float("nan")])
+def test_incomplete_records_stay_without_a_category(spark, gap):
     rows = [record(k, attendance=float(40 + k), math=float(k)) for k in range(1, 60)]
-    tree = model.train(model.label_support(records(spark, rows)))
-    df = records(spark, [record(1), record(2, math=None)])
-    assert column(model.predict(tree, df), "Student_ID") == [1]
+    tree = model.train(model.label_support(records(spark, [*rows, record(99, math=gap)])))
+    df = records(spark, [record(1), record(2, math=gap)])
+    advised = {r.Student_ID: r for r in model.with_advice(model.predict(tree, df)).collect()}
+    assert advised[1][model.PREDICTED] and advised[1].Prediction.suggestions
+    assert advised[2][model.PREDICTED] is None and advised[2].Prediction.explanation is None
 
 
 def test_suggestion_rows(spark):
