@@ -51,7 +51,7 @@ class Forest:
     least: int = 3
     first_trees: int = 4
     reach: int = 8
-    widening: int = 8
+    widening: int = 64
     percent: int = 85
     block: int = 256
     shingle: int = SHINGLE
@@ -173,16 +173,35 @@ def _neighbours(
         carried = [x[-reach:].copy() for x in columns]
 
 
-def _rows(sets: DataFrame, trees: int, forest: Forest, *more: str) -> DataFrame:
+def _rows(sets: DataFrame, trees: int, forest: Forest) -> DataFrame:
     """A row per set and tree, with its path there and the region's hash."""
     width = 4 * forest.depth
     paths = F.expr(
         f"transform(sequence(0, {trees - 1}), "
         f"t -> struct(t AS tree, substring(signature, 1 + t * {width}, {width}) AS path))"
     )
-    rows = sets.select("component", "n_shingles", *more, F.explode(paths).alias("at"))
+    rows = sets.select("doc_id", "n_shingles", F.explode(paths).alias("at"))
     region = F.xxhash64("at.tree", F.expr(f"substring(at.path, 1, {4 * forest.least})"))
-    return rows.select("component", "n_shingles", *more, "at.tree", "at.path", region.alias("region"))
+    return rows.select("doc_id", "n_shingles", "at.tree", "at.path", region.alias("region"))
+
+
+def _perhaps(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose value is among ``keys`` (one column), and a few others.
+
+    The keys' hashes set bits in a map of fixed size, which is broadcast, so that
+    the other rows need not be shuffled to find out. An exact join follows.
+    """
+    place = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << 26))
+    keys = keys.toDF(column).select(place.alias("bit"))
+    maps = keys.groupBy(F.bitmap_bucket_number("bit").alias("bit_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bit_map")
+    )
+    found = rows.select(F.struct("*").alias("row"), F.col(column)).withColumn("bit", place)
+    found = found.join(F.broadcast(maps), F.bitmap_bucket_number("bit") == F.col("bit_bucket"))
+    found = found.withColumn("at", F.bitmap_bit_position("bit"))
+    byte = F.expr("cast(conv(hex(substring(bit_map, cast(at div 8 AS int) + 1, 1)), 16, 10) AS int)")
+    is_set = F.expr("shiftright(byte, cast(at % 8 AS int)) % 2 = 1")
+    return found.withColumn("byte", byte).filter(is_set).select("row.*")
 
 
 def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = False) -> DataFrame:
@@ -205,9 +224,8 @@ def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = Fal
 
 def first_pairs(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     """Each set with its next neighbour in the first trees."""
-    alone = sets.withColumn("component", F.col("doc_id"))
-    rows = _rows(alone, forest.first_trees, forest).select(
-        "component",
+    rows = _rows(sets, forest.first_trees, forest).select(
+        F.col("doc_id").alias("component"),
         F.lit(1).cast("long").alias("size"),
         F.col("n_shingles").alias("n_min"),
         F.col("n_shingles").alias("n_max"),
@@ -217,33 +235,63 @@ def first_pairs(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     return neighbours(rows, 1, forest)
 
 
+def shared_regions(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
+    """The rows of all trees that share their region with another set; few do."""
+    rows = _rows(sets, forest.trees, forest)
+    shared = (
+        rows.groupBy("region")
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        .filter("low < high")
+        .select("region")
+    )
+    shared = keep(shared, "regions")
+    return _perhaps(rows, "region", shared).join(shared, "region", "left_semi")
+
+
 def region_pairs(
-    sets: DataFrame, reach: int, forest: Forest = DEFAULT, estimate: bool = False
+    rows: DataFrame,
+    labels: DataFrame,
+    reach: int,
+    forest: Forest = DEFAULT,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
     """Components that meet in a region of any tree, within reach.
 
-    ``sets`` has component and its size. Regions with one component are left out
-    by their smallest and greatest component; in the others each component has
-    one row, with the range of its set sizes there.
+    Regions with one component are left out by their smallest and greatest
+    component; in the others each component has one row, with the range of its set
+    sizes there. ``sets`` gives signatures to estimate likeness by.
     """
-    more = ["size"] + ["signature"] * estimate
-    rows = _rows(sets, forest.trees, forest, *more)
+    rows = keep(_with_component(rows, labels), "rows")
     mixed = (
         rows.groupBy("region")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high")
-        .select(F.col("region").alias("mixed"))
     )
-    mixed = keep(mixed, "mixed")
-    rows = rows.join(mixed, F.col("region") == F.col("mixed"), "left_semi")
-    once = rows.groupBy("tree", "region", "component").agg(
-        F.first("size").alias("size"),
-        F.min("n_shingles").alias("n_min"),
-        F.max("n_shingles").alias("n_max"),
-        F.min("path").alias("path"),
-        *[F.first("signature").alias("signature")] * estimate,
+    once = (
+        rows.join(mixed, "region", "left_semi")
+        .groupBy("tree", "region", "component")
+        .agg(
+            F.min("n_shingles").alias("n_min"),
+            F.max("n_shingles").alias("n_max"),
+            F.min(F.struct("path", "doc_id")).alias("first"),
+        )
+        .join(_sizes(labels), "component", "left")
     )
-    return neighbours(once.drop("region"), reach, forest, estimate)
+    once = once.select(
+        "component",
+        F.coalesce("size", F.lit(1)).cast("long").alias("size"),
+        "n_min",
+        "n_max",
+        "tree",
+        "first.path",
+        F.col("first.doc_id").alias("doc_id"),
+    )
+    if sets is not None:
+        once = keep(once, "rows")
+        known = _perhaps(sets.select("doc_id", "signature"), "doc_id", once.select("doc_id"))
+        known = known.groupBy("doc_id").agg(F.first("signature").alias("signature"))
+        once = once.join(known, "doc_id")
+    return neighbours(once.drop("doc_id"), reach, forest, sets is not None)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
@@ -286,79 +334,62 @@ def _compare(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.R
         )
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is among ``ids``, and a few others.
-
-    The ids' hashes set bits in a map of fixed size, which is broadcast, so that
-    the other texts need not be shuffled to find out. An exact join follows.
-    """
-    bits = 1 << 26
+def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    known = rows.join(labels, F.col("doc_id") == F.col("id"), "left").drop("id")
+    return known.withColumn("component", F.coalesce("label", "doc_id")).drop("label")
 
-    def place(column: str):
-        return F.pmod(F.xxhash64(column), F.lit(bits))
 
-    maps = ids.select(place("doc_id").alias("bit")).groupBy(
-        F.bitmap_bucket_number("bit").alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
-    rows = docs.select("doc_id", "text", place("doc_id").alias("bit"))
-    rows = rows.join(F.broadcast(maps), F.bitmap_bucket_number("bit") == F.col("bucket"))
-    at = F.bitmap_bit_position("bit")
-    byte = F.expr("conv(hex(substring(map, cast(position div 8 AS int) + 1, 1)), 16, 10)")
-    rows = rows.withColumn("position", at).withColumn("byte", byte.cast("int"))
-    is_set = F.expr("shiftright(byte, cast(position % 8 AS int)) % 2 = 1")
-    return rows.filter(is_set).select("doc_id", "text")
+def _sizes(labels: DataFrame) -> DataFrame:
+    return labels.groupBy(F.col("label").alias("component")).agg(F.count("*").alias("size"))
 
 
 def confirmed(
-    pairs: DataFrame, members: DataFrame, docs: DataFrame, forest: Forest = DEFAULT
+    pairs: DataFrame, docs: DataFrame, labels: DataFrame | None = None, forest: Forest = DEFAULT
 ) -> DataFrame:
     """Links (a, b) between the components of each pair, one or more if there are any.
 
-    ``members``: doc_id, component and its size. The larger component is the base:
-    each member goes to one block of it. The documents of the smaller go to every
-    block. So a text is sent once for each component that it is compared with, or
-    block of it, and pairs of documents are never listed.
+    A component without labels is the document of its id. The larger component is
+    the base: each member goes to one block of it. The documents of the smaller go
+    to every block. So a text is sent once for each component that it is compared
+    with, or block of it, and pairs of documents are never listed.
     """
-    sizes = members.select(F.col("component"), "size").distinct()
-    known = pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-    swap = F.col("size_a") >= F.col("size_b")
-    sides = known.select(
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("base"),
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("other"),
-        F.ceil(F.greatest("size_a", "size_b") / forest.block).alias("blocks"),
-    )
-    bases = sides.select("base", "blocks").distinct()
-    own = members.join(bases, F.col("component") == F.col("base")).select(
-        "base",
-        F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("long").alias("block"),
-        F.lit(0).alias("side"),
-        "doc_id",
-    )
-    asked = members.join(sides, F.col("component") == F.col("other")).select(
-        "base",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.lit(1).alias("side"),
-        "doc_id",
-    )
+    if labels is None:
+        one = F.lit(0).cast("long").alias("block")
+        own = pairs.select(F.col("a").alias("base"), one, F.lit(0).alias("side"), F.col("a").alias("doc_id"))
+        asked = pairs.select("a", one, F.lit(1), "b")
+    else:
+        sizes = _sizes(labels)
+        known = pairs.join(sizes.toDF("a", "size_a"), "a", "left")
+        known = known.join(sizes.toDF("b", "size_b"), "b", "left").fillna(1, ["size_a", "size_b"])
+        swap = F.col("size_a") >= F.col("size_b")
+        sides = known.select(
+            F.when(swap, F.col("a")).otherwise(F.col("b")).alias("base"),
+            F.when(swap, F.col("b")).otherwise(F.col("a")).alias("other"),
+            F.ceil(F.greatest("size_a", "size_b") / forest.block).alias("blocks"),
+        )
+        sides = keep(sides, "sides")
+        bases = sides.select("base", "blocks").distinct()
+        member = F.coalesce("id", "base").alias("doc_id")
+        own = bases.join(labels, F.col("base") == F.col("label"), "left").select(
+            "base",
+            F.pmod(F.xxhash64(F.coalesce("id", "base")), F.col("blocks")).cast("long").alias("block"),
+            F.lit(0).alias("side"),
+            member,
+        )
+        asked = sides.join(labels, F.col("other") == F.col("label"), "left").select(
+            "base",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+            F.lit(1).alias("side"),
+            F.coalesce("id", "other").alias("doc_id"),
+        )
     places = keep(own.union(asked).distinct(), "places")
-    texts = _only(docs, places).withColumnRenamed("doc_id", "text_id")
-    sent = places.join(texts, F.col("doc_id") == F.col("text_id")).drop("text_id")
-    met = sent.repartition("base", "block").sortWithinPartitions("base", "block", "side", "doc_id")
+    texts = _perhaps(docs.select("doc_id", "text"), "doc_id", places.select("doc_id"))
+    sent = places.join(texts.withColumnRenamed("doc_id", "text_id"), F.col("doc_id") == F.col("text_id"))
+    met = sent.drop("text_id").repartition("base", "block")
+    met = met.sortWithinPartitions("base", "block", "side", "doc_id")
     return met.mapInArrow(partial(_compare, forest=forest), "a long, b long")
 
 
-def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Adds component and its number of sets."""
-    known = rows.join(labels, F.col("doc_id") == F.col("id"), "left").drop("id")
-    return known.withColumn("component", F.coalesce("label", "doc_id")).drop("label")
-
-
-def _members(ids: DataFrame, labels: DataFrame) -> DataFrame:
-    rows = keep(_with_component(ids, labels), "members")
-    sizes = rows.groupBy("component").agg(F.count("*").alias("size"))
-    return keep(rows.join(sizes, "component"), "members")
-
-
 def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -374,31 +405,28 @@ def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
         F.first("signature").alias("signature"),
     )
     sets = keep(sets, "sets")
-    ids = sets.select("doc_id").distinct()
     # A doc_id on several rows ties their sets together, and copies their ids.
     firsts = sets.select("digest", F.col("doc_id").alias("first_id"))
     copies = usable.select("digest", "doc_id").join(firsts, "digest").filter("doc_id <> first_id")
     pairs = keep(first_pairs(sets, forest), "pairs").filter("candidate").select("a", "b")
-    alone = ids.select("doc_id", F.col("doc_id").alias("component"), F.lit(1).alias("size"))
-    found = confirmed(pairs, alone, docs, forest)
-    links = keep(found.union(copies.select("first_id", "doc_id")), "links")
-    labels = components(links)
-    asked, reach = sets, forest.reach
+    found = confirmed(pairs, docs, forest=forest)
+    labels = components(keep(found.union(copies.select("first_id", "doc_id")), "found"))
+    rows, reach = keep(shared_regions(sets, forest), "shared"), forest.reach
     while True:
-        members = _members(ids, labels)
-        placed = asked.drop("component", "size").join(members, "doc_id")
-        wider = reach > forest.reach
-        pairs = keep(region_pairs(placed, reach, forest, wider), "pairs")
-        found = confirmed(pairs.filter("candidate").select("a", "b"), members, docs, forest)
-        found = keep(found, "found")
+        wider = sets if reach > forest.reach else None
+        pairs = keep(region_pairs(rows, labels, reach, forest, wider), "pairs")
+        asked = pairs.filter("candidate").select("a", "b")
+        found = keep(confirmed(asked, docs, labels, forest), "found")
         if found.isEmpty():
             break
         crowded = pairs.filter("dense")
         crowded = crowded.select("a").union(crowded.select("b")).distinct()
-        crowded = members.join(crowded, F.col("component") == F.col("a"), "left_semi")
-        asked = keep(asked.join(crowded.select("doc_id"), "doc_id", "left_semi"), "dense")
+        rows = _with_component(rows, labels).join(
+            crowded, F.col("component") == F.col("a"), "left_semi"
+        )
+        rows = keep(rows.drop("component"), "dense")
         labels = components(found, labels)
-        if asked.isEmpty():
+        if rows.isEmpty():
             break
         reach *= forest.widening
     rows = signed.drop("signature", "digest").join(
