@@ -36,6 +36,8 @@ from marklens.llm.storage import keep
 
 LIMIT = 800_000
 LONGEST = 48
+#: Ids of words beyond the table that a task remembers.
+REMEMBERED = 100_000
 
 
 def load_spec(path: str) -> str:
@@ -109,7 +111,7 @@ class _Texts:
 def _gather(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """One row of ids per text, from its places in order."""
     tokenizer, texts, doc, started = _tokenizer(spec), _Texts(), None, False
-    out_ids, out_docs = [], []
+    out_ids, out_docs, known = [], [], {}
 
     def batch_out() -> pa.RecordBatch:
         lengths = np.array([0, *(len(x) for x in out_ids)])
@@ -134,7 +136,12 @@ def _gather(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordB
         missing = batch.column("missing")
         if missing.null_count < len(missing):
             rows = np.flatnonzero(missing.is_valid().to_numpy(zero_copy_only=False))
-            more = _ids(tokenizer, missing.drop_null().to_pylist())
+            wanted = missing.drop_null().to_pylist()
+            if len(known) > REMEMBERED:
+                known.clear()
+            fresh = [w for w in dict.fromkeys(wanted) if w not in known]
+            known.update(zip(fresh, _ids(tokenizer, fresh), strict=True))
+            more = [known[w] for w in wanted]
             sizes = np.array([len(x) for x in more])
             values = np.array([y for x in more for y in x], dtype=np.int32)
             flat = np.insert(flat, np.repeat((ends - lengths)[rows], sizes), values)
