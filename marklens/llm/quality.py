@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marklens.llm.storage import keep
-from marklens.llm.wordhash import SPACED, buffers, chunks, words
+from marklens.llm.wordhash import SPACED, buffers, chunks, mix, words
 
 #: The classifier is fitted on at most about so many labelled rows.
 LABELLED = 20_000
@@ -70,8 +70,8 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out[:, 130] = share(odd.astype(float))
     out[:, 131] = share((length <= 1).astype(float))
     out[:, 132] = np.log1p(n) / 10
-    different = np.unique(np.stack([owner.astype(np.uint64), w.hashes]), axis=1)[0]
-    out[:, 133] = np.bincount(different.astype(np.int64), minlength=rows) / per
+    _, different = np.unique(w.hashes ^ mix(owner.astype(np.uint64)), return_index=True)
+    out[:, 133] = np.bincount(owner[different], minlength=rows) / per
     return out
 
 
@@ -179,6 +179,8 @@ def site_rates(evidence: DataFrame, model: Classifier) -> DataFrame:
     paths = evidence.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.sum(good).alias("good")
     )
+    # Read several times below, and made by reading every text.
+    paths = keep(paths, "site-counts")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
     rate = F.col("host_good") / F.col("host_n")
     whole = hosts.agg(
