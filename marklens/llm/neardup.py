@@ -13,8 +13,10 @@ Neighbours are candidates only: a link holds when the full sets confirm it.
    stands once, and components within reach are compared in full: the members of
    the larger in blocks, those of the smaller past each block. Regions of one
    component, as most are by now, fall out.
-3. Components with more neighbours than the reach go again, with a wider reach,
-   until no such region is left or a round finds no link.
+3. Components with more neighbours than the reach, or cut off from some by the
+   border of a sort partition, go again with a wider reach while that finds links.
+4. What is then still dense is searched exactly: sets that may be linked share one
+   of their rarest shingles.
 
 Edge cases: a null text reads as empty; an empty set is linked with nothing; a
 row without doc_id has no component and takes no part; rows that share a doc_id
@@ -30,6 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,8 +128,11 @@ def _neighbours(
     ``candidate``: their set sizes allow a link. ``dense``: the pair stands at full
     reach, so there may be more beyond. ``estimate``: signatures are there; two
     single sets far below the limit by them are left out. The last rows of a batch
-    are carried over to the next one.
+    are carried over to the next one. Rows within reach of the partition's border
+    come with their region as ``edge`` and without b.
     """
+    part = TaskContext.get().partitionId()
+    head: list[tuple[int, bytes]] = []
     width = 4 * forest.depth
     fields = ("component", "size", "n_min", "n_max", "tree")
     carried = None
@@ -137,6 +143,9 @@ def _neighbours(
         columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in fields]
         paths = b"".join(batch.column("path").to_pylist())
         columns.append(np.frombuffer(paths, np.uint8).reshape(-1, width)[:, : 4 * forest.least])
+        if len(head) < reach:
+            more = min(reach - len(head), new)
+            head += _regions(columns[0][:more], columns[4][:more], columns[5][:more])
         if estimate:
             whole = b"".join(batch.column("signature").to_pylist())
             columns.append(np.frombuffer(whole, ">u4").reshape(new, -1))
@@ -167,10 +176,32 @@ def _neighbours(
                     pa.array(np.maximum(ids[a], ids[b]), pa.int64()),
                     pa.array(fresh, pa.bool_()),
                     pa.array(np.full(len(a), step == reach), pa.bool_()),
+                    pa.nulls(len(a), pa.binary()),
+                    pa.nulls(len(a), pa.int32()),
                 ],
-                names=["a", "b", "candidate", "dense"],
+                names=["a", "b", "candidate", "dense", "edge", "part"],
             )
         carried = [x[-reach:].copy() for x in columns]
+    if carried is not None:
+        # Only the regions of the first and the last row can go on beyond the border.
+        tail = _regions(carried[0], carried[4], carried[5])
+        rows = [x for x in head if x[1] == head[0][1]] + [x for x in tail if x[1] == tail[-1][1]]
+        no = np.zeros(len(rows), bool)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([x[0] for x in rows], pa.int64()),
+                pa.nulls(len(rows), pa.int64()),
+                pa.array(no, pa.bool_()),
+                pa.array(no, pa.bool_()),
+                pa.array([x[1] for x in rows], pa.binary()),
+                pa.array(np.full(len(rows), part), pa.int32()),
+            ],
+            names=["a", "b", "candidate", "dense", "edge", "part"],
+        )
+
+
+def _regions(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> list[tuple[int, bytes]]:
+    return [(i, bytes([t]) + k.tobytes()) for i, t, k in zip(ids.tolist(), trees.tolist(), keys, strict=True)]
 
 
 def _rows(sets: DataFrame, trees: int, forest: Forest) -> DataFrame:
@@ -205,23 +236,33 @@ def _perhaps(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
 
 
 def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = False) -> DataFrame:
-    """Pairs (a < b) of neighbouring components, as (a, b, candidate, dense).
+    """Pairs (a < b) of neighbouring components, as (a, b, candidate, dense, edge, part).
 
     The sort splits a dense region over as many partitions as it needs.
-    Neighbours on either side of a partition border miss each other in that one
-    tree only.
+    Neighbours on either side of a partition border miss each other; rows with
+    ``edge`` tell where that can be, see ``crowded``.
     """
     order = ("tree", "path", "component")
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     pairs = ordered.mapInArrow(
         partial(_neighbours, forest=forest, reach=reach, estimate=estimate),
-        "a long, b long, candidate boolean, dense boolean",
+        "a long, b long, candidate boolean, dense boolean, edge binary, part int",
     )
-    return pairs.groupBy("a", "b").agg(
+    return pairs.groupBy("a", "b", "edge", "part").agg(
         F.max("candidate").alias("candidate"), F.max("dense").alias("dense")
     )
 
 
+def crowded(pairs: DataFrame) -> DataFrame:
+    """Components (a) that may have neighbours which ``pairs``, stored, lacks: at full
+    reach, or at a border in a region that goes on in another partition."""
+    dense = pairs.filter("dense")
+    edges = pairs.filter("edge IS NOT NULL")
+    cut = edges.groupBy("edge").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    beside = edges.join(cut.filter("low < high"), "edge", "left_semi").select("a")
+    return dense.select("a").union(dense.select("b")).union(beside).distinct()
+
+
 def first_pairs(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     """Each set with its next neighbour in the first trees."""
     rows = _rows(sets, forest.first_trees, forest).select(
@@ -390,6 +431,69 @@ def confirmed(
     return met.mapInArrow(partial(_compare, forest=forest), "a long, b long")
 
 
+def _shingles(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = list(_sets(batch.column("text"), forest))
+        ends = pa.array(np.cumsum([0] + [len(x) for x in sets]), pa.int32())
+        every = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("set"),
+                batch.column("component"),
+                pa.ListArray.from_arrays(ends, pa.array(every)),
+            ],
+            names=["set", "component", "shingles"],
+        )
+
+
+def exact_pairs(
+    rows: DataFrame, labels: DataFrame, docs: DataFrame, forest: Forest = DEFAULT
+) -> DataFrame:
+    """Pairs (a < b) of the rows' components that can have a link, none left out.
+
+    Shingles are ordered by the number of sets that hold them. The first one that
+    two linked sets share stands among the first of either, as far in as the
+    limit allows: ``asked`` places for any set, fewer, ``first`` places, for the
+    smaller of the two. A component has one row per shingle, set size and place
+    class, so families don't list pairs of their own.
+    """
+    p = forest.percent
+    members = keep(_with_component(rows.select("doc_id").distinct(), labels), "members")
+    texts = _perhaps(docs.select("doc_id", "text"), "doc_id", members.select("doc_id"))
+    texts = texts.join(members, "doc_id").select(
+        F.xxhash64("text").alias("set"), "component", "text"
+    )
+    sets = texts.mapInArrow(
+        partial(_shingles, forest=forest), "set long, component long, shingles array<long>"
+    )
+    # Equal texts of a component count once.
+    sets = keep(sets.dropDuplicates(["set", "component"]), "shingles")
+    single = sets.select("set", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    held = single.groupBy("shingle").agg(
+        F.count("*").alias("held"),
+        (F.min("component") < F.max("component")).alias("mixed"),
+    )
+    ordered = (
+        single.join(held, "shingle")
+        .groupBy("set", "component", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("held", "shingle", "mixed"))).alias("ordered"))
+    )
+    first = F.expr(f"n - (2 * {p} * n + {99 + p}) div {100 + p} + 1")
+    asked = F.expr(f"n - ({p} * n + 99) div 100 + 1")
+    rare = ordered.select(
+        "component", "n", first.alias("first"), F.posexplode(F.slice("ordered", F.lit(1), asked.cast("int"))).alias("at", "x")
+    ).filter("x.mixed")
+    rare = rare.groupBy(F.col("x.shingle").alias("shingle"), "component", "n").agg(
+        F.min("at").alias("at"), F.max(F.col("at") < F.col("first")).alias("small")
+    )
+    rare = keep(rare, "rare")
+    small = rare.filter("small").select("shingle", F.col("component").alias("a"), F.col("n").alias("na"), F.col("at").alias("at_a"))
+    large = rare.select("shingle", F.col("component").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"))
+    enough = f"(100 + {p}) * (1 + least(na - 1 - at_a, nb - 1 - at_b)) >= {p} * (na + nb)"
+    met = small.join(large, "shingle").filter(f"a <> b AND na <= nb AND 100 * na >= {p} * nb AND {enough}")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -417,17 +521,20 @@ def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
         pairs = keep(region_pairs(rows, labels, reach, forest, wider), "pairs")
         asked = pairs.filter("candidate").select("a", "b")
         found = keep(confirmed(asked, docs, labels, forest), "found")
-        if found.isEmpty():
-            break
-        crowded = pairs.filter("dense")
-        crowded = crowded.select("a").union(crowded.select("b")).distinct()
-        rows = _with_component(rows, labels).join(
-            crowded, F.col("component") == F.col("a"), "left_semi"
+        dense = _with_component(rows, labels).join(
+            crowded(pairs), F.col("component") == F.col("a"), "left_semi"
         )
-        rows = keep(rows.drop("component"), "dense")
-        labels = components(found, labels)
+        rows = keep(dense.drop("component"), "dense")
+        none = found.isEmpty()
+        if not none:
+            labels = components(found, labels)
         if rows.isEmpty():
             break
+        if none:
+            asked = keep(exact_pairs(rows, labels, docs, forest), "exact")
+            found = keep(confirmed(asked, docs, labels, forest), "found")
+            labels = components(found, labels)
+            break
         reach *= forest.widening
     rows = signed.drop("signature", "digest").join(
         labels, F.col("doc_id") == F.col("id"), "left"

@@ -117,3 +117,42 @@ def test_components(spark):
     more = spark.createDataFrame([(150, 530)], "a long, b long")
     further = {r["id"]: r["label"] for r in components(more, components(frame)).collect()}
     assert {further[x] for x in (100, 160, 500, 559)} == {100}
+
+
+def crowd(pairs, others):
+    """Pairs of likeness 0.87 among texts that are all alike by 0.82."""
+    common = " ".join(f"c{i}" for i in range(404))
+    texts = []
+    for pair in range(pairs):
+        shared = " ".join(f"s{pair}-{i}" for i in range(14))
+        texts += [f"{common} {shared} " + " ".join(f"p{pair}-{side}-{i}" for i in range(30)) for side in "ab"]
+    texts += [f"{common} " + " ".join(f"o{n}-{i}" for i in range(44)) for n in range(others)]
+    # The texts of a pair get ids far apart.
+    return [(1 + (at * 101) % 997, text) for at, text in enumerate(texts)]
+
+
+def test_dense_region_without_links_in_reach(spark):
+    rows = crowd(6, 240)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert sum(doc != component for doc, (_, component) in want.items()) == 6
+    # One value a tree: the region is nearly all texts, in the order of their ids.
+    forest = neardup.Forest(trees=2, depth=1, least=1, first_trees=1, reach=1, widening=1)
+    assert found(neardup.near_duplicates(docs, forest)) == want
+
+
+def test_partition_border_marks_what_it_cuts(spark):
+    rows = [(i, 1, 10, 10, 0, bytes(24)) for i in range(1, 9)] + [(9, 1, 10, 10, 1, bytes(24))]
+    frame = spark.createDataFrame(
+        rows, "component long, size long, n_min long, n_max long, tree int, path binary"
+    )
+    old = type(frame).repartitionByRange
+    try:
+        type(frame).repartitionByRange = lambda self, *c: old(self, 3, *c)
+        pairs = neardup.neighbours(frame, 8, neardup.DEFAULT).localCheckpoint()
+    finally:
+        type(frame).repartitionByRange = old
+    seen = {(r["a"], r["b"]) for r in pairs.filter("candidate").collect()}
+    missed = {(a, b) for a in range(1, 9) for b in range(a + 1, 9)} - seen
+    marked = {r["a"] for r in neardup.crowded(pairs).collect()}
+    assert missed and {x for pair in missed for x in pair} <= marked and 9 not in marked
