@@ -3,8 +3,10 @@
 Numbers, units and names become typed placeholders, so a question asked anew with
 other values reads the same. Every window of canonical words of every text is
 joined by its hash to the windows of the benchmark items. Matches on one diagonal
-(place in the text less place in the item) belong together. They count only if
-the slots are consistent: where an item repeats a value, the text repeats one too.
+(place in the text less place in the item) belong together, and so do those on
+consistent diagonals beside each other. They count only if the slots are
+consistent: where an item repeats a value, the text repeats one too. A number with
+its points and commas is one value, and so are the words of a name.
 
 Edge cases: a null text reads as empty; an item with fewer words than a window, or
 without a window of enough plain words, can't be found; equal rows have equal
@@ -19,7 +21,8 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marklens.llm.wordhash import PLAIN, Words, buffers, chunks, grams, words
@@ -39,12 +42,14 @@ _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (1, 2, 3))
 class Windows:
     """words: in a window; plain: of them that aren't placeholders, at least;
     aligned: matched windows on a diagonal that show a passage; share: of an
-    item's windows that do so for a short item."""
+    item's windows that do so for a short item; drift: of diagonals that are added
+    up, from one to the next at most."""
 
     words: int = 6
     plain: int = 3
     aligned: int = 8
     share: float = 0.6
+    drift: int = 3
 
 
 DEFAULT = Windows()
@@ -79,6 +84,28 @@ def _kinds(w: Words, units: np.ndarray) -> np.ndarray:
     return kinds
 
 
+def _runs(w: Words, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, placeholders and rows' first places with each run of words that is one
+    value as one word: digits around a point or comma, or the words of a name."""
+    n = len(kinds)
+    if not n:
+        return w.hashes, kinds, w.first
+    joins = np.zeros(n, bool)
+    gap = w.starts[1:] - w.ends[:-1]
+    between = w.data[w.ends[:-1]]
+    digit = (w.data >= 0x30) & (w.data <= 0x39)
+    inside = digit[w.ends[:-1] - 1] & digit[w.starts[1:]] & np.isin(between, [0x2C, 0x2E])
+    name = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & np.isin(between, [0x20, 0x27, 0x2D])
+    joins[1:] = (gap == 1) & (inside | name)
+    joins[w.first[:-1][np.diff(w.first) > 0]] = False
+    heads = np.flatnonzero(~joins)
+    place = np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))
+    steps = np.full(place.max() + 1, 0xD6E8FEB86659FD93, np.uint64)
+    steps[0] = 1
+    hashes = np.add.reduceat(w.hashes * np.multiply.accumulate(steps)[place], heads)
+    return hashes, kinds[heads], np.searchsorted(heads, w.first)
+
+
 def _folded(data: np.ndarray) -> np.ndarray:
     """Accented capitals of two bytes (Latin-1) as small letters; A-Z stay."""
     lead = np.flatnonzero(data[:-1] == 0xC3) + 1
@@ -102,14 +129,14 @@ def _windows(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa
         data = _folded(data)
         for low, high in chunks(offsets):
             w = words(data, offsets[low : high + 1], PLAIN)
-            kinds = _kinds(w, units)
-            every = grams(np.where(kinds > 0, kinds, w.hashes), size)
-            counts = np.diff(w.first)
+            hashes, kinds, first = _runs(w, _kinds(w, units))
+            every = grams(np.where(kinds > 0, kinds, hashes), size)
+            counts = np.diff(first)
             n = np.maximum(counts - size + 1, 0)
-            left = np.repeat(w.first[1:], counts) - np.arange(len(w.hashes))
+            left = np.repeat(first[1:], counts) - np.arange(len(hashes))
             inside = left[: len(every)] >= size
             plain = np.concatenate([[0], np.cumsum(kinds == 0)])
-            firsts = (w.hashes & ~np.uint64(3)) | kinds
+            firsts = (hashes & ~np.uint64(3)) | kinds
             ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
             known = len(every)
             columns = [
@@ -178,24 +205,51 @@ def matches(
     ).agg(
         F.count("*").alias("aligned"),
         F.collect_set(slot).alias("slots"),
+        F.collect_set("item_at").alias("places"),
         F.min("at").alias("first_word"),
     )
-    item_values = F.array_distinct(F.transform("slots", lambda s: s["item_first"]))
-    text_values = F.array_distinct(F.transform("slots", lambda s: s["first"]))
-    one_to_one = (F.size(item_values) == F.size("slots")) & (
-        F.size(text_values) == F.size("slots")
+    lined = lined.withColumn("consistent", _one_value_each(F.col("slots")))
+    inside = W.partitionBy("key", "item_id", "consistent").orderBy("diagonal")
+    opens = F.col("diagonal") - F.lag("diagonal").over(inside) > windows.drift
+    opened = lined.withColumn("opens", (opens | ~F.col("consistent")).cast("int"))
+    line = F.struct("diagonal", "aligned", "slots", "places", "first_word", "consistent")
+    bands = (
+        opened.withColumn("band", F.sum(F.coalesce("opens", F.lit(0))).over(inside))
+        .groupBy("key", "item_id", "consistent", "in_item", "band")
+        .agg(F.collect_list(line).alias("lines"))
+    )
+    slots = F.array_distinct(F.flatten("lines.slots"))
+    places = F.array_distinct(F.flatten("lines.places"))
+    whole = F.struct(
+        F.array_min("lines.diagonal").alias("diagonal"),
+        F.size(places).cast("long").alias("aligned"),
+        slots.alias("slots"),
+        places.alias("places"),
+        F.array_min("lines.first_word").alias("first_word"),
+        _one_value_each(slots).alias("consistent"),
     )
-    return lined.select(
+    # Values that differ between diagonals leave each to itself.
+    several = F.when(F.size("lines") > 1, F.concat("lines", F.array(whole)))
+    lines = bands.select(
+        "key", "item_id", "in_item", F.explode(F.coalesce(several, F.col("lines"))).alias("line")
+    )
+    return lines.select(
         "key",
         "item_id",
-        "diagonal",
-        "aligned",
-        (F.col("aligned") / F.col("in_item")).alias("coverage"),
-        one_to_one.alias("consistent"),
-        "first_word",
+        "line.diagonal",
+        "line.aligned",
+        (F.col("line.aligned") / F.col("in_item")).alias("coverage"),
+        "line.consistent",
+        "line.first_word",
     )
 
 
+def _one_value_each(slots: Column) -> Column:
+    """Whether equal values of the item have equal values in the text."""
+    items = F.array_distinct(F.transform(slots, lambda s: s["item_first"]))
+    return F.size(items) == F.size(slots)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, windows: Windows = DEFAULT
 ) -> DataFrame:

@@ -54,3 +54,23 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
     assert dc.report(no_docs, items).count() == 0
     assert dc.clean(odd_docs, items.filter("false")).count() == odd_docs.count()
+
+
+def test_values_that_meet_or_change_their_length(spark):
+    item = "Yesterday Tom had 5 apples and Ann bought 7 more of them. How many apples does he have now?"
+    texts = [
+        item.replace("5", "4").replace("7", "4"),
+        item.replace("5", "1,250").replace("7", "3.5"),
+        item.replace("Ann", "Mary Ann"),
+        item.replace("7", "1/2"),
+        "An unlike text with 5 apples in it, and 7 more, that asks for nothing at all.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"]: r["contaminated"] for r in dc.report(docs, items).collect()}
+    assert found == {0: True, 1: True, 2: True, 3: True, 4: False}
+    short = "Tom has 5 apples and buys 7 more. How many apples does he have now?"
+    texts = [short.replace("5", a).replace("7", b) for a, b in (("4", "4"), ("1,250", "3.5"))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, short)], "item_id long, text string")
+    assert dc.clean(docs, items).count() == 0
