@@ -52,7 +52,13 @@ BASE = (
 MORE = (
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}", least=24, hint="eyJ"),
     Kind("forge", r"gh[oprsu]_[A-Za-z0-9]{30,}", least=34, hint="gh"),
-    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint="PRIVATE KEY-----"),
+    # The whole key, to the end of the text if it is cut off; its body is the value.
+    Kind(
+        "pem",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?s:.*?))(?:-----END [A-Z ]*PRIVATE KEY-----|\z)",
+        group=1,
+        hint="PRIVATE KEY-----",
+    ),
     Kind("login", r"[a-z]+://[^\s/:@]+:([^\s/:@]+)@", group=1, least=6, hint="://"),
 )
 
@@ -154,7 +160,9 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(found: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
-    """Spans with owners, repositories and verdict: shared, live or plain.
+    """Spans with owners, repositories, verdict (shared, live or plain) and whether to
+    mask them: live ones, and short assigned values that few owners have, which the
+    keyword tells and not their look.
 
     ``found`` should be a stored table. The counts are stored too, so the join
     shuffles both sides and adaptive execution can split a value's rows.
@@ -162,13 +170,15 @@ def judged(found: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
     counts = keep(ownership(found), "ownership")
     keyed = found.withColumn("digest", F.sha2("value", 256))
     known = keyed.join(counts, "digest")
-    looks = (F.length("value") >= LIVE_LENGTH) & (
-        F.size(F.array_distinct(F.split("value", ""))) >= LIVE_CHARACTERS
-    )
+    characters = F.size(F.array_distinct(F.split("value", "")))
+    looks = (F.length("value") >= LIVE_LENGTH) & (characters >= LIVE_CHARACTERS)
+    # One character over and over is a blank to fill in.
+    short = (F.col("kind") == "assign") & (F.length("value") < LIVE_LENGTH) & (characters > 1)
     verdict = (
         F.when(F.col("owners") >= shared_owners, "shared").when(looks, "live").otherwise("plain")
     )
-    return known.withColumn("verdict", verdict)
+    masked = (F.col("verdict") == "live") | ((F.col("verdict") == "plain") & short)
+    return known.withColumn("verdict", verdict).withColumn("masked", masked)
 
 
 def _listed(rows: Column) -> Column:
@@ -213,13 +223,13 @@ def report(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
 
 
 def redact(docs: DataFrame, repository: Column, owner: Column, mark: str = "[secret]") -> DataFrame:
-    """The documents with every live candidate's span replaced by ``mark``.
+    """The documents with every span that is to be masked replaced by ``mark``.
 
     Overlapping spans become one mark. Other columns stay, but for ``n_chars``,
     which is counted again where the text changed.
     """
     found = keep(spans(docs, repository, owner), "spans")
-    live = judged(found).filter("verdict = 'live'").select("key", "start", "end").distinct()
+    live = judged(found).filter("masked").select("key", "start", "end").distinct()
     inside = W.partitionBy("key").orderBy("start", "end")
     reach = F.max("end").over(inside.rowsBetween(W.unboundedPreceding, -1))
     opened = live.withColumn("opens", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
