@@ -159,21 +159,28 @@ def canonical(rows: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     )
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    """The different (item_id, text) of a benchmark, null or not, with a key ``item``."""
+    key = F.xxhash64("item_id", "text", F.col("text").isNull()).alias("item")
+    return benchmark.select(key, "item_id", "text").distinct()
+
+
 def item_windows(benchmark: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
-    """A row per window of each item that has enough plain words."""
-    items = canonical(benchmark.select(F.col("item_id").alias("id"), "text"), windows)
+    """A row per window of each different item that has enough plain words."""
+    known = _items(benchmark)
+    items = canonical(known.select(F.col("item").alias("id"), "text"), windows)
     rows = items.select(
-        F.col("id").alias("item_id"),
+        F.col("id").alias("item"),
         F.posexplode(F.arrays_zip("windows", "firsts", "plain")).alias("item_at", "w"),
     ).filter(F.col("w.plain") >= windows.plain)
-    counts = rows.groupBy("item_id").agg(F.count("*").alias("in_item"))
+    counts = rows.groupBy("item").agg(F.count("*").alias("in_item"))
     rows = rows.select(
-        "item_id",
+        "item",
         "item_at",
         F.col("w.windows").alias("window"),
         F.col("w.firsts").alias("item_first"),
     )
-    return rows.join(counts, "item_id").distinct()
+    return rows.join(counts, "item").join(known.select("item", "item_id"), "item")
 
 
 def row_key(docs: DataFrame):
@@ -201,21 +208,22 @@ def matches(
     placeholder = F.col("item_first").bitwiseAND(F.lit(3)) > 0
     slot = F.when(placeholder, F.struct("item_first", "first"))
     lined = found.groupBy(
-        "key", "item_id", "in_item", (F.col("at") - F.col("item_at")).alias("diagonal")
+        "key", "item", "item_id", "in_item", (F.col("at") - F.col("item_at")).alias("diagonal")
     ).agg(
-        F.count("*").alias("aligned"),
         F.collect_set(slot).alias("slots"),
+        # Rows of equal key have the same places.
         F.collect_set("item_at").alias("places"),
         F.min("at").alias("first_word"),
     )
+    lined = lined.withColumn("aligned", F.size("places").cast("long"))
     lined = lined.withColumn("consistent", _one_value_each(F.col("slots")))
-    inside = W.partitionBy("key", "item_id", "consistent").orderBy("diagonal")
+    inside = W.partitionBy("key", "item", "consistent").orderBy("diagonal")
     opens = F.col("diagonal") - F.lag("diagonal").over(inside) > windows.drift
     opened = lined.withColumn("opens", (opens | ~F.col("consistent")).cast("int"))
     line = F.struct("diagonal", "aligned", "slots", "places", "first_word", "consistent")
     bands = (
         opened.withColumn("band", F.sum(F.coalesce("opens", F.lit(0))).over(inside))
-        .groupBy("key", "item_id", "consistent", "in_item", "band")
+        .groupBy("key", "item", "item_id", "consistent", "in_item", "band")
         .agg(F.collect_list(line).alias("lines"))
     )
     slots = F.array_distinct(F.flatten("lines.slots"))

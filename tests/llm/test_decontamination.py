@@ -74,3 +74,17 @@ def test_values_that_meet_or_change_their_length(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     items = spark.createDataFrame([(1, short)], "item_id long, text string")
     assert dc.clean(docs, items).count() == 0
+
+
+def test_repeated_rows_change_nothing(spark):
+    filler = "nothing of interest stands here and nothing will"
+    nine = " ".join(ITEM.split()[10:19])
+    copy = "The quick brown fox jumps over the lazy dog"
+    texts = [(1, f"{filler} {nine} {filler}")] * 2 + [(None, f"{nine} {filler}")] * 9 + [(3, copy), (4, copy[:20])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = [(7, ITEM), (8, copy), (8, copy), (None, copy)]
+    for more in (rows, rows[3:]):
+        items = spark.createDataFrame(more, "item_id long, text string")
+        found = {(r["doc_id"], r["contaminated"], tuple(r["items"])) for r in dc.report(docs, items).collect()}
+        named = (8,) if more is rows else ()
+        assert found == {(1, False, ()), (None, False, ()), (3, True, named), (4, False, ())}
