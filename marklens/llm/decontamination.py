@@ -8,9 +8,12 @@ consistent diagonals beside each other. They count only if the slots are
 consistent: where an item repeats a value, the text repeats one too. A number with
 its points and commas is one value, and so are the words of a name.
 
-Edge cases: a null text reads as empty; an item with fewer words than a window, or
-without a window of enough plain words, can't be found; equal rows have equal
-results; a text without a match is clean.
+An item with fewer words than a window, or without a window of enough plain words,
+is found where its words stand as they are, all of them and in this order, however
+few they are.
+
+Edge cases: a null text reads as empty; an item without a word can't be found; equal
+rows have equal results; a text without a match is clean.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marklens.llm.storage import keep
 from marklens.llm.wordhash import PLAIN, Words, buffers, chunks, grams, words
 
 #: Words that say what a number counts; with a number before them they are units.
@@ -35,6 +39,9 @@ UNITS = (
     "degrees mph kph"
 ).split()
 
+#: Windows of a benchmark up to which they are broadcast.
+SENT = 200_000
+
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (1, 2, 3))
 
 
@@ -159,6 +166,82 @@ def canonical(rows: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     )
 
 
+def _literal(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """A row per run of each number of words as they stand, and the text's words."""
+    for batch in batches:
+        data, offsets = buffers(batch.column("text"))
+        for low, high in chunks(offsets):
+            w = words(data, offsets[low : high + 1], PLAIN)
+            counts = np.diff(w.first)
+            ids = batch.column("id").slice(low, high - low)
+            left = np.repeat(w.first[1:], counts) - np.arange(len(w.hashes))
+            for size in sizes:
+                every = grams(w.hashes, size)
+                at = np.flatnonzero(left[: len(every)] >= size)
+                row = w.rows[at]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(row)),
+                        pa.array(np.full(len(at), size), pa.int32()),
+                        pa.array(at - w.first[row], pa.int32()),
+                        pa.array(every[at].view(np.int64)),
+                        pa.array(counts[row], pa.int32()),
+                    ],
+                    names=["id", "size", "at", "window", "words"],
+                )
+
+
+def literal(rows: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """Runs of words of every text of (id, text)."""
+    return rows.select("id", "text").mapInArrow(
+        partial(_literal, sizes=sizes), "id long, size int, at int, window long, words int"
+    )
+
+
+def _sent(stored: DataFrame) -> DataFrame:
+    """A stored table marked for broadcast if it is small by its rows."""
+    return F.broadcast(stored) if stored.count() <= SENT else stored
+
+
+def _literal_matches(
+    docs: DataFrame, benchmark: DataFrame, usable: DataFrame, windows: Windows
+) -> DataFrame | None:
+    """Items without usable windows where they stand whole, as in ``matches``; None
+    without such items. A longer item is cut into runs of a window's words, which
+    must all stand on one diagonal."""
+    known = _items(benchmark)
+    short = known.join(usable.select("item").distinct(), "item", "left_anti").select(F.col("item").alias("id"), "text")
+    runs = literal(short, tuple(range(1, windows.words + 1))).filter(
+        F.col("size") == F.least("words", F.lit(windows.words))
+    )
+    sizes = sorted(r["size"] for r in runs.select("size").distinct().collect())
+    if not sizes:
+        return None
+    items = runs.select(
+        F.col("id").alias("item"),
+        "size",
+        F.col("at").alias("item_at"),
+        "window",
+        (F.col("words") - F.col("size") + 1).alias("in_item"),
+    ).join(known.select("item", "item_id"), "item")
+    rows = docs.select(row_key(docs).alias("id"), "text")
+    items = _sent(keep(items, "literal"))
+    met = literal(rows, tuple(sizes)).drop("words").join(items, ["size", "window"])
+    lined = met.groupBy(
+        F.col("id").alias("key"), "item", "item_id", "in_item",
+        (F.col("at") - F.col("item_at")).alias("diagonal"),
+    ).agg(F.count_distinct("item_at").alias("aligned"), F.min("at").alias("first_word"))
+    return lined.filter(F.col("aligned") == F.col("in_item")).select(
+        "key",
+        "item_id",
+        "diagonal",
+        "aligned",
+        F.lit(1.0).alias("coverage"),
+        F.lit(True).alias("consistent"),
+        "first_word",
+    )
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """The different (item_id, text) of a benchmark, null or not, with a key ``item``."""
     key = F.xxhash64("item_id", "text", F.col("text").isNull()).alias("item")
@@ -193,10 +276,11 @@ def matches(
 ) -> DataFrame:
     """Passages found: key, item_id, diagonal, aligned windows, coverage, consistent.
 
-    Spark broadcasts the benchmark's windows if they are small by its own measure,
-    and shuffles both sides otherwise. Matches are combined map-side, so a passage
+    The benchmark's windows are stored and broadcast if they are few; else both sides
+    are shuffled. Matches are combined map-side, so a passage
     that a third of all documents have sends one row per document.
     """
+    usable = keep(item_windows(benchmark, windows), "items")
     rows = docs.select(row_key(docs).alias("id"), "text")
     zipped = canonical(rows, windows).select(
         "id", F.posexplode(F.arrays_zip("windows", "firsts")).alias("at", "w")
@@ -204,7 +288,7 @@ def matches(
     found = zipped.select(
         F.col("id").alias("key"), "at", F.col("w.windows").alias("window"),
         F.col("w.firsts").alias("first"),
-    ).join(item_windows(benchmark, windows), "window")
+    ).join(_sent(usable), "window")
     placeholder = F.col("item_first").bitwiseAND(F.lit(3)) > 0
     slot = F.when(placeholder, F.struct("item_first", "first"))
     lined = found.groupBy(
@@ -241,7 +325,7 @@ def matches(
     lines = bands.select(
         "key", "item_id", "in_item", F.explode(F.coalesce(several, F.col("lines"))).alias("line")
     )
-    return lines.select(
+    aligned = lines.select(
         "key",
         "item_id",
         "line.diagonal",
@@ -250,6 +334,8 @@ def matches(
         "line.consistent",
         "line.first_word",
     )
+    whole = _literal_matches(docs, benchmark, usable, windows)
+    return aligned if whole is None else aligned.union(whole)
 
 
 def _one_value_each(slots: Column) -> Column:

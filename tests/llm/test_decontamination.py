@@ -88,3 +88,26 @@ def test_repeated_rows_change_nothing(spark):
         found = {(r["doc_id"], r["contaminated"], tuple(r["items"])) for r in dc.report(docs, items).collect()}
         named = (8,) if more is rows else ()
         assert found == {(1, False, ()), (None, False, ()), (3, True, named), (4, False, ())}
+
+
+def test_short_items_and_items_of_numbers_are_found_as_they_stand(spark):
+    rows = [
+        (1, "Who wrote War and Peace?"),
+        (2, "Compute 12 + 34 * 56 - 78 / 9 + 10"),
+        (3, "Pi?"),
+        (4, "..."),
+    ]
+    texts = [
+        "Asked was: who wrote War and Peace? And then",
+        "Now compute 12 + 34 * 56 - 78 / 9 + 10",
+        "Now compute 12 + 34 * 56 - 78 / 9 + 11",
+        "Who wrote the War and Peace?",
+        "He wrote War and Peace... who",
+        "about pi",
+        "compute 12 + 34 * 56 - 78 / 9. Once 34 * 56 - 78 / 9 + 10",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    found = {r["doc_id"]: r["items"] for r in dc.report(docs, items).collect()}
+    assert found == {0: [1], 1: [2], 2: [], 3: [], 4: [], 5: [3], 6: []}
+    assert {r["doc_id"] for r in dc.clean(docs, items).collect()} == {2, 3, 4, 6}
