@@ -191,8 +191,179 @@ FROM worded LEFT JOIN listed USING (doc_id)
 """
 
 
+REPEATS = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS passage
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM worded)
+),
+repeated AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, min(doc_id) OVER (PARTITION BY passage) AS first FROM windows)
+    WHERE doc_id > first
+),
+gone AS (
+    SELECT DISTINCT doc_id, spot
+    FROM (SELECT doc_id, unnest(range(i, i + 13)) AS spot FROM repeated)
+),
+places AS (
+    SELECT doc_id, words[spot] AS word, spot
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS spot FROM worded)
+),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS text, count(*) AS n
+    FROM places ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Every round in turn: all distances, then the floor of each mean."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+apart{t} AS MATERIALIZED (
+    SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM components v JOIN centroids{t} c USING (spot) GROUP BY vec_id, cluster
+),
+nearest{t} AS MATERIALIZED (
+    SELECT vec_id, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+    FROM apart{t} GROUP BY vec_id
+)""")
+        if t < rounds:
+            steps.append(f"""
+means{t} AS (
+    SELECT cluster, spot, sum(x)::BIGINT AS total, count(*) AS n
+    FROM components JOIN nearest{t} USING (vec_id) GROUP BY cluster, spot
+),
+centroids{t + 1} AS MATERIALIZED (
+    SELECT cluster, spot,
+        CASE WHEN total IS NULL THEN x
+             ELSE total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END END AS x
+    FROM centroids{t} LEFT JOIN means{t} USING (cluster, spot)
+)""")
+    return f"""
+WITH usable AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = 64
+        AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+),
+components AS MATERIALIZED (
+    SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS spot FROM usable
+),
+centroids0 AS MATERIALIZED (
+    SELECT cluster, unnest(v) AS x, unnest(range(64)) AS spot
+    FROM (SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM usable)
+    WHERE cluster < 8
+),
+{",".join(steps)},
+digests AS (
+    SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY spot)) AS centroid_sha256
+    FROM centroids{rounds} GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+    sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM nearest{rounds} JOIN digests USING (cluster)
+"""
+
+
+def _manifest(levels: int = 6, top_levels: int = 5) -> str:
+    """Trees level by level: sources of up to 16**levels rows, 16**top_levels sources.
+
+    A lone node goes up as it is. From its siblings, each node's text left and right
+    is kept; a leaf's way up is then a join per level.
+    """
+
+    def field(value: str) -> str:
+        return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        parts = [field(c) for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    lowered = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    step = "xor(c >> 1, 3988292384 * (c & 1))"
+    crc = (
+        "xor(list_reduce([ord(d)::BIGINT FOR d IN string_split(doc_id::VARCHAR, '')], "
+        "lambda a, b: list_reduce(range(8), lambda c, _: "
+        f"{step}, xor(a, b)), 4294967295), 4294967295)"
+    )
+
+    def level(nodes: str, l: int) -> str:
+        run = "PARTITION BY tree, place // 16 ORDER BY place ROWS BETWEEN"
+        return f"""
+{nodes}{l}_seats AS MATERIALIZED (
+    SELECT tree, place, hash, width,
+        coalesce(string_agg(hash, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+        coalesce(string_agg(hash, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM {nodes}{l}
+),
+{nodes}{l + 1} AS MATERIALIZED (
+    SELECT tree, place // 16 AS place, (width + 15) // 16 AS width,
+        CASE WHEN width = 1 THEN any_value(hash)
+             ELSE sha256(string_agg(hash, '' ORDER BY place)) END AS hash
+    FROM {nodes}{l} GROUP BY tree, place // 16, width
+)"""
+
+    def climb(earlier: str, later: str, nodes: str, l: int) -> str:
+        return f"""
+{later} AS MATERIALIZED (
+    SELECT u.* EXCLUDE (place, folded, proof), u.place // 16 AS place,
+        CASE WHEN s.width = 1 THEN u.folded ELSE sha256(s.before || u.folded || s.after) END AS folded,
+        u.proof || s.before || s.after AS proof
+    FROM {earlier} u JOIN {nodes}{l}_seats s ON s.tree = u.tree AND s.place = u.place
+)"""
+
+    trees = ",".join(level("node", l) for l in range(levels))
+    tops = ",".join(level("top", l) for l in range(top_levels))
+    ups = ",".join(climb(f"up{l}", f"up{l + 1}", "node", l) for l in range(levels))
+    over = ",".join(climb(f"over{l}", f"over{l + 1}", "top", l) for l in range(top_levels))
+    return f"""
+WITH leaves AS (
+    SELECT doc_id, source, {leaf("text")} AS leaf,
+        CASE WHEN {crc} % 5 = 0 THEN {leaf(lowered)} END AS tampered
+    FROM documents
+),
+placed AS MATERIALIZED (
+    SELECT doc_id, leaf, tampered,
+        dense_rank() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS tree,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY source) AS width
+    FROM leaves
+),
+node0 AS (SELECT tree, place, leaf AS hash, width FROM placed),
+{trees},
+top0 AS (
+    SELECT 0 AS tree, tree AS place, hash, count(*) OVER () AS width FROM node{levels}
+),
+{tops},
+up0 AS (
+    SELECT doc_id, leaf, tree, place, coalesce(tampered, leaf) AS folded, '' AS proof FROM placed
+),
+{ups},
+over0 AS (
+    SELECT u.doc_id, u.leaf, n.hash AS subroot, 0 AS tree, u.tree AS place, u.folded, u.proof
+    FROM up{levels} u JOIN node{levels} n USING (tree)
+),
+{over}
+SELECT doc_id, leaf, subroot, t.hash AS root, sha256(proof) AS proof_sha256,
+    folded AS folded_root, folded = t.hash AS verified
+FROM over{top_levels}, top{top_levels} t
+"""
+
+
 ORACLE: dict[str, str] = {
     "op5_ownership_frequency": _secrets(),
     "op7_diagonal_voting": _licenses(),
     "op9_lsh_forest": LSH_FOREST,
+    "op11_super_k_mers": REPEATS,
+    "op12_drift_tightening": _clusters(),
+    "op13_pointer_jumping": _manifest(),
 }

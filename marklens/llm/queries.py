@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marklens.llm import bpe, decontamination, fingerprint, language, licenses, neardup, quality, secrets, sharding, wrappers
+from marklens.llm import (
+    bpe,
+    clustering,
+    decontamination,
+    fingerprint,
+    language,
+    licenses,
+    merkle,
+    neardup,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    wrappers,
+)
 from marklens.llm.storage import table, workspace
 
 #: Name of the vocabulary file among those of the public tokenizers.
@@ -110,3 +124,19 @@ def op10_distinct_words(spark, sf_dir, vocabulary=None):
     spec = bpe.load_spec(vocabulary or vocabulary_path())
     encoded = bpe.encode(table(spark, sf_dir, "documents"), spec)
     return bpe.decode(encoded, spec, digests=True)
+
+
+@query
+def op11_super_k_mers(spark, sf_dir):
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_drift_tightening(spark, sf_dir):
+    return clustering.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_pointer_jumping(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))

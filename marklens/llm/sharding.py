@@ -6,7 +6,8 @@ bytes per slot and stores it as a new version, so records move only where a slot
 was moved.
 
 Edge cases: a null text has 0 bytes; a record without key hashes by its text;
-equal keys share a slot; an empty table leaves the first map as it is.
+equal keys share a slot, equal texts under different keys need not; an empty table
+leaves the map as it is.
 """
 
 from __future__ import annotations
@@ -50,19 +51,24 @@ def first_map(shards: int, slots: int = SLOTS) -> list[int]:
 def rebalanced(shard_of: list[int], sizes: dict[int, int], shards: int) -> list[int]:
     """The map edited so that all shards hold near the same bytes.
 
-    A shard keeps slots, large ones first, as long as they fit under the mean;
-    the others go, large ones first, to the shard with the least. Works on slots,
-    whose number is fixed, not on records.
+    Slots of a sixteenth of the mean and more are seated first, large ones first: on
+    their own shard if it stays within the mean with them, or if they are larger than
+    the mean and it is empty; else on the shard with the least so far. Smaller slots
+    then stay as long as they fit under the mean; the others go, large ones first, to
+    the shard with the least. Works on slots, whose number is fixed, not on records.
     """
     goal = sum(sizes.values()) / shards
     load = [0] * shards
     edited, loose = list(shard_of), []
     for slot in sorted(range(len(shard_of)), key=lambda s: (-sizes.get(s, 0), s)):
         size, shard = sizes.get(slot, 0), shard_of[slot]
-        if load[shard] + size <= goal:
-            load[shard] += size
-        else:
+        stays = load[shard] + size <= goal or not load[shard] or not size
+        if not stays and size * 16 < goal:
             loose.append(slot)
+            continue
+        if not stays:
+            shard = edited[slot] = load.index(min(load))
+        load[shard] += size
     heap = [(filled, shard) for shard, filled in enumerate(load)]
     heapq.heapify(heap)
     for slot in loose:
@@ -131,20 +137,42 @@ def placed(records: DataFrame, slot_map: DataFrame, sizes: DataFrame) -> DataFra
     return found.withColumn("slot", F.col("start") + F.col("place")).drop("start", "place")
 
 
+def latest_map(spark: SparkSession, path: str, slots: int = SLOTS) -> tuple[int, list[int]]:
+    """Number and shards of the latest stored version; one row per slot."""
+    rows = read_map(spark, path).collect()
+    shard_of = {row["virtual_slot"]: row["shard"] for row in rows}
+    if len(shard_of) != slots or len(rows) != slots:
+        raise ValueError(f"{path} holds {len(rows)} entries for {slots} slots")
+    return rows[0]["version"], [shard_of[slot] for slot in range(slots)]
+
+
+def rebalance_stored(
+    spark: SparkSession, path: str, sizes: dict[int, int], shards: int, slots: int = SLOTS
+) -> int:
+    """Edit the latest stored map by the bytes per slot and store it as the next
+    version, whose number is returned. An edit that moves nothing stores nothing."""
+    version, shard_of = latest_map(spark, path, slots)
+    edited = rebalanced(shard_of, sizes, shards)
+    if edited != shard_of:
+        version += 1
+        store_map(spark, path, edited, version)
+    return version
+
+
 def shard_by_bytes(
-    docs: DataFrame, path: str, shards: int = 40, slots: int = SLOTS
+    docs: DataFrame, path: str, shards: int = 40, slots: int = SLOTS, stored: bool = False
 ) -> DataFrame:
     """Put all records into shards of near equal bytes.
 
-    Stores the first map as version 1 and the edited one as version 2 in ``path``.
-    The driver gets one row per slot.
+    Without a ``stored`` map in ``path`` the first one is stored there as version 1.
+    The latest version is then edited. The driver gets one row per slot.
     """
     spark = docs.sparkSession
     records = sized(docs, slots)
     totals = slot_sizes(records).collect()
     sizes = {row["virtual_slot"]: row["bytes"] for row in totals}
-    initial = first_map(shards, slots)
-    store_map(spark, path, initial, 1)
-    store_map(spark, path, rebalanced(initial, sizes, shards), 2)
+    if not stored:
+        store_map(spark, path, first_map(shards, slots), 1)
+    version = rebalance_stored(spark, path, sizes, shards, slots)
     known = spark.createDataFrame(totals, "virtual_slot int, bytes long, records long")
-    return placed(records, read_map(spark, path, 2), known)
+    return placed(records, read_map(spark, path, version), known)

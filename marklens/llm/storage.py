@@ -6,13 +6,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("documents", "pages", "benchmark", "labels")
-
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 
 

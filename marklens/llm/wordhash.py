@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+#: Text that is looked at together; a longer row stands alone.
+CHUNK_BYTES = 1 << 20
 SHINGLE = 5
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -34,17 +35,25 @@ def _table(separators: range | list[int]) -> np.ndarray:
 
 #: Words end at white space only.
 SPACED = _table([0x20, *range(0x09, 0x0E)])
+#: The same, but letters keep their case.
+SPACED_CASED = np.arange(1, 257, dtype=np.uint64)
+SPACED_CASED[[0x20, *range(0x09, 0x0E)]] = 0
 #: Words are letters, digits and bytes beyond ASCII.
 PLAIN = _table([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 
+def _rising(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers["up"]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+    """Powers for n bytes; those beyond a chunk are not held on to."""
+    if n > CHUNK_BYTES:
+        return _rising(_BASE, n), _rising(_INVERSE, n)
+    if not _powers:
+        _powers.update(up=_rising(_BASE, CHUNK_BYTES), down=_rising(_INVERSE, CHUNK_BYTES))
     return _powers["up"][:n], _powers["down"][:n]
 
 

@@ -54,3 +54,33 @@ def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
     rows = sharding.shard_by_bytes(odd_docs, str(tmp_path / "a"), 3, 64).collect()
     assert len(rows) == odd_docs.count()
     assert sharding.shard_by_bytes(no_docs, str(tmp_path / "b"), 3, 64).count() == 0
+
+
+def test_a_stored_map_is_edited_into_the_next_version(spark, odd_docs, tmp_path):
+    path = str(tmp_path / "map")
+    first = sharding.shard_by_bytes(odd_docs, path, 3, 64)
+    before = {r["virtual_slot"]: r["shard"] for r in first.collect()}
+    version, shard_of = sharding.latest_map(spark, path, 64)
+    long = " ".join(f"more{i}" for i in range(30_000))
+    grown = odd_docs.unionByName(odd_docs.limit(1).selectExpr(
+        "99L AS doc_id", f"'{long}' AS text", "lang", "source", "n_chars", "key"))
+    rows = sharding.shard_by_bytes(grown, path, 3, 64, stored=True).collect()
+    after = {r["virtual_slot"]: r["shard"] for r in rows}
+    latest, edited = sharding.latest_map(spark, path, 64)
+    assert latest == version + 1 and {r["version"] for r in rows} == {latest}
+    assert any(shard_of[s] != edited[s] for s in range(64))
+    assert all(edited[s] == shard for s, shard in after.items())
+    assert all(before[s] == shard_of[s] for s in before)
+    # Nothing to move: no version is added.
+    again = sharding.shard_by_bytes(grown, path, 3, 64, stored=True).collect()
+    assert {r["version"] for r in again} == {latest}
+
+
+def test_large_slots_do_not_share_a_shard():
+    sizes = {s: 10 for s in range(80)} | {0: 5000, 40: 4000, 41: 900}
+    edited = sharding.rebalanced(sharding.first_map(40, 80), sizes, 40)
+    load = defaultdict(int)
+    for slot, size in sizes.items():
+        load[edited[slot]] += size
+    assert max(load.values()) == 5000 and edited[0] == 0
+    assert sorted(load.values())[-2:] == [4000, 5000]
