@@ -10,10 +10,15 @@ document with a smaller doc_id come back as spans, and their words are removed.
 Sorting goes by hashes of the windows; windows that fall together are then compared
 in full, so the result does not depend on the hashes.
 
-Hot minimisers, those with more than ``crowd`` pieces, are counted beforehand,
-combined within tasks. Their pieces are cut into single windows, of which Spark
-takes the smallest doc_id, first per window and salt, then per window. So no task
-gets a bucket larger than ``crowd`` pieces, nor all places of a common passage.
+A window that starts in two documents has a minimiser that both of them have. So
+minimisers are looked up first, as numbers without text: each batch of documents
+sends one number per minimiser, and says itself which minimisers its own documents
+share. Only pieces whose minimiser another document has too then travel.
+
+Hot minimisers, those with more than ``crowd`` pieces, are found on the way. Their
+pieces are cut into single windows, of which Spark takes the smallest doc_id, first
+per window and salt, then per window. So no task gets a bucket larger than ``crowd``
+pieces, nor all places of a common passage.
 
 Edge cases: a null text has no words; a document without doc_id is compared with
 none and keeps everything; rows that share a doc_id do not remove from each other;
@@ -44,7 +49,7 @@ class Repeats:
     pieces that are sorted at a time, beyond one minimiser's."""
 
     window: int = 13
-    gram: int = 3
+    gram: int = 4
     crowd: int = 1 << 14
     longest: int = 64
     salts: int = 256
@@ -53,7 +58,9 @@ class Repeats:
 
 DEFAULT = Repeats()
 
-_MINIMISERS = "minimiser long, pieces long"
+_SIGHTINGS = "minimiser long, row long, pieces long"
+_SHARED = "row long, minimiser long, hot boolean"
+_OWN = "row long, minimiser long"
 _PIECES = "minimiser long, piece binary, doc_id long, row long, start int"
 _WINDOWS = "piece binary, doc_id long, row long, start int"
 _SPANS = "doc_id long, row long, start int, n int"
@@ -101,19 +108,95 @@ def _worded(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int,
         yield low, words(data, offsets[low : high + 1], SPACED_CASED)
 
 
-def _count(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
+def _minimisers(batch: pa.RecordBatch, how: Repeats) -> tuple[np.ndarray, ...]:
+    """Minimisers of a batch with the rows that have them, in order and each once; the
+    number of pieces; and the place of the first row of each minimiser."""
+    keys, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    numbers = batch.column("row").to_numpy()
+    for low, w in _worded(batch):
+        _, row, _, minimiser = _cut(w, how)
+        keys.append(minimiser.view(np.int64))
+        rows.append(numbers[row + low])
+    key, row = np.concatenate(keys), np.concatenate(rows)
+    order = np.lexsort((row, key))
+    key, row = key[order], row[order]
+    opens = np.ones(len(key), bool)
+    opens[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    at = np.flatnonzero(opens)
+    pieces = np.diff(np.append(at, len(key)))
+    key, row = key[at], row[at]
+    heads = np.ones(len(key), bool)
+    heads[1:] = key[1:] != key[:-1]
+    return key, row, pieces, np.flatnonzero(heads)
+
+
+def _sightings(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
+    """Each minimiser of a batch once, with one of its rows."""
     for batch in batches:
-        for _, w in _worded(batch):
-            found, n = np.unique(_cut(w, how)[3], return_counts=True)
+        key, row, pieces, heads = _minimisers(batch, how)
+        if len(heads):
+            total = np.add.reduceat(pieces, heads)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(n)], ["minimiser", "pieces"]
+                [pa.array(key[heads]), pa.array(row[heads]), pa.array(total)],
+                ["minimiser", "row", "pieces"],
             )
 
 
+def _own(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
+    """Minimisers that rows of one batch share."""
+    for batch in batches:
+        key, row, _, heads = _minimisers(batch, how)
+        shares = np.repeat(np.diff(np.append(heads, len(key))) > 1, np.diff(np.append(heads, len(key))))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row[shares]), pa.array(key[shares])], ["row", "minimiser"]
+        )
+
+
+def _shared(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
+    """Minimisers that rows of several batches share, and hot ones; sightings come in
+    the order of the minimisers, of each as many as there are batches."""
+    left: pa.Table | None = None
+    for batch in batches:
+        if batch.num_rows:
+            some = pa.Table.from_batches([batch])
+            some = some if left is None else pa.concat_tables([left, some]).combine_chunks()
+            key = some.column("minimiser").to_numpy()
+            whole = int(np.searchsorted(key, key[-1]))
+            left = some.slice(whole)
+            yield from _judged(some.slice(0, whole), how)
+    if left is not None:
+        yield from _judged(left, how)
+
+
+def _judged(sightings: pa.Table, how: Repeats) -> Iterator[pa.RecordBatch]:
+    key, row, pieces = (sightings.column(c).to_numpy() for c in ("minimiser", "row", "pieces"))
+    if not len(key):
+        return
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    sizes = np.diff(np.append(heads, len(key)))
+    several = np.minimum.reduceat(row, heads) != np.maximum.reduceat(row, heads)
+    hot = np.add.reduceat(pieces, heads) > how.crowd
+    kept = np.repeat(several | hot, sizes)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(row[kept]), pa.array(key[kept]), pa.array(np.repeat(hot, sizes)[kept])],
+        ["row", "minimiser", "hot"],
+    )
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
+    """Pieces of the minimisers listed with their row. Row and minimiser are looked up
+    as one number, which may let a few other pieces pass but holds none back."""
     for batch in batches:
+        lists = batch.column("minimisers")
+        sizes = np.diff(lists.offsets.to_numpy())
+        wanted = lists.flatten().to_numpy().view(np.uint64)
+        listed = wanted ^ mix(np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes))
         for low, w in _worded(batch):
             at, row, n, minimiser = _cut(w, how)
+            passes = np.isin(minimiser ^ mix((row + low).astype(np.uint64)), listed)
+            at, row, n, minimiser = at[passes], row[passes], n[passes], minimiser[passes]
+            if not len(at):
+                continue
             blob, starts, ends = _packed(w)
             last = ends[at + n + how.window - 2].tolist()
             take = pa.array(row + low)
@@ -263,19 +346,30 @@ def rows_of(docs: DataFrame) -> DataFrame:
     )
 
 
+def shared_minimisers(rows: DataFrame, how: Repeats = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """Per row the minimisers that other rows have too; and the hot ones of all."""
+    known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("row", "text")
+    seen = known.mapInArrow(partial(_sightings, how=how), _SIGHTINGS)
+    dealt = seen.repartition("minimiser").sortWithinPartitions("minimiser")
+    shared = keep(dealt.mapInArrow(partial(_shared, how=how), _SHARED), "repeats-shared")
+    own = known.mapInArrow(partial(_own, how=how), _OWN)
+    listed = shared.select("row", "minimiser").unionByName(own).groupBy("row").agg(
+        F.collect_set("minimiser").alias("minimisers")
+    )
+    return listed, shared.filter("hot").select("minimiser").distinct()
+
+
 def _cold_and_hot(rows: DataFrame, how: Repeats) -> tuple[DataFrame, DataFrame]:
-    counts = rows.select("text").mapInArrow(partial(_count, how=how), _MINIMISERS)
-    crowded = counts.groupBy("minimiser").agg(F.sum("pieces").alias("pieces"))
-    hot = keep(crowded.filter(F.col("pieces") > how.crowd).select("minimiser"), "repeats-hot")
-    pieces = rows.mapInArrow(partial(_pieces, how=how), _PIECES)
+    listed, hot = shared_minimisers(rows, how)
+    needed = rows.join(listed, "row").select("doc_id", "text", "row", "minimisers")
+    pieces = needed.mapInArrow(partial(_pieces, how=how), _PIECES)
     return pieces.join(hot, "minimiser", "left_anti"), pieces.join(hot, "minimiser", "left_semi")
 
 
 def removed_spans(docs: DataFrame, how: Repeats = DEFAULT) -> DataFrame:
     """Runs of windows that also start in a document with a smaller doc_id: doc_id, row
     as in ``rows_of``, the first window's first word and the number of windows."""
-    rows = rows_of(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    cold, hot = _cold_and_hot(rows, how)
+    cold, hot = _cold_and_hot(rows_of(docs), how)
     dealt = cold.repartition("minimiser").sortWithinPartitions("minimiser")
     ordinary = dealt.mapInArrow(partial(_buckets, how=how), _SPANS)
 
@@ -302,7 +396,7 @@ def _kept(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.Record
                 if found.is_valid:
                     marks = np.zeros(b - a + 1, np.int64)
                     at = found.values.flatten()
-                    start, n = (x.to_numpy() for x in at)
+                    start, n = (x.to_numpy() for x in at[1:])
                     np.add.at(marks, start, 1)
                     np.add.at(marks, start + n + how.window - 1, -1)
                     stays = np.cumsum(marks[:-1]) == 0
@@ -326,12 +420,12 @@ def _kept(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.Record
 def remove_repeats(docs: DataFrame, how: Repeats = DEFAULT) -> DataFrame:
     """Every document with the words that stay, one space between them, and how many
     words it had and lost. The first document of a passage, by doc_id, keeps it."""
-    found = removed_spans(docs, how).groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans")
+    found = removed_spans(docs, how).groupBy("row").agg(
+        F.collect_set(F.struct("doc_id", "start", "n")).alias("found")
     )
-    found = found.withColumnRenamed("doc_id", "id")
-    rows = rows_of(docs)
-    # Rows without id have a row number of their own text, so they spread.
-    joined = rows.join(found, (rows["row"] == found["row"]) & (rows["doc_id"] == found["id"]), "left")
-    needed = joined.select(rows["doc_id"], "text", "spans")
+    # Both joins with the texts go by the row number alone and share one shuffle; rows
+    # without id have a number of their own text, so they spread.
+    joined = rows_of(docs).join(found, "row", "left")
+    own = F.filter("found", lambda span: span["doc_id"].eqNullSafe(F.col("doc_id")))
+    needed = joined.select("doc_id", "text", own.alias("spans"))
     return needed.mapInArrow(partial(_kept, how=how), _KEPT)

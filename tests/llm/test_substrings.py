@@ -91,3 +91,14 @@ def test_hot_minimisers_leave_the_buckets(spark):
     cold, hot = substrings._cold_and_hot(substrings.rows_of(docs), Repeats(crowd=50))
     assert max((r["count"] for r in cold.groupBy("minimiser").count().collect()), default=0) <= 50
     assert hot.count() > 300
+
+
+def test_only_shared_minimisers_travel(spark):
+    """Texts that share one passage send the pieces around it, others none."""
+    own = [(i, " ".join(f"w{i}x{j}" for j in range(400))) for i in range(40)]
+    passage = " ".join(f"p{j}" for j in range(30))
+    rows = own + [(50, f"{own[0][1]} {passage}"), (51, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    cold, hot = substrings._cold_and_hot(substrings.rows_of(docs), Repeats())
+    assert {r["doc_id"] for r in cold.select("doc_id").collect()} == {0, 50, 51}
+    assert hot.count() == 0
