@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marklens.functions.text import strip, to_double, to_long
+from marklens.sources import ledger
 from marklens.sources import records as store
 from marklens.spec import DEFAULT_SPEC, INGEST_ORDER, REJECT_REASON, ScorecardSpec
 
@@ -181,3 +182,51 @@ def append_to(
     store.create_empty(spark, path, spec, storage)
     stored = store.read_records(spark, path, spec, storage=storage)
     store.append(accepted(validate(submissions, stored, spec), spec), path, spec, storage)
+
+
+def append_committed(
+    submissions: DataFrame,
+    path: str,
+    spec: ScorecardSpec = DEFAULT_SPEC,
+    stream: str | None = None,
+    batch: int | None = None,
+) -> int:
+    """Add a batch to a table in versions; returns the version that has it.
+
+    Any number of writers may add at the same time. A batch is judged by the version
+    it starts from. When another writer commits first, only the keys added since are
+    looked at: a row accepted before is still the first good one of its key, and has
+    to go only if its key is stored by now. A ``batch`` of a ``stream`` that a version
+    has already, or a later one of that stream, is not added again.
+    """
+    spark = submissions.sparkSession
+    base = ledger.latest(spark, path)
+    if base.has(stream, batch):
+        return base.number
+    stored = ledger.read_folders(spark, path, base.folders, spec)
+    fresh = accepted(validate(submissions, stored, spec), spec)
+    folder = ledger.write_folder(fresh, path, spec)
+    while not ledger.commit(spark, path, base.after(folder, stream, batch)):
+        newer = ledger.latest(spark, path)
+        if newer.has(stream, batch):
+            ledger.drop_folder(spark, path, folder)
+            return newer.number
+        since = tuple(name for name in newer.folders if name not in base.folders)
+        taken = ledger.read_folders(spark, path, since, spec).select(spec.key)
+        own = ledger.read_folders(spark, path, (folder,), spec)
+        left = ledger.write_folder(own.join(taken, spec.key, "left_anti"), path, spec)
+        ledger.drop_folder(spark, path, folder)
+        base, folder = newer, left
+    return base.number + 1
+
+
+def existing_in_ranges(
+    incoming: DataFrame, path: str, spec: ScorecardSpec = DEFAULT_SPEC
+) -> DataFrame:
+    """Distinct incoming keys that a table in versions holds; only files whose key
+    range meets that of the batch are opened."""
+    spark = incoming.sparkSession
+    low, high = incoming.agg(F.min(spec.key), F.max(spec.key)).first()
+    if low is None:
+        return incoming.select(spec.key).filter("false")
+    return existing_keys(incoming, ledger.read_range(spark, path, low, high, spec), spec)

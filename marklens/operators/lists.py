@@ -38,6 +38,33 @@ def study_hours_relation(scored: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC)
     return cleaned(scored, spec).select(spec.key, spec.name, spec.hours, AVERAGE, GRADE)
 
 
+def relation_grid(
+    scored: DataFrame,
+    measure: str,
+    step: float,
+    average_step: float = 5.0,
+    spec: ScorecardSpec = DEFAULT_SPEC,
+) -> DataFrame:
+    """A relation to the average as a grid: per cell that is not empty the number of
+    records and their mean average, however many points there are.
+
+    A cell begins at a multiple of its step. Records without the measure or without
+    an average are counted in cells of their own. The mean is taken over hundredths,
+    which are whole numbers, and rounded half up.
+    """
+
+    def cell(column: str, width: float) -> Column:
+        return F.floor(F.col(column) / width) * F.lit(width)
+
+    hundredths = F.round(F.col(AVERAGE) * 100).cast("bigint")
+    cells = cleaned(scored, spec).groupBy(
+        cell(measure, step).alias(f"{measure}_From"), cell(AVERAGE, average_step).alias("Average_From")
+    )
+    found = cells.agg(F.count("*").alias("Students"), F.sum(hundredths).alias("total"))
+    mean = F.floor((2 * F.col("total") + F.col("Students")) / (2 * F.col("Students"))) / 100
+    return found.select(f"{measure}_From", "Average_From", "Students", mean.alias("Mean_Average"))
+
+
 def low_attendance(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     below = F.col(spec.attendance) < spec.attendance_floor
     return cleaned(df, spec).filter(below).select(spec.key, spec.name, spec.attendance)

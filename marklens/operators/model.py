@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -20,11 +23,13 @@ from marklens.functions.scoring import clean, support_label
 from marklens.functions.text import explanation
 from marklens.operators import evaluate
 from marklens.operators.split import IS_TEST, stratified_split
+from marklens.sources import ledger
 from marklens.spec import DEFAULT_SPEC, SUPPORT, ScorecardSpec
 
 VECTOR = "features"
 LABEL_INDEX = "label_index"
 PREDICTED = "Predicted_Category"
+WEIGHT = "Weight"
 
 # Fixed value: the remark that goes with the measures.
 DATA_NOTE = (
@@ -94,6 +99,25 @@ def train(
         rows.unpersist()
 
 
+def class_weights(labelled: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
+    """Records and weight per category among the complete records, from one aggregate:
+    the weight is such that all categories present count alike. A category without
+    records has no row."""
+    counts = labelled.filter(is_complete(spec) & F.col(SUPPORT).isin(*spec.support.categories))
+    counts = counts.groupBy(SUPPORT).agg(F.count("*").alias("Students"))
+    sums = counts.agg(F.sum("Students").alias("all"), F.count("*").alias("classes"))
+    weight = F.col("all") / (F.col("classes") * F.col("Students"))
+    # One row beside at most one row per category.
+    joined = counts.withColumns({c: sums.select(c).scalar() for c in ("all", "classes")})
+    return joined.select(SUPPORT, "Students", weight.alias(WEIGHT))
+
+
+def with_class_weights(labelled: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
+    """Add each record's weight; a record that takes no part in training has none."""
+    weights = class_weights(labelled, spec).select(SUPPORT, WEIGHT)
+    return labelled.join(F.broadcast(weights), SUPPORT, "left").select(*labelled.columns, WEIGHT)
+
+
 @dataclass(frozen=True)
 class HoldOut:
     """A trained tree, the records it learned from, its predictions on the records
@@ -109,22 +133,73 @@ def train_and_hold_out(
     labelled: DataFrame,
     spec: ScorecardSpec = DEFAULT_SPEC,
     share: float = 0.2,
+    balanced: bool = False,
+    store: str | None = None,
     **tree_options,
 ) -> HoldOut:
     """Train on all but a stratified share of the complete records, predict that share.
 
     The split depends on the keys alone, so it is computed again where it is used.
+    ``balanced`` weights the categories so that a rare one counts as much as others.
+    With a ``store`` folder, a tree that was trained there on the same records and
+    with the same options is loaded instead.
     """
     categories = spec.support.categories
     complete = labelled.filter(is_complete(spec))
     divided = stratified_split(complete, SUPPORT, spec.key, categories, share)
     training = divided.filter(~F.col(IS_TEST)).drop(IS_TEST)
-    tree = train(training, spec, **tree_options)
+    if store:
+        options = {"share": share, "balanced": balanced, **tree_options}
+        tree = stored_tree(training, store, spec, balanced, options, **tree_options)
+    else:
+        tree = _fit(training, spec, balanced, **tree_options)
     held_out = divided.filter(IS_TEST).drop(IS_TEST)
     left_out = labelled.filter(~is_complete(spec))
     return HoldOut(tree, training, predict(tree, held_out, spec), left_out)
 
 
+def _fit(
+    training: DataFrame, spec: ScorecardSpec, balanced: bool, **tree_options
+) -> DecisionTreeClassificationModel:
+    if balanced:
+        return train(with_class_weights(training, spec), spec, weight_col=WEIGHT, **tree_options)
+    return train(training, spec, **tree_options)
+
+
+def fingerprint(training: DataFrame, options: dict, spec: ScorecardSpec = DEFAULT_SPEC) -> str:
+    """What a tree depends on: the records' keys, features and labels, in any order,
+    and the options. One row per task is sent."""
+    columns = (spec.key, *spec.features, SUPPORT)
+    numbers = [F.xxhash64(F.lit(seed), *columns).cast("decimal(38, 0)") for seed in (1, 2)]
+    sums = [F.coalesce(F.sum(x), F.lit(0)).cast("string") for x in numbers]
+    found = training.agg(F.count("*").cast("string"), *sums).first()
+    text = json.dumps([list(found), columns, sorted(options.items()), repr(spec)])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def stored_tree(
+    training: DataFrame,
+    store: str,
+    spec: ScorecardSpec = DEFAULT_SPEC,
+    balanced: bool = False,
+    options: dict | None = None,
+    **tree_options,
+) -> DecisionTreeClassificationModel:
+    """The tree for these records from a folder of trees, trained and added if it is
+    not there. A tree counts as there once its mark is; of two writers of the same
+    tree the first one's stays."""
+    spark = training.sparkSession
+    options = {"balanced": balanced, **tree_options} if options is None else options
+    name = fingerprint(training, options, spec)
+    mark = f"{store}/{name}.json"
+    if ledger.exists(spark, mark):
+        return load(f"{store}/{ledger.read_text(spark, mark)}")
+    tree, folder = _fit(training, spec, balanced, **tree_options), f"{name}-{uuid.uuid4().hex}"
+    save(tree, f"{store}/{folder}")
+    ledger.create_new(spark, mark, folder)
+    return tree
+
+
 def sample_counts(
     labelled: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC, share: float = 0.2
 ) -> DataFrame:

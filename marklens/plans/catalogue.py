@@ -7,6 +7,7 @@ top-k queries rank the core records and name only the winners.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,24 @@ from pyspark.sql import functions as F
 from marklens.functions import scoring
 from marklens.functions.text import average_preview, explanation
 from marklens.operators import distributions as dist
-from marklens.operators import evaluate, ingest, lists, model, search, split, stats
+from marklens.operators import (
+    evaluate,
+    ingest,
+    lists,
+    model,
+    search,
+    sketches,
+    split,
+    stats,
+    text_index,
+)
 from marklens.plans import views
+from marklens.sources import ledger
+from marklens.sources import records as store
 from marklens.sources import warehouse as wh
-from marklens.spec import AVERAGE, GRADE, STATUS, SUPPORT
+from marklens.sources.workspace import workspace
+from marklens.streaming import submissions as stream
+from marklens.spec import AVERAGE, GRADE, INGEST_ORDER, STATUS, SUPPORT
 from marklens.spec import DEFAULT_SPEC as SPEC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +43,7 @@ SEARCH_PATTERN = "er#0+1[0-9]*7$"
 SEARCH_TEXT = "CUSTOMER#00000001"
 LABELS = SPEC.support.categories
 FLAG = "Flag_Category"
+STREAM_FILES = 3
 
 QUERIES: dict[str, Query] = {}
 
@@ -78,6 +94,65 @@ def validate_rejects(spark, sf_dir):
     return ingest.rejected(ingest.validate(incoming, stored))
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _ledger_of(records: DataFrame, name: str) -> str:
+    """A table in versions whose first one holds these records."""
+    spark = records.sparkSession
+    path = _new_folder(spark, name)
+    first = ledger.write_folder(records, path)
+    ledger.commit(spark, path, ledger.Version().after(first, None, None))
+    return path
+
+
+@query
+def scan_csv(spark, sf_dir):
+    """The records by way of the CSV table."""
+    path = _new_folder(spark, "csv")
+    store.append(wh.records(spark, sf_dir), path)
+    return store.read_records(spark, path)
+
+
+@query
+def validate_without_marks(spark, sf_dir):
+    """A batch that lacks a column: it reads as blank, so no row has that number."""
+    incoming = wh.submissions(spark, sf_dir).drop(SPEC.subjects[0])
+    return ingest.rejected(ingest.validate(incoming, wh.stored_keys(spark, sf_dir)))
+
+
+@query
+def append_committed(spark, sf_dir):
+    """The submissions in two batches, the later half second, committed one by one."""
+    incoming = wh.submissions(spark, sf_dir)
+    path = _ledger_of(wh.stored_records(spark, sf_dir), "ledger")
+    half = incoming.agg(F.floor(F.avg(INGEST_ORDER)).alias("half")).first()["half"] or 0
+    for part in (F.col(INGEST_ORDER) <= half, F.col(INGEST_ORDER) > half):
+        ingest.append_committed(incoming.filter(part), path)
+    return ledger.read(spark, path)
+
+
+@query
+def append_streamed(spark, sf_dir):
+    """The submissions as a stream of files; the rows carry their order themselves."""
+    inbox = _new_folder(spark, "inbox")
+    incoming = wh.submissions(spark, sf_dir).select(*SPEC.columns, INGEST_ORDER)
+    ordered = incoming.repartitionByRange(STREAM_FILES, INGEST_ORDER)
+    ordered.write.option("header", True).option("escape", '"').csv(inbox)
+    path = _ledger_of(wh.stored_records(spark, sf_dir), "ledger")
+    arriving = stream.read_stream(spark, inbox)
+    stream.append_stream(arriving, path, _new_folder(spark, "checkpoint"), "inbox").awaitTermination()
+    return ledger.read(spark, path)
+
+
+@query
+def existing_keys_sorted(spark, sf_dir):
+    """Looked up in a table whose files are sorted by key."""
+    path = _ledger_of(wh.stored_records(spark, sf_dir), "ledger")
+    return ingest.existing_in_ranges(wh.line_keys(spark, sf_dir), path)
+
+
 # Scores and lists
 
 
@@ -127,6 +202,31 @@ def search_literal(spark, sf_dir):
     return search.search(_scored(spark, sf_dir), SEARCH_TEXT, literal=True)
 
 
+@query
+def find_by_id_sorted(spark, sf_dir):
+    """From a table whose files are sorted by key; files without the key stay closed."""
+    path = _ledger_of(wh.records(spark, sf_dir), "ledger")
+    return scoring.score(ledger.read_range(spark, path, LOOKUP_KEY, LOOKUP_KEY))
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
+    path = _new_folder(spark, "trigrams")
+    text_index.build(wh.records(spark, sf_dir), path)
+    return path
+
+
+@query
+def search_regex_indexed(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    return text_index.search_indexed(scored, _indexed(spark, sf_dir), SEARCH_PATTERN)
+
+
+@query
+def search_literal_indexed(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    return text_index.search_indexed(scored, _indexed(spark, sf_dir), SEARCH_TEXT, literal=True)
+
+
 @query
 def low_attendance(spark, sf_dir):
     return lists.low_attendance(wh.records(spark, sf_dir))
@@ -157,6 +257,16 @@ def rel_study_hours(spark, sf_dir):
     return lists.study_hours_relation(_scored(spark, sf_dir))
 
 
+@query
+def rel_attendance_grid(spark, sf_dir):
+    return lists.relation_grid(_core_scored(spark, sf_dir), SPEC.attendance, 5.0)
+
+
+@query
+def rel_study_hours_grid(spark, sf_dir):
+    return lists.relation_grid(_core_scored(spark, sf_dir), SPEC.hours, 1.0)
+
+
 @query
 def top_students(spark, sf_dir):
     best = lists.best_rows(_core_scored(spark, sf_dir))
@@ -241,6 +351,20 @@ def subject_box(spark, sf_dir):
     return box.select(*[c if c in whole else F.round(c, 4).alias(c) for c in box.columns])
 
 
+@query
+def subject_box_approx(spark, sf_dir):
+    """Whether the quartiles of stored sketches, one per study time and subject, are
+    within the bound on their rank."""
+    core, path = wh.core_records(spark, sf_dir), _new_folder(spark, "sketches")
+    sketches.mark_sketches(core, F.col(SPEC.hours)).write.parquet(path)
+    box = sketches.box_of_sketches(spark.read.parquet(path))
+    errors = sketches.rank_errors(core, box)
+    within = [
+        (F.col(f"{q}_Error") <= sketches.RANK_ERROR).alias(f"{q}_Within") for q, _ in sketches.QUARTILES
+    ]
+    return errors.select("Subject", "Marks", *within)
+
+
 # Reports in SQL
 
 
@@ -300,16 +424,16 @@ def explain_support(spark, sf_dir):
     return core.select(SPEC.key, explanation().alias("Explanation"))
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> model.HoldOut:
-    """The tree over a folder's records, trained once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TREES:
-        _TREES.clear()
-        _TREES[key] = model.train_and_hold_out(_core_labelled(spark, sf_dir))
-    return _TREES[key]
+def _trained(spark: SparkSession, sf_dir: str, **options) -> model.HoldOut:
+    """The tree over a folder's records, loaded where it was trained on the same ones."""
+    trees = f"{workspace(spark)}/trees"
+    return model.train_and_hold_out(_core_labelled(spark, sf_dir), store=trees, **options)
 
 
-_TREES: dict[tuple[str, str], model.HoldOut] = {}
+@query
+def class_weights(spark, sf_dir):
+    weights = model.class_weights(_core_labelled(spark, sf_dir))
+    return weights.withColumn(model.WEIGHT, F.round(model.WEIGHT, 6))
 
 
 @query
@@ -350,6 +474,12 @@ def tree_class_report(spark, sf_dir):
     return model.tree_report(_trained(spark, sf_dir)).report
 
 
+@query
+def tree_class_report_balanced(spark, sf_dir):
+    """Of a tree that learned with class weights."""
+    return model.tree_report(_trained(spark, sf_dir, balanced=True)).report
+
+
 def _six_digits(df: DataFrame) -> DataFrame:
     """Measures as two engines print them alike."""
     return df.select(

@@ -389,3 +389,43 @@ UNION ALL SELECT 'weighted avg', round(sum(pr * s) / sum(s), 6),
                  round(sum(re * s) / sum(s), 6), round(sum(f1 * s) / sum(s), 6),
                  CAST(sum(s) AS BIGINT) FROM measured""",
 }
+
+
+def _grid(measure: str, step: int) -> str:
+    return f"""{_WITH}
+SELECT floor({measure} / {step}) * {step} AS {measure}_From,
+       floor(Average / 5) * 5 AS Average_From, count(*) AS Students,
+       ((2 * sum(CAST(round(Average * 100) AS BIGINT)) + count(*)) // (2 * count(*)))::BIGINT / 100
+         AS Mean_Average
+FROM scored GROUP BY ALL"""
+
+
+# Other ways to the same rows.
+ORACLE |= {
+    "scan_csv": ORACLE["scan_base"],
+    "append_committed": ORACLE["append_new"],
+    "append_streamed": ORACLE["append_new"],
+    "existing_keys_sorted": ORACLE["existing_keys"],
+    "find_by_id_sorted": ORACLE["find_by_id"],
+    "search_regex_indexed": ORACLE["search_regex"],
+    "search_literal_indexed": ORACLE["search_literal"],
+    "rel_attendance_grid": _grid("Attendance", 5),
+    "rel_study_hours_grid": _grid("Study_Hours", 1),
+    "subject_box_approx": f"""{_WITH}, {_LONG_MARKS}
+SELECT Subject, count(Mark) AS Marks, true AS Q1_Within, true AS Median_Within, true AS Q3_Within
+FROM long_marks GROUP BY Subject""",
+    "class_weights": f"""{_WITH}
+SELECT Support_Category, count(*) AS Students,
+       round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS Weight
+FROM scored WHERE mean IS NOT NULL GROUP BY Support_Category""",
+    # Without marks in one subject no row is fit to be stored, so keys are refused
+    # only where they are stored already.
+    "validate_without_marks": f"""WITH {_VERDICTS}
+SELECT Student_ID, Name, Gender, Attendance, Study_Hours, CAST(NULL AS DOUBLE) AS Math, Science,
+       English, Ingest_Order,
+       coalesce(key_fault,
+                CASE WHEN Student_ID IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+                     THEN 'Student ID already exists!' END,
+                'Please enter valid numeric values.') AS Reject_Reason
+FROM judged""",
+}
