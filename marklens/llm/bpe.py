@@ -2,19 +2,26 @@
 
 Words are what stands between blanks and line ends; the tokenizers served here drop
 white space and never join text across it, so a text's ids are its words' ids in
-turn. Each distinct word is encoded once; ids come back to every
-place of the word by a join. Decoding joins each id with its piece.
+turn.
 
-The word table is broadcast, so its size is bounded: it holds the most frequent
-words, as many as ``limit`` allows, none longer than ``LONGEST``. Any other word
-is encoded where it stands. Both ways give the same ids.
+1. Texts are split in blocks of rows. Each block lists its distinct words, with a
+   number, and knows the number at every place of its texts.
+2. The lists of all blocks meet by word. Each distinct word is encoded once, and its
+   ids go back to the blocks that asked, as packed numbers.
+3. A block, which comes to the same task, puts the ids at the places of its words.
 
-The places of a text pass through explode and broadcast joins inside one task and
-in their order, so nothing is shuffled to put them together again; the last step
-checks the order.
+Decoding joins each id with its piece; the table of pieces has as many rows as the
+vocabulary and is there in every task, so its side of the join is looked up by id.
+
+At scale: a word has one row per block, however frequent; texts are shuffled once,
+packed. Texts are split twice, in step 1 and for step 3; a block has the number of
+its scan task and its place in that, with a digest of its rows, so blocks that do
+not meet again (rows that come in another order when computed again) are noticed.
+Their words are then encoded in step 3.
 
 Edge cases: a null text reads as empty; an empty text has no ids and decodes to
-an empty text; repeated rows stay; a word of any length is encoded whole.
+an empty text; repeated rows stay; a word of any length is encoded whole; a text
+longer than a block is one.
 """
 
 from __future__ import annotations
@@ -23,21 +30,25 @@ import json
 import os
 from collections.abc import Iterator
 from functools import partial
-from hashlib import sha256
+from hashlib import blake2b, sha256
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marklens.llm.storage import keep
+from marklens.llm.wordhash import buffers, chunks
+
+#: Bytes of text in a block, beyond a single longer one.
+BLOCK_BYTES = 8 << 20
+#: Distinct words that are encoded at a time.
+WORDS = 20_000
 
-LIMIT = 800_000
-LONGEST = 48
-#: Ids of words beyond the table that a task remembers.
-REMEMBERED = 100_000
+_INSIDE = np.ones(256, bool)
+_INSIDE[[0x20, 0x0A]] = False
 
 
 def load_spec(path: str) -> str:
@@ -59,194 +70,257 @@ def _ids(tokenizer, words: list[str]) -> list[list[int]]:
     return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-def _encode_words(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    tokenizer = _tokenizer(spec)
+def _packed(tokenizer, words: pa.Array) -> list[bytes]:
+    found = []
+    for low in range(0, len(words), WORDS):
+        part = words.slice(low, WORDS).cast(pa.string()).to_pylist()
+        found += [np.array(ids, "<i4").tobytes() for ids in _ids(tokenizer, part)]
+    return found
+
+
+def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of consecutive rows, and the number of words before each row's end."""
+    at = offsets - offsets[0]
+    data = data[offsets[0] : offsets[-1]]
+    n = len(data)
+    inside = _INSIDE[data]
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    edges = at[:-1][at[:-1] < n]
+    opens[edges] = inside[edges]
+    starts = np.flatnonzero(opens)
+    # Lengths by counting the bytes that belong to words.
+    counted = np.cumsum(inside)
+    bounds = counted[starts] - 1 if n else np.zeros(0, np.int64)
+    ends = np.append(bounds, counted[-1] if n else 0).astype(np.int32)
+    words = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])]
+    )
+    return words, np.searchsorted(starts, at[1:])
+
+
+class _Block:
+    """Rows with their distinct words and the word's number at every place."""
+
+    def __init__(self, rows: pa.RecordBatch, number: int):
+        data, offsets = buffers(rows.column("text"))
+        words, self.ends = _split(data, offsets)
+        coded = words.dictionary_encode()
+        self.rows, self.words, self.places = rows, coded.dictionary, coded.indices.to_numpy()
+        seen = blake2b(data[offsets[0] : offsets[-1]], digest_size=8)
+        seen.update((offsets - offsets[0]).tobytes())
+        self.name = f"{TaskContext.get().partitionId()}-{number}-{seen.hexdigest()}".encode()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
+    number = 0
     for batch in batches:
-        ids = _ids(tokenizer, batch.column("word").to_pylist())
+        _, offsets = buffers(batch.column("text"))
+        for low, high in chunks(offsets, size):
+            yield _Block(batch.slice(low, high - low), number)
+            number += 1
+
+
+_ASKED = "word binary, block binary, number int"
+_ROWS = "block binary, numbers binary, sizes binary, ids binary, texts binary"
+
+
+def _ask(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The distinct words of every block."""
+    for block in _blocks(batches, size):
+        for low in range(0, len(block.words), WORDS):
+            words = block.words.slice(low, WORDS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    words,
+                    pa.array([block.name] * len(words), pa.binary()),
+                    pa.array(np.arange(low, low + len(words), dtype=np.int32)),
+                ],
+                ["word", "block", "number"],
+            )
+
+
+def _answer(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+    """Ids of words that come in their order, packed per block and batch."""
+    tokenizer, last = _tokenizer(spec), (None, b"")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = batch.column("word").dictionary_encode()
+        known = last[0] is not None and coded.dictionary[0].as_py() == last[0]
+        found = [last[1]] * known + _packed(tokenizer, coded.dictionary.slice(int(known)))
+        # The last word may go on in the next batch.
+        last = (coded.dictionary[-1].as_py(), found[-1])
+        ids = pa.array(found, pa.binary()).take(coded.indices)
+        blocks = batch.column("block").dictionary_encode()
+        order = np.argsort(blocks.indices.to_numpy(), kind="stable")
+        cuts = np.searchsorted(blocks.indices.to_numpy()[order], np.arange(len(blocks.dictionary) + 1))
+        ids = ids.take(pa.array(order))
+        numbers = batch.column("number").to_numpy()[order].astype("<i4")
+        data, offsets = buffers(ids)
+        sizes = (np.diff(offsets) // 4).astype("<i4")
+        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"]
+            [
+                blocks.dictionary,
+                pa.array([numbers[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([sizes[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([data[offsets[a] : offsets[b]].tobytes() for a, b in spans], pa.binary()),
+                pa.nulls(len(spans), pa.binary()),
+            ],
+            ["block", "numbers", "sizes", "ids", "texts"],
         )
 
 
-def _places(docs: DataFrame):
-    """The words; empty where blanks meet. One plain blank splits fastest."""
-    text = F.coalesce(docs["text"], F.lit(""))
-    return F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
-
+def _send(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of every block, packed."""
+    for block in _blocks(batches, size):
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(sink, block.rows.schema, options=options) as out:
+            out.write_batch(block.rows)
+        none = pa.nulls(1, pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block.name], pa.binary()), none, none, none, pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["block", "numbers", "sizes", "ids", "texts"],
+        )
 
-def word_table(docs: DataFrame, spec: str, limit: int = LIMIT) -> DataFrame:
-    """The most frequent distinct words with their ids, at most ``limit``.
 
-    Occurrences are counted map-side. Counts are cut at a power of two, which
-    needs no sort: the driver gets a number of words for each power.
-    """
-    places = docs.select(F.explode(_places(docs)).alias("word"))
-    counts = places.filter(F.length("word").between(1, LONGEST)).groupBy("word").count()
-    counts = keep(counts.withColumn("power", F.floor(F.log2("count")).cast("int")), "words")
-    room, least = limit, 64
-    for power, n in sorted(map(tuple, counts.groupBy("power").count().collect()), reverse=True):
-        room -= n
-        if room < 0:
-            break
-        least = power
-    chosen = counts.filter(F.col("power") >= least).select("word")
-    return chosen.mapInArrow(partial(_encode_words, spec=spec), "word string, ids array<int>")
-
-
-class _Texts:
-    """Puts consecutive places together again, across batches."""
+class _Known:
+    """Ids of a block's words, as far as answers have come."""
 
     def __init__(self):
-        self.parts, self.next = [], 0
-
-    def check(self, places: np.ndarray, heads: np.ndarray) -> None:
-        at = np.arange(len(places))
-        head = np.maximum.accumulate(np.where(heads, at, -1))
-        expected = np.where(head >= 0, at - head, at + self.next)
-        if not np.array_equal(places, expected):
-            raise ValueError("places of a text are out of order")
-        self.next = int(places[-1]) + 1
-
-
-def _gather(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    """One row of ids per text, from its places in order."""
-    tokenizer, texts, doc, started = _tokenizer(spec), _Texts(), None, False
-    out_ids, out_docs, known = [], [], {}
-
-    def batch_out() -> pa.RecordBatch:
-        lengths = np.array([0, *(len(x) for x in out_ids)])
-        flat = np.concatenate(out_ids) if out_ids else np.zeros(0, np.int32)
-        ids = pa.ListArray.from_arrays(
-            pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat, pa.int32())
-        )
-        return pa.RecordBatch.from_arrays(
-            [pa.array(out_docs, pa.int64()), ids], names=["doc_id", "ids"]
+        self.numbers, self.sizes, self.ids = [], [], []
+
+    def add(self, numbers: bytes, sizes: bytes, ids: bytes) -> None:
+        self.numbers.append(np.frombuffer(numbers, "<i4"))
+        self.sizes.append(np.frombuffer(sizes, "<i4"))
+        self.ids.append(np.frombuffer(ids, "<i4"))
+
+    def all(self, words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """Size and ids of every word, in the order of their numbers."""
+        numbers = np.concatenate([np.zeros(0, np.int32), *self.numbers])
+        missing = np.setdiff1d(np.arange(len(words)), numbers)
+        if len(missing):
+            found = _packed(tokenizer, words.take(pa.array(missing)))
+            self.add(
+                missing.astype("<i4").tobytes(),
+                np.array([len(x) // 4 for x in found], "<i4").tobytes(),
+                b"".join(found),
+            )
+            numbers = np.concatenate(self.numbers)
+        sizes, ids = np.concatenate([np.zeros(0, np.int32), *self.sizes]), np.concatenate([np.zeros(0, np.int32), *self.ids])
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        at = np.empty(len(words), np.int64)
+        at[numbers] = np.arange(len(numbers))
+        return sizes[at], ids[_spread(starts[at], sizes[at])]
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of every run, one after another."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _place(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+    """Ids of every text, from the rows of its block: answers first, then texts."""
+    tokenizer, name, known = _tokenizer(spec), None, _Known()
+    for batch in batches:
+        columns = [batch.column(c) for c in ("block", "numbers", "sizes", "ids", "texts")]
+        for row in range(batch.num_rows):
+            block, numbers, sizes, ids, texts = (c[row].as_py() for c in columns)
+            if block != name:
+                name, known = block, _Known()
+            if texts is None:
+                known.add(numbers, sizes, ids)
+                continue
+            rows = pa.ipc.open_stream(texts).read_all().combine_chunks().to_batches()
+            for part in rows:
+                yield from _encoded(part, known, tokenizer)
+
+
+def _encoded(rows: pa.RecordBatch, known: _Known, tokenizer) -> Iterator[pa.RecordBatch]:
+    block = _Block(rows, 0)
+    sizes, ids = known.all(block.words, tokenizer)
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    first = 0
+    # Some rows at a time, so that ids of long texts do not pile up.
+    _, offsets = buffers(rows.column("text"))
+    for a, b in chunks(offsets):
+        last = int(block.ends[b - 1])
+        words = block.places[first:last]
+        per_word = sizes[words].astype(np.int64)
+        flat = ids[_spread(starts[words], per_word)]
+        upto = np.concatenate([[0], np.cumsum(per_word)])
+        ends = upto[np.concatenate([[first], block.ends[a:b]]) - first]
+        yield pa.RecordBatch.from_arrays(
+            [
+                rows.column("doc_id").slice(a, b - a),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+            ],
+            ["doc_id", "ids"],
         )
+        first = last
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        places = batch.column("place").to_numpy(zero_copy_only=False)
-        heads = places == 0
-        texts.check(places, heads)
-        found = batch.column("ids")
-        lengths = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
-        flat = found.flatten().to_numpy(zero_copy_only=False)
-        ends = np.cumsum(lengths)
-        missing = batch.column("missing")
-        if missing.null_count < len(missing):
-            rows = np.flatnonzero(missing.is_valid().to_numpy(zero_copy_only=False))
-            wanted = missing.drop_null().to_pylist()
-            if len(known) > REMEMBERED:
-                known.clear()
-            fresh = [w for w in dict.fromkeys(wanted) if w not in known]
-            known.update(zip(fresh, _ids(tokenizer, fresh), strict=True))
-            more = [known[w] for w in wanted]
-            sizes = np.array([len(x) for x in more])
-            values = np.array([y for x in more for y in x], dtype=np.int32)
-            flat = np.insert(flat, np.repeat((ends - lengths)[rows], sizes), values)
-            lengths = lengths.copy()
-            lengths[rows] = sizes
-            ends = np.cumsum(lengths)
-        cuts = np.flatnonzero(heads)
-        docs = batch.column("doc_id").take(pa.array(cuts)).to_pylist()
-        pieces = np.split(flat, (ends - lengths)[cuts])
-        texts.parts.append(pieces[0])
-        for piece, head in zip(pieces[1:], docs, strict=True):
-            if started:
-                out_ids.append(np.concatenate(texts.parts))
-                out_docs.append(doc)
-            texts.parts, doc, started = [piece], head, True
-        if out_ids:
-            yield batch_out()
-            out_ids, out_docs = [], []
-    if started:
-        out_ids.append(np.concatenate(texts.parts))
-        out_docs.append(doc)
-        yield batch_out()
-
-
-def encode(docs: DataFrame, spec: str, limit: int = LIMIT) -> DataFrame:
+
+def word_ids(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Every distinct word encoded once, its ids packed for the blocks that have it."""
+    asked = docs.select("doc_id", "text").mapInArrow(partial(_ask, size=block_bytes), _ASKED)
+    dealt = asked.repartition("word").sortWithinPartitions("word")
+    return dealt.mapInArrow(partial(_answer, spec=spec), _ROWS)
+
+
+def encode(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Token ids of every text, as (doc_id, ids)."""
-    table = keep(word_table(docs, spec, limit), "word-ids")
-    places = docs.select("doc_id", F.posexplode(_places(docs)).alias("place", "word"))
-    found = places.join(F.broadcast(table), "word", "left").select(
-        "doc_id",
-        "place",
-        F.when(F.col("word") == "", F.array().cast("array<int>"))
-        .otherwise(F.col("ids")).alias("ids"),
-        F.when(F.col("ids").isNull() & (F.col("word") != ""), F.col("word")).alias("missing"),
-    )
-    return found.mapInArrow(partial(_gather, spec=spec), "doc_id long, ids array<int>")
+    texts = docs.select("doc_id", "text").mapInArrow(partial(_send, size=block_bytes), _ROWS)
+    rows = word_ids(docs, spec, block_bytes).unionByName(texts).withColumn("late", F.col("texts").isNotNull())
+    met = rows.repartition("block").sortWithinPartitions("block", "late").drop("late")
+    return met.mapInArrow(partial(_place, spec=spec), "doc_id long, ids array<int>")
 
 
-def pieces(spark: SparkSession, spec: str) -> DataFrame:
-    """Piece of every id, a blank before it; as many rows as the vocabulary has."""
+def pieces(spec: str) -> dict[int, str]:
+    """Piece of every id, a blank before it; as many as the vocabulary has."""
     described = json.loads(spec)
     rows = {number: " " + piece for piece, number in described["model"]["vocab"].items()}
-    rows |= {x["id"]: " " + x["content"] for x in described["added_tokens"]}
-    return spark.createDataFrame(sorted(rows.items()), "id int, piece string")
-
+    return rows | {x["id"]: " " + x["content"] for x in described["added_tokens"]}
 
-def _spell(batches: Iterator[pa.RecordBatch], digests: bool) -> Iterator[pa.RecordBatch]:
-    """One text per run of places: its pieces, a blank between each two."""
-    texts, ids, doc, started = _Texts(), [], None, False
-    out: list[tuple] = []
-
-    def close() -> None:
-        if started:
-            spelled = b"".join(texts.parts).decode().removeprefix(" ")
-            out.append((doc, spelled, np.concatenate(ids) if digests else None))
 
+def _spell(batches: Iterator[pa.RecordBatch], spec: str, digests: bool) -> Iterator[pa.RecordBatch]:
+    known = pieces(spec)
+    size = max(known, default=-1) + 1
+    # An id that the vocabulary lacks has an empty piece; the last one is for them.
+    table = pa.array([known.get(i, "").encode() for i in range(size)] + [b""], pa.binary())
+    digits = pa.array([str(i) for i in range(size)], pa.string())
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        places = batch.column("place").to_numpy(zero_copy_only=False)
-        heads = places == 0
-        texts.check(places, heads)
-        column = batch.column("piece")
-        offsets = np.frombuffer(column.buffers()[1], np.int32)
-        offsets = offsets[column.offset : column.offset + len(column) + 1]
-        data = column.buffers()[2]
-        data = b"" if data is None else data.to_pybytes()
-        cuts = np.flatnonzero(heads)
-        bounds = [int(offsets[0]), *offsets[cuts].tolist(), int(offsets[-1])]
-        parts = [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        # A text without ids has one row without an id.
-        known = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
-        numbers = batch.column("id").fill_null(0).to_numpy(zero_copy_only=False)
-        numbers = [
-            n[k]
-            for n, k in zip(np.split(numbers, cuts), np.split(known, cuts), strict=True)
-        ]
-        docs = batch.column("doc_id").take(pa.array(cuts)).to_pylist()
-        texts.parts.append(parts[0])
-        ids.append(numbers[0])
-        for part, number, head in zip(parts[1:], numbers[1:], docs, strict=True):
-            close()
-            texts.parts, ids, doc, started = [part], [number], head, True
-        if out:
-            yield _columns(out, digests)
-            out.clear()
-    close()
-    if out:
-        yield _columns(out, digests)
-
-
-def _columns(rows: list[tuple], digests: bool) -> pa.RecordBatch:
-    docs, texts, ids = zip(*rows, strict=True)
-    columns = {"doc_id": pa.array(docs, pa.int64())}
-    if digests:
-        sizes = [len(x) for x in ids]
-        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        numbers = pa.array(np.concatenate(ids)).cast(pa.string())
-        listed = pc.binary_join(pa.ListArray.from_arrays(ends, numbers), " ").to_pylist()
-        columns["n_tokens"] = pa.array(sizes, pa.int64())
-        columns["ids_sha256"] = pa.array([sha256(x.encode()).hexdigest() for x in listed])
-        columns["decoded_sha256"] = pa.array([sha256(x.encode()).hexdigest() for x in texts])
-    else:
-        columns["text"] = pa.array(texts, pa.string())
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        lists = batch.column("ids")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        bounds = offsets - offsets[0]
+        # Some rows at a time.
+        for a, b in chunks(bounds, 1 << 18):
+            ids = lists.values.slice(int(offsets[a]), int(offsets[b] - offsets[a])).to_numpy()
+            place = np.where((ids >= 0) & (ids < size), ids, size)
+            data, at = buffers(table.take(pa.array(place)))
+            ends = at[bounds[a : b + 1] - bounds[a]]
+            blob = data[: ends[-1]].tobytes() if len(data) else b""
+            texts = [blob[x:y].removeprefix(b" ") for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            docs = batch.column("doc_id").slice(a, b - a)
+            if not digests:
+                spelled = pa.array(texts, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([docs, spelled], ["doc_id", "text"])
+                continue
+            cuts = pa.array(bounds[a : b + 1] - bounds[a], pa.int32())
+            numbers = digits.take(pa.array(ids)) if (place < size).all() else pa.array(ids).cast(pa.string())
+            listed = pc.binary_join(pa.ListArray.from_arrays(cuts, numbers), " ").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    docs,
+                    pa.array(np.diff(bounds[a : b + 1])),
+                    pa.array([sha256(x.encode()).hexdigest() for x in listed]),
+                    pa.array([sha256(x).hexdigest() for x in texts]),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
 
 def decode(encoded: DataFrame, spec: str, digests: bool = False) -> DataFrame:
@@ -258,14 +332,7 @@ def decode(encoded: DataFrame, spec: str, digests: bool = False) -> DataFrame:
     """
     if json.loads(spec)["decoder"] is not None:
         raise ValueError("only tokenizers without a decoder of their own are served")
-    places = encoded.select("doc_id", F.posexplode_outer("ids").alias("place", "id"))
-    spelled = places.join(F.broadcast(pieces(encoded.sparkSession, spec)), "id", "left").select(
-        "doc_id",
-        F.coalesce("place", F.lit(0)).alias("place"),
-        "id",
-        F.coalesce("piece", F.lit("")).alias("piece"),
-    )
     schema = "doc_id long, text string"
     if digests:
         schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return spelled.mapInArrow(partial(_spell, digests=digests), schema)
+    return encoded.select("doc_id", "ids").mapInArrow(partial(_spell, spec=spec, digests=digests), schema)

@@ -14,7 +14,9 @@ Neighbours are candidates only: a link holds when the full sets confirm it.
    the larger in blocks, those of the smaller past each block. Regions of one
    component, as most are by now, fall out.
 3. Components with more neighbours than the reach, or cut off from some by the
-   border of a sort partition, go again with a wider reach while that finds links.
+   border of a sort partition, go again with a much wider reach. Pairs that were
+   compared before, and single sets far from the limit by their signatures, are not
+   compared again.
 4. What is then still dense is searched exactly: sets that may be linked share one
    of their rarest shingles.
 
@@ -46,7 +48,7 @@ class Forest:
     """trees: sort orders; depth: hash values in each; least: values that
     candidates share at least; first_trees: trees of the first round; reach:
     neighbours looked at, each side; widening: factor by which the reach grows in
-    each further round; percent: intersection of a link's sets in percent of their
+    the second round; percent: intersection of a link's sets in percent of their
     union; block: members of a component that are held at a time."""
 
     trees: int = 16
@@ -54,7 +56,7 @@ class Forest:
     least: int = 3
     first_trees: int = 4
     reach: int = 8
-    widening: int = 64
+    widening: int = 4096
     percent: int = 85
     block: int = 256
     shingle: int = SHINGLE
@@ -515,27 +517,31 @@ def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     pairs = keep(first_pairs(sets, forest), "pairs").filter("candidate").select("a", "b")
     found = confirmed(pairs, docs, forest=forest)
     labels = components(keep(found.union(copies.select("first_id", "doc_id")), "found"))
-    rows, reach = keep(shared_regions(sets, forest), "shared"), forest.reach
-    while True:
-        wider = sets if reach > forest.reach else None
-        pairs = keep(region_pairs(rows, labels, reach, forest, wider), "pairs")
-        asked = pairs.filter("candidate").select("a", "b")
+    rows = keep(shared_regions(sets, forest), "shared")
+    asked, changed = None, None
+    for reach in (forest.reach, forest.reach * forest.widening):
+        pairs = keep(region_pairs(rows, labels, reach, forest, sets), "pairs")
+        new = pairs.filter("candidate").select("a", "b")
+        if asked is not None:
+            # What was compared before has no link, unless a side has grown since.
+            same = asked.join(changed.toDF("a"), "a", "left_anti").join(changed.toDF("b"), "b", "left_anti")
+            new = new.join(same, ["a", "b"], "left_anti")
+        asked = keep(new, "asked")
         found = keep(confirmed(asked, docs, labels, forest), "found")
         dense = _with_component(rows, labels).join(
             crowded(pairs), F.col("component") == F.col("a"), "left_semi"
         )
         rows = keep(dense.drop("component"), "dense")
-        none = found.isEmpty()
-        if not none:
+        if not found.isEmpty():
             labels = components(found, labels)
         if rows.isEmpty():
             break
-        if none:
-            asked = keep(exact_pairs(rows, labels, docs, forest), "exact")
-            found = keep(confirmed(asked, docs, labels, forest), "found")
-            labels = components(found, labels)
-            break
-        reach *= forest.widening
+        grown = found.select(F.explode(F.array("a", "b")).alias("id")).join(labels, "id", "left")
+        changed = keep(grown.select(F.coalesce("label", "id").alias("label")).distinct(), "changed")
+    else:
+        asked = keep(exact_pairs(rows, labels, docs, forest), "exact")
+        found = keep(confirmed(asked, docs, labels, forest), "found")
+        labels = components(found, labels)
     rows = signed.drop("signature", "digest").join(
         labels, F.col("doc_id") == F.col("id"), "left"
     )

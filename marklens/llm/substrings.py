@@ -50,7 +50,7 @@ class Repeats:
 
     window: int = 13
     gram: int = 4
-    crowd: int = 1 << 14
+    crowd: int = 1 << 16
     longest: int = 64
     salts: int = 256
     held: int = 1 << 20
@@ -88,7 +88,7 @@ def _cut(w: Words, how: Repeats) -> tuple[np.ndarray, ...]:
     for i in range(1, shift + 1):
         np.minimum(least, parts[i : i + n], out=least)
     rows = w.rows
-    at = np.flatnonzero(rows[:n] == rows[how.window - 1 :])
+    at = _starts(w, how)
     if not len(at):
         return none, none, none, none.astype(np.uint64)
     least, row = least[at], rows[at]
@@ -217,8 +217,7 @@ def _windows(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.Rec
     for batch in batches:
         for low, w in _worded(batch, "piece"):
             blob, starts, ends = _packed(w)
-            rows = w.rows
-            at = np.flatnonzero(rows[: max(len(rows) - how.window + 1, 0)] == rows[how.window - 1 :])
+            rows, at = w.rows, _starts(w, how)
             take = pa.array(rows[at] + low)
             begins = batch.column("start").take(take).to_numpy() + (at - w.first[rows[at]])
             cuts = zip(starts[at].tolist(), ends[at + how.window - 1].tolist(), strict=True)
@@ -233,12 +232,17 @@ def _windows(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.Rec
             )
 
 
-def _firsts(w: Words, docs: np.ndarray, how: Repeats) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of pieces, as their first words, and whether each also starts in a
-    document with a smaller doc_id."""
+def _starts(w: Words, how: Repeats) -> np.ndarray:
+    """First words of all windows."""
     rows = w.rows
-    at = np.flatnonzero(rows[: max(len(rows) - how.window + 1, 0)] == rows[how.window - 1 :])
-    key, doc = grams(w.hashes, how.window)[at], docs[rows[at]]
+    return np.flatnonzero(rows[: max(len(rows) - how.window + 1, 0)] == rows[how.window - 1 :])
+
+
+def _firsts(w: Words, docs: np.ndarray, how: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of texts, as their first words, and the smallest doc_id of each one's
+    words; ``docs`` is the smallest doc_id of each text."""
+    at = _starts(w, how)
+    key, doc = grams(w.hashes, how.window)[at], docs[w.rows[at]]
     order = np.lexsort((doc, key))
     ranked = key[order]
     opens = np.ones(len(at), bool)
@@ -246,49 +250,58 @@ def _firsts(w: Words, docs: np.ndarray, how: Repeats) -> tuple[np.ndarray, np.nd
     group = np.cumsum(opens) - 1
     begins = np.flatnonzero(opens)
     heads = order[begins][group]
-    later = doc[order] > doc[heads]
-    repeated = np.zeros(len(at), bool)
+    first = np.empty(len(at), np.int64)
+    first[order] = doc[heads]
     # Equal hashes are compared in full, each window with the first of its group.
     blob, starts, ends = _packed(w)
     start, end = starts[at].tolist(), ends[at + how.window - 1].tolist()
     unlike = set()
+    several = heads != order
     for own, head, number in zip(
-        order[later].tolist(), heads[later].tolist(), group[later].tolist(), strict=True
+        order[several].tolist(), heads[several].tolist(), group[several].tolist(), strict=True
     ):
-        if blob[start[own] : end[own]] == blob[start[head] : end[head]]:
-            repeated[own] = True
-        else:
+        if blob[start[own] : end[own]] != blob[start[head] : end[head]]:
             unlike.add(number)
     for number in unlike:
         stop = begins[number + 1] if number + 1 < len(begins) else len(at)
-        first: dict[bytes, int] = {}
+        least: dict[bytes, int] = {}
         for own in order[begins[number] : stop].tolist():
-            text = blob[start[own] : end[own]]
-            repeated[own] = doc[own] > first.setdefault(text, doc[own])
-    return at, repeated
+            first[own] = least.setdefault(blob[start[own] : end[own]], doc[own])
+    return at, first
 
 
 def _sorted_out(pieces: pa.Table, how: Repeats) -> Iterator[pa.RecordBatch]:
+    """Spans of whole buckets; equal pieces are looked at once."""
     pieces = pieces.combine_chunks()
-    data, offsets = buffers(_one(pieces.column("piece")))
+    coded = _one(pieces.column("piece")).dictionary_encode()
     docs, start = pieces.column("doc_id").to_numpy(), pieces.column("start").to_numpy()
+    text = coded.indices.to_numpy()
+    least = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+    np.minimum.at(least, text, docs)
+    data, offsets = buffers(coded.dictionary)
     w = words(data, offsets, SPACED_CASED)
-    at, repeated = _firsts(w, docs, how)
-    at = at[repeated]
-    if not len(at):
+    at, first = _firsts(w, least, how)
+    # Each piece's windows: those of its text, one after another.
+    low = np.searchsorted(at, w.first[:-1])
+    sizes = np.searchsorted(at, w.first[1:]) - low
+    own = sizes[text]
+    piece = np.repeat(np.arange(len(text)), own)
+    inside = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+    repeated = docs[piece] > first[low[text][piece] + inside]
+    piece, inside = piece[repeated], inside[repeated]
+    if not len(piece):
         return
-    row = w.rows[at]
-    opens = np.ones(len(at), bool)
-    opens[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
+    opens = np.ones(len(piece), bool)
+    opens[1:] = (piece[1:] != piece[:-1]) | (inside[1:] != inside[:-1] + 1)
     begins = np.flatnonzero(opens)
-    n = np.diff(np.append(begins, len(at)))
-    at, row = at[begins], row[begins]
-    take = pa.array(row)
+    n = np.diff(np.append(begins, len(piece)))
+    piece, inside = piece[begins], inside[begins]
+    take = pa.array(piece)
     yield pa.RecordBatch.from_arrays(
         [
             _one(pieces.column("doc_id")).take(take),
             _one(pieces.column("row")).take(take),
-            pa.array((start[row] + at - w.first[row]).astype(np.int32)),
+            pa.array((start[piece] + inside).astype(np.int32)),
             pa.array(n.astype(np.int32)),
         ],
         ["doc_id", "row", "start", "n"],
@@ -377,7 +390,8 @@ def removed_spans(docs: DataFrame, how: Repeats = DEFAULT) -> DataFrame:
     salted = single.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(how.salts)).cast("int"))
     per_salt = salted.groupBy("piece", "salt").agg(F.min("doc_id").alias("least"))
     first = per_salt.groupBy("piece").agg(F.min("least").alias("first"))
-    known = per_salt.drop("least").join(first, "piece")
+    # The condition always holds; naming the column lets both uses share one aggregate.
+    known = per_salt.join(first, "piece").filter("least >= first").drop("least")
     common = salted.join(known, ["piece", "salt"]).filter("doc_id > first")
     return ordinary.unionByName(
         common.select("doc_id", "row", "start", F.lit(1).cast("int").alias("n"))

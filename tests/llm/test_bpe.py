@@ -28,13 +28,13 @@ def tokenizer():
     return found
 
 
-@pytest.mark.parametrize("limit", [0, 3, 400_000])
-def test_like_the_library(spark, tokenizer, limit):
-    """Words in the table and words beyond it give the same ids."""
+@pytest.mark.parametrize("size", [1, 200, 8 << 20])
+def test_like_the_library(spark, tokenizer, size):
+    """Whatever the size of a block."""
     spec = bpe.load_spec(vocabulary_path())
     rows = [(i, t) for i, t in enumerate(TEXTS * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    encoded = bpe.encode(docs, spec, limit)
+    encoded = bpe.encode(docs, spec, size)
     ids = {r["doc_id"]: r["ids"] for r in encoded.collect()}
     texts = {r["doc_id"]: r["text"] for r in bpe.decode(encoded, spec).collect()}
     sums = {r["doc_id"]: r for r in bpe.decode(encoded, spec, digests=True).collect()}
@@ -65,3 +65,28 @@ def test_odd_rows(spark, odd_docs, no_docs):
     rows = bpe.encode(odd_docs, spec).collect()
     assert len(rows) == odd_docs.count()
     assert bpe.decode(bpe.encode(no_docs, spec), spec).count() == 0
+
+
+def test_each_distinct_word_is_encoded_once(spark, tokenizer):
+    """Words of many blocks meet, and their ids go to every block."""
+    spec = bpe.load_spec(vocabulary_path())
+    rows = [(i, f"common word{i % 7} own{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    answers = bpe.word_ids(docs, spec).collect()
+    assert len({r["block"] for r in answers}) == 6
+    assert sum(len(r["numbers"]) // 4 for r in answers) >= 60 + 6
+    ids = {r["doc_id"]: r["ids"] for r in bpe.encode(docs, spec).collect()}
+    assert all(ids[i] == tokenizer.encode(t, add_special_tokens=False).ids for i, t in rows)
+
+
+def test_words_without_an_answer_are_encoded_in_place(tokenizer):
+    """As when rows come in another order when they are computed again."""
+    import numpy as np
+    import pyarrow as pa
+
+    known, words = bpe._Known(), pa.array([b"hello", b"wide", b"world"], pa.binary())
+    one = np.array(tokenizer.encode("wide", add_special_tokens=False).ids, "<i4")
+    known.add(np.array([1], "<i4").tobytes(), np.array([len(one)], "<i4").tobytes(), one.tobytes())
+    sizes, ids = known.all(words, tokenizer)
+    assert ids.tolist() == tokenizer.encode("hello wide world", add_special_tokens=False).ids
+    assert sizes.sum() == len(ids)

@@ -80,8 +80,8 @@ def test_windows_of_equal_hashes_are_told_apart(monkeypatch):
     texts = [b"a b c d", b"a b c e", b"a b c d", b"a b c e"]
     data = np.frombuffer(b"".join(texts), np.uint8)
     w = words(data, np.arange(5, dtype=np.int64) * 7, SPACED_CASED)
-    at, repeated = substrings._firsts(w, np.array([5, 1, 7, 1]), Repeats(window=4))
-    assert at.tolist() == [0, 4, 8, 12] and repeated.tolist() == [False, False, True, False]
+    at, first = substrings._firsts(w, np.array([5, 2, 7, 1]), Repeats(window=4))
+    assert at.tolist() == [0, 4, 8, 12] and first.tolist() == [5, 1, 5, 1]
 
 
 def test_hot_minimisers_leave_the_buckets(spark):
