@@ -4,17 +4,19 @@ Words are what stands between blanks and line ends; the tokenizers served here d
 white space and never join text across it, so a text's ids are its words' ids in
 turn.
 
-1. Texts are split in blocks of rows. Each block lists its distinct words, with a
-   number, and knows the number at every place of its texts.
-2. The lists of all blocks meet by word. Each distinct word is encoded once, and its
-   ids go back to the blocks that asked, as packed numbers.
+1. Texts are split in blocks of rows. Each block lists its distinct words, dealt
+   into parts by a hash of the word and sorted.
+2. The lists of all blocks meet by part. Each distinct word is encoded once, and its
+   ids go back to the blocks that asked, in the order of their lists.
 3. A block, which comes to the same task, puts the ids at the places of its words.
 
 Decoding joins each id with its piece; the table of pieces has as many rows as the
 vocabulary and is there in every task, so its side of the join is looked up by id.
 
-At scale: a word has one row per block, however frequent; texts are shuffled once,
-packed. Texts are split twice, in step 1 and for step 3; a block has the number of
+At scale: a word is sent once per block, however frequent, and lists are packed, so
+Spark handles a row per block and part. Texts are shuffled once, packed. A part is
+held by one task, so their number has to grow with the number of distinct words, as
+that of the shuffle partitions does. Texts are split twice, in step 1 and for step 3; a block has the number of
 its scan task and its place in that, with a digest of its rows, so blocks that do
 not meet again (rows that come in another order when computed again) are noticed.
 Their words are then encoded in step 3.
@@ -40,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marklens.llm.wordhash import buffers, chunks
+from marklens.llm.wordhash import buffers, chunks, mix
 
 #: Bytes of text in a block, beyond a single longer one.
 BLOCK_BYTES = 8 << 20
@@ -70,12 +72,13 @@ def _ids(tokenizer, words: list[str]) -> list[list[int]]:
     return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-def _packed(tokenizer, words: pa.Array) -> list[bytes]:
+def _encoded_words(tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of every word, and all ids."""
     found = []
     for low in range(0, len(words), WORDS):
-        part = words.slice(low, WORDS).cast(pa.string()).to_pylist()
-        found += [np.array(ids, "<i4").tobytes() for ids in _ids(tokenizer, part)]
-    return found
+        found += _ids(tokenizer, words.slice(low, WORDS).cast(pa.string()).to_pylist())
+    sizes = np.array([len(ids) for ids in found], np.int64)
+    return sizes, np.array([number for ids in found for number in ids], np.int32)
 
 
 def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -99,120 +102,179 @@ def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return words, np.searchsorted(starts, at[1:])
 
 
+def _name(data: np.ndarray, offsets: np.ndarray, number: int) -> bytes:
+    """Of a block: its scan task, its place in that, and a digest of its texts."""
+    seen = blake2b(data[offsets[0] : offsets[-1]], digest_size=8)
+    seen.update((offsets - offsets[0]).tobytes())
+    return f"{TaskContext.get().partitionId()}-{number}-{seen.hexdigest()}".encode()
+
+
+_WEIGHTS = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def _dealt(words: pa.Array, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the words by part, sorted inside, and where each part begins."""
+    order = pc.sort_indices(words).to_numpy().astype(np.int64)
+    data, offsets = buffers(words)
+    data = data[offsets[0] : offsets[-1]]
+    starts = (offsets - offsets[0])[:-1]
+    part = mix(np.add.reduceat(_WEIGHTS[data], starts)) % np.uint64(parts) if len(words) else starts
+    part = part.astype(np.int64)
+    order = order[np.argsort(part[order], kind="stable")]
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
 class _Block:
-    """Rows with their distinct words and the word's number at every place."""
+    """Rows with their distinct words, the word's number at every place, the words
+    before the end of each row, and the order in which words are asked for."""
 
-    def __init__(self, rows: pa.RecordBatch, number: int):
-        data, offsets = buffers(rows.column("text"))
-        words, self.ends = _split(data, offsets)
+    def __init__(self, rows: pa.RecordBatch, parts: int):
+        words, self.ends = _split(*buffers(rows.column("text")))
         coded = words.dictionary_encode()
-        self.rows, self.words, self.places = rows, coded.dictionary, coded.indices.to_numpy()
-        seen = blake2b(data[offsets[0] : offsets[-1]], digest_size=8)
-        seen.update((offsets - offsets[0]).tobytes())
-        self.name = f"{TaskContext.get().partitionId()}-{number}-{seen.hexdigest()}".encode()
+        self.words, self.places = coded.dictionary, coded.indices.to_numpy()
+        self.order, self.cuts = _dealt(self.words, parts)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[_Block]:
+def _blocks(
+    batches: Iterator[pa.RecordBatch], size: int
+) -> Iterator[tuple[pa.RecordBatch, bytes]]:
     number = 0
     for batch in batches:
-        _, offsets = buffers(batch.column("text"))
+        data, offsets = buffers(batch.column("text"))
         for low, high in chunks(offsets, size):
-            yield _Block(batch.slice(low, high - low), number)
+            yield batch.slice(low, high - low), _name(data, offsets[low : high + 1], number)
             number += 1
 
 
-_ASKED = "word binary, block binary, number int"
-_ROWS = "block binary, numbers binary, sizes binary, ids binary, texts binary"
+_ASKED = "part int, block binary, words binary, size int"
+_ROWS = "block binary, part int, found binary, size int, texts binary"
 
 
-def _ask(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The distinct words of every block."""
-    for block in _blocks(batches, size):
-        for low in range(0, len(block.words), WORDS):
-            words = block.words.slice(low, WORDS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    words,
-                    pa.array([block.name] * len(words), pa.binary()),
-                    pa.array(np.arange(low, low + len(words), dtype=np.int32)),
-                ],
-                ["word", "block", "number"],
-            )
+def _squeezed(*arrays: np.ndarray) -> tuple[bytes, int]:
+    raw = b"".join(a.tobytes() for a in arrays)
+    return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
 
 
-def _answer(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    """Ids of words that come in their order, packed per block and batch."""
-    tokenizer, last = _tokenizer(spec), (None, b"")
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        coded = batch.column("word").dictionary_encode()
-        known = last[0] is not None and coded.dictionary[0].as_py() == last[0]
-        found = [last[1]] * known + _packed(tokenizer, coded.dictionary.slice(int(known)))
-        # The last word may go on in the next batch.
-        last = (coded.dictionary[-1].as_py(), found[-1])
-        ids = pa.array(found, pa.binary()).take(coded.indices)
-        blocks = batch.column("block").dictionary_encode()
-        order = np.argsort(blocks.indices.to_numpy(), kind="stable")
-        cuts = np.searchsorted(blocks.indices.to_numpy()[order], np.arange(len(blocks.dictionary) + 1))
-        ids = ids.take(pa.array(order))
-        numbers = batch.column("number").to_numpy()[order].astype("<i4")
-        data, offsets = buffers(ids)
-        sizes = (np.diff(offsets) // 4).astype("<i4")
-        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+def _opened(packed: bytes, size: int) -> bytes:
+    return pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def _ask(batches: Iterator[pa.RecordBatch], size: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The distinct words of every block, packed per part: their number, their
+    lengths, the words."""
+    for rows, name in _blocks(batches, size):
+        block = _Block(rows, parts)
+        data, offsets = buffers(block.words.take(pa.array(block.order)))
+        asked = np.flatnonzero(np.diff(block.cuts))
+        packed = []
+        for part in asked.tolist():
+            at = offsets[block.cuts[part] : block.cuts[part + 1] + 1]
+            lengths = np.append(len(at) - 1, np.diff(at)).astype("<u4")
+            packed.append(_squeezed(lengths, data[at[0] : at[-1]]))
         yield pa.RecordBatch.from_arrays(
             [
-                blocks.dictionary,
-                pa.array([numbers[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([sizes[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([data[offsets[a] : offsets[b]].tobytes() for a, b in spans], pa.binary()),
-                pa.nulls(len(spans), pa.binary()),
+                pa.array(asked, pa.int32()),
+                pa.array([name] * len(asked), pa.binary()),
+                pa.array([x for x, _ in packed], pa.binary()),
+                pa.array([n for _, n in packed], pa.int32()),
             ],
-            ["block", "numbers", "sizes", "ids", "texts"],
+            ["part", "block", "words", "size"],
         )
 
 
+def _unpacked(packed: bytes, size: int) -> pa.Array:
+    raw = _opened(packed, size)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    lengths = np.frombuffer(raw, "<u4", n, 4)
+    ends = np.append(0, np.cumsum(lengths, dtype=np.int64)).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(raw[4 + 4 * n :])]
+    )
+
+
+def _answer(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+    """Ids of the words of every part, in the order of each block's list."""
+    tokenizer, part, lists = _tokenizer(spec), None, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("part", "block", "words", "size")]
+        for own, block, words, size in zip(*columns, strict=True):
+            if own != part:
+                yield from _answered(part, lists, tokenizer)
+                part, lists = own, []
+            lists.append((block, _unpacked(words, size)))
+    yield from _answered(part, lists, tokenizer)
+
+
+def _answered(part: int | None, lists: list, tokenizer) -> Iterator[pa.RecordBatch]:
+    if not lists:
+        return
+    coded = pa.concat_arrays([words for _, words in lists]).dictionary_encode()
+    sizes, ids = _encoded_words(tokenizer, coded.dictionary)
+    starts, numbers = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+    low, blocks, found = 0, [], []
+    for block, words in lists:
+        own = numbers[low : low + len(words)]
+        low += len(words)
+        blocks.append(block)
+        found.append(
+            _squeezed(
+                np.array([len(own)], "<u4"),
+                sizes[own].astype("<u4"),
+                ids[_spread(starts[own], sizes[own])].astype("<u4"),
+            )
+        )
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(blocks, pa.binary()),
+            pa.array([part] * len(blocks), pa.int32()),
+            pa.array([x for x, _ in found], pa.binary()),
+            pa.array([n for _, n in found], pa.int32()),
+            pa.nulls(len(blocks), pa.binary()),
+        ],
+        ["block", "part", "found", "size", "texts"],
+    )
+
+
 def _send(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The rows of every block, packed."""
-    for block in _blocks(batches, size):
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for rows, name in _blocks(batches, size):
         sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
-        with pa.ipc.new_stream(sink, block.rows.schema, options=options) as out:
-            out.write_batch(block.rows)
-        none = pa.nulls(1, pa.binary())
+        with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+            out.write_batch(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block.name], pa.binary()), none, none, none, pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-            ["block", "numbers", "sizes", "ids", "texts"],
+            [
+                pa.array([name], pa.binary()),
+                pa.nulls(1, pa.int32()),
+                pa.nulls(1, pa.binary()),
+                pa.nulls(1, pa.int32()),
+                pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            ],
+            ["block", "part", "found", "size", "texts"],
         )
 
 
 class _Known:
-    """Ids of a block's words, as far as answers have come."""
+    """Ids of a block's words, as far as answers have come, in the order asked."""
 
     def __init__(self):
-        self.numbers, self.sizes, self.ids = [], [], []
+        self.sizes, self.ids = [], []
 
-    def add(self, numbers: bytes, sizes: bytes, ids: bytes) -> None:
-        self.numbers.append(np.frombuffer(numbers, "<i4"))
-        self.sizes.append(np.frombuffer(sizes, "<i4"))
-        self.ids.append(np.frombuffer(ids, "<i4"))
+    def add(self, found: bytes, size: int) -> None:
+        numbers = np.frombuffer(_opened(found, size), "<u4")
+        n = int(numbers[0])
+        self.sizes.append(numbers[1 : n + 1])
+        self.ids.append(numbers[n + 1 :])
 
-    def all(self, words: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    def all(self, block: _Block, tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """Size and ids of every word, in the order of their numbers."""
-        numbers = np.concatenate([np.zeros(0, np.int32), *self.numbers])
-        missing = np.setdiff1d(np.arange(len(words)), numbers)
-        if len(missing):
-            found = _packed(tokenizer, words.take(pa.array(missing)))
-            self.add(
-                missing.astype("<i4").tobytes(),
-                np.array([len(x) // 4 for x in found], "<i4").tobytes(),
-                b"".join(found),
-            )
-            numbers = np.concatenate(self.numbers)
-        sizes, ids = np.concatenate([np.zeros(0, np.int32), *self.sizes]), np.concatenate([np.zeros(0, np.int32), *self.ids])
-        starts = np.cumsum(sizes, dtype=np.int64) - sizes
-        at = np.empty(len(words), np.int64)
-        at[numbers] = np.arange(len(numbers))
+        none = np.zeros(0, np.uint32)
+        sizes = np.concatenate([none, *self.sizes]).astype(np.int64)
+        if len(sizes) != len(block.words):
+            return _encoded_words(tokenizer, block.words)
+        ids = np.concatenate([none, *self.ids]).astype(np.int32)
+        starts, at = np.cumsum(sizes) - sizes, np.empty(len(sizes), np.int64)
+        at[block.order] = np.arange(len(sizes))
         return sizes[at], ids[_spread(starts[at], sizes[at])]
 
 
@@ -223,34 +285,32 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _place(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+def _place(batches: Iterator[pa.RecordBatch], spec: str, parts: int) -> Iterator[pa.RecordBatch]:
     """Ids of every text, from the rows of its block: answers first, then texts."""
     tokenizer, name, known = _tokenizer(spec), None, _Known()
     for batch in batches:
-        columns = [batch.column(c) for c in ("block", "numbers", "sizes", "ids", "texts")]
+        columns = [batch.column(c) for c in ("block", "found", "size", "texts")]
         for row in range(batch.num_rows):
-            block, numbers, sizes, ids, texts = (c[row].as_py() for c in columns)
+            block, found, size, texts = (c[row].as_py() for c in columns)
             if block != name:
                 name, known = block, _Known()
             if texts is None:
-                known.add(numbers, sizes, ids)
+                known.add(found, size)
                 continue
-            rows = pa.ipc.open_stream(texts).read_all().combine_chunks().to_batches()
-            for part in rows:
-                yield from _encoded(part, known, tokenizer)
+            for rows in pa.ipc.open_stream(texts).read_all().combine_chunks().to_batches():
+                yield from _encoded(rows, known, tokenizer, parts)
 
 
-def _encoded(rows: pa.RecordBatch, known: _Known, tokenizer) -> Iterator[pa.RecordBatch]:
-    block = _Block(rows, 0)
-    sizes, ids = known.all(block.words, tokenizer)
-    starts = np.cumsum(sizes, dtype=np.int64) - sizes
-    first = 0
+def _encoded(rows: pa.RecordBatch, known: _Known, tokenizer, parts: int) -> Iterator[pa.RecordBatch]:
+    block = _Block(rows, parts)
+    sizes, ids = known.all(block, tokenizer)
+    starts, first = np.cumsum(sizes) - sizes, 0
     # Some rows at a time, so that ids of long texts do not pile up.
     _, offsets = buffers(rows.column("text"))
     for a, b in chunks(offsets):
         last = int(block.ends[b - 1])
         words = block.places[first:last]
-        per_word = sizes[words].astype(np.int64)
+        per_word = sizes[words]
         flat = ids[_spread(starts[words], per_word)]
         upto = np.concatenate([[0], np.cumsum(per_word)])
         ends = upto[np.concatenate([[first], block.ends[a:b]]) - first]
@@ -264,19 +324,26 @@ def _encoded(rows: pa.RecordBatch, known: _Known, tokenizer) -> Iterator[pa.Reco
         first = last
 
 
+def _parts(docs: DataFrame) -> int:
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def word_ids(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every distinct word encoded once, its ids packed for the blocks that have it."""
-    asked = docs.select("doc_id", "text").mapInArrow(partial(_ask, size=block_bytes), _ASKED)
-    dealt = asked.repartition("word").sortWithinPartitions("word")
+    ask = partial(_ask, size=block_bytes, parts=_parts(docs))
+    asked = docs.select("doc_id", "text").mapInArrow(ask, _ASKED)
+    dealt = asked.repartition("part").sortWithinPartitions("part")
     return dealt.mapInArrow(partial(_answer, spec=spec), _ROWS)
 
 
 def encode(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Token ids of every text, as (doc_id, ids)."""
     texts = docs.select("doc_id", "text").mapInArrow(partial(_send, size=block_bytes), _ROWS)
-    rows = word_ids(docs, spec, block_bytes).unionByName(texts).withColumn("late", F.col("texts").isNotNull())
-    met = rows.repartition("block").sortWithinPartitions("block", "late").drop("late")
-    return met.mapInArrow(partial(_place, spec=spec), "doc_id long, ids array<int>")
+    rows = word_ids(docs, spec, block_bytes).unionByName(texts)
+    rows = rows.withColumn("late", F.col("texts").isNotNull())
+    met = rows.repartition("block").sortWithinPartitions("block", "late", "part").drop("late")
+    place = partial(_place, spec=spec, parts=_parts(docs))
+    return met.mapInArrow(place, "doc_id long, ids array<int>")
 
 
 def pieces(spec: str) -> dict[int, str]:

@@ -50,7 +50,6 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
             .groupBy("id")
             .agg(F.min("label").alias("label"))
         )
-        hooked = keep(hooked, "labels")
         left, right = hooked.alias("left"), hooked.alias("right")
         jumped = left.join(right, F.col("left.label") == F.col("right.id"), "left").select(
             F.col("left.id"),

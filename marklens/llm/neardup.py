@@ -55,8 +55,8 @@ class Forest:
     depth: int = 6
     least: int = 3
     first_trees: int = 4
-    reach: int = 8
-    widening: int = 4096
+    reach: int = 4
+    widening: int = 8192
     percent: int = 85
     block: int = 256
     shingle: int = SHINGLE
@@ -127,8 +127,8 @@ def _neighbours(
 ) -> Iterator[pa.RecordBatch]:
     """Pairs of components that stand within reach in the sorted order.
 
-    ``candidate``: their set sizes allow a link. ``dense``: the pair stands at full
-    reach, so there may be more beyond. ``estimate``: signatures are there; two
+    ``candidate``: a pair whose set sizes allow a link. ``dense``: the component, without
+    b, has a neighbour at full reach, so there may be more beyond. ``estimate``: signatures are there; two
     single sets far below the limit by them are left out. The last rows of a batch
     are carried over to the next one. Rows within reach of the partition's border
     come with their region as ``edge`` and without b.
@@ -170,36 +170,42 @@ def _neighbours(
                 single = fresh & (members[a] == 1) & (members[b] == 1)
                 alike = (columns[6][a[single]] == columns[6][b[single]]).mean(axis=1)
                 fresh[single] = alike >= forest.estimate
-            use = fresh | (step == reach)
-            a, b, fresh = a[use], b[use], fresh[use]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.minimum(ids[a], ids[b]), pa.int64()),
-                    pa.array(np.maximum(ids[a], ids[b]), pa.int64()),
-                    pa.array(fresh, pa.bool_()),
-                    pa.array(np.full(len(a), step == reach), pa.bool_()),
-                    pa.nulls(len(a), pa.binary()),
-                    pa.nulls(len(a), pa.int32()),
-                ],
-                names=["a", "b", "candidate", "dense", "edge", "part"],
-            )
+            if step == reach:
+                full = np.unique(np.concatenate([ids[a], ids[b]]))
+                yield _found(full, None, False, True)
+            pair = np.stack([ids[a[fresh]], ids[b[fresh]]], axis=1)
+            pair = np.unique(np.sort(pair, axis=1), axis=0)
+            yield _found(pair[:, 0], pair[:, 1], True, False)
         carried = [x[-reach:].copy() for x in columns]
     if carried is not None:
         # Only the regions of the first and the last row can go on beyond the border.
         tail = _regions(carried[0], carried[4], carried[5])
         rows = [x for x in head if x[1] == head[0][1]] + [x for x in tail if x[1] == tail[-1][1]]
-        no = np.zeros(len(rows), bool)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([x[0] for x in rows], pa.int64()),
-                pa.nulls(len(rows), pa.int64()),
-                pa.array(no, pa.bool_()),
-                pa.array(no, pa.bool_()),
-                pa.array([x[1] for x in rows], pa.binary()),
-                pa.array(np.full(len(rows), part), pa.int32()),
-            ],
-            names=["a", "b", "candidate", "dense", "edge", "part"],
-        )
+        rows = list(dict.fromkeys(rows))
+        ids = np.array([x[0] for x in rows], np.int64)
+        yield _found(ids, None, False, False, [x[1] for x in rows], part)
+
+
+def _found(
+    a: np.ndarray,
+    b: np.ndarray | None,
+    candidate: bool,
+    dense: bool,
+    edge: list[bytes] | None = None,
+    part: int | None = None,
+) -> pa.RecordBatch:
+    n = len(a)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(a, pa.int64()),
+            pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()),
+            pa.array(np.full(n, candidate)),
+            pa.array(np.full(n, dense)),
+            pa.nulls(n, pa.binary()) if edge is None else pa.array(edge, pa.binary()),
+            pa.nulls(n, pa.int32()) if part is None else pa.array(np.full(n, part), pa.int32()),
+        ],
+        names=["a", "b", "candidate", "dense", "edge", "part"],
+    )
 
 
 def _regions(ids: np.ndarray, trees: np.ndarray, keys: np.ndarray) -> list[tuple[int, bytes]]:
@@ -258,11 +264,11 @@ def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = Fal
 def crowded(pairs: DataFrame) -> DataFrame:
     """Components (a) that may have neighbours which ``pairs``, stored, lacks: at full
     reach, or at a border in a region that goes on in another partition."""
-    dense = pairs.filter("dense")
+    dense = pairs.filter("dense").select("a")
     edges = pairs.filter("edge IS NOT NULL")
     cut = edges.groupBy("edge").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     beside = edges.join(cut.filter("low < high"), "edge", "left_semi").select("a")
-    return dense.select("a").union(dense.select("b")).union(beside).distinct()
+    return dense.union(beside).distinct()
 
 
 def first_pairs(sets: DataFrame, forest: Forest = DEFAULT) -> DataFrame:

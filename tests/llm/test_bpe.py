@@ -67,26 +67,42 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert bpe.decode(bpe.encode(no_docs, spec), spec).count() == 0
 
 
-def test_each_distinct_word_is_encoded_once(spark, tokenizer):
-    """Words of many blocks meet, and their ids go to every block."""
+def test_blocks_meet_by_word(spark, tokenizer):
+    """Every block is answered once per part; its ids are those of its own words."""
     spec = bpe.load_spec(vocabulary_path())
     rows = [(i, f"common word{i % 7} own{i}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    answers = bpe.word_ids(docs, spec).collect()
-    assert len({r["block"] for r in answers}) == 6
-    assert sum(len(r["numbers"]) // 4 for r in answers) >= 60 + 6
+    answers = [(r["block"], r["part"]) for r in bpe.word_ids(docs, spec).collect()]
+    assert len({block for block, _ in answers}) == 6 and len(answers) == len(set(answers))
     ids = {r["doc_id"]: r["ids"] for r in bpe.encode(docs, spec).collect()}
     assert all(ids[i] == tokenizer.encode(t, add_special_tokens=False).ids for i, t in rows)
 
 
-def test_words_without_an_answer_are_encoded_in_place(tokenizer):
+def test_a_block_without_all_answers_is_encoded_in_place(tokenizer):
     """As when rows come in another order when they are computed again."""
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["hello wide", "world hello"])], ["doc_id", "text"])
+    (found,) = bpe._encoded(rows, bpe._Known(), tokenizer, 4)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("hello wide", "world hello")]
+    assert found.column("ids").to_pylist() == want
+
+
+def test_a_part_encodes_each_word_once(tokenizer):
     import numpy as np
     import pyarrow as pa
 
-    known, words = bpe._Known(), pa.array([b"hello", b"wide", b"world"], pa.binary())
-    one = np.array(tokenizer.encode("wide", add_special_tokens=False).ids, "<i4")
-    known.add(np.array([1], "<i4").tobytes(), np.array([len(one)], "<i4").tobytes(), one.tobytes())
-    sizes, ids = known.all(words, tokenizer)
-    assert ids.tolist() == tokenizer.encode("hello wide world", add_special_tokens=False).ids
-    assert sizes.sum() == len(ids)
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, words, add_special_tokens):
+            asked.extend(words)
+            return tokenizer.encode_batch_fast(words, add_special_tokens=add_special_tokens)
+
+    lists = [(b"x", pa.array([b"a", b"wide"], pa.binary())), (b"y", pa.array([b"wide", b"world"], pa.binary()))]
+    (rows,) = bpe._answered(3, lists, Counting())
+    assert sorted(asked) == ["a", "wide", "world"] and rows.column("block").to_pylist() == [b"x", b"y"]
+    known = bpe._Known()
+    known.add(rows.column("found")[1].as_py(), rows.column("size")[1].as_py())
+    want = tokenizer.encode("wide world", add_special_tokens=False).ids
+    assert np.concatenate(known.ids).tolist() == want
