@@ -59,7 +59,7 @@ MORE = (
         group=1,
         hint="PRIVATE KEY-----",
     ),
-    Kind("login", r"[a-z]+://[^\s/:@]+:([^\s/:@]+)@", group=1, least=6, hint="://"),
+    Kind("login", r"[a-z]{1,20}://[^\s/:@]+:([^\s/:@]+)@", group=1, least=6, hint="://"),
 )
 
 KINDS = BASE + MORE

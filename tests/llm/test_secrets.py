@@ -98,3 +98,13 @@ def test_short_passwords_of_one_owner_are_masked(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     hidden = {r["doc_id"]: r["text"] for r in secrets.redact(docs, docs["doc_id"], docs["source"]).collect()}
     assert hidden.pop(0) == "[secret] x" and hidden == {n: t for n, t, _ in rows[1:]}
+
+
+def test_long_runs_of_letters_take_linear_time(spark):
+    import time
+
+    text = "x" * 1_000_000 + "://" + " password=Abc12345"
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    start = time.perf_counter()
+    (row,) = secrets.report(docs, docs["doc_id"], docs["source"]).collect()
+    assert row["n_assign"] == 1 and time.perf_counter() - start < 30
