@@ -2,8 +2,8 @@
 
 Each stage takes the documents that the one before it kept and returns documents,
 the last one token ids. Extra columns of the documents are carried along. A null
-or empty text passes as such; equal rows without a doc_id all stay, of rows that
-share one the first by text stays.
+or empty text passes as such; equal rows without a doc_id all stay, those that share
+one become one.
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays. Unlike texts that share a
+    doc_id all stay; equal rows become one."""
     gone = neardup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
     left = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    place = F.row_number().over(W.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns)))
     rows = left.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     first = rows.withColumn("place", place).filter("place = 1").select("row.*")
     return first.unionByName(docs.filter("doc_id IS NULL"))

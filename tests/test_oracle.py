@@ -8,7 +8,7 @@ from marklens.plans.catalogue import QUERIES
 from marklens.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
-DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
