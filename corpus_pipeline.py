@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id all stay; equal rows become one."""
     gone = neardup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
     left = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    place = F.row_number().over(W.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns)))
+    place = F.row_number().over(W.partitionBy("doc_id", "text").orderBy(F.xxhash64("row")))
     rows = left.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     first = rows.withColumn("place", place).filter("place = 1").select("row.*")
     return first.unionByName(docs.filter("doc_id IS NULL"))
