@@ -8,13 +8,19 @@ wrapper stays as small as the host's layout. Aligning is the same work for pages
 and wrappers: each task aligns its pages of a host, then the few results are
 aligned, in two steps so that no group grows with the host.
 
-A host's wrapper tells where the main text is: in the article or main element, or
-else where most of the text that isn't in links lies. Menus, headers, footers and
-the like are left out by name, class and role.
+Each page is matched against its host's wrapper. The main text lies in the main and
+article elements and in the h1 beside them; without such elements, in the deepest
+element that holds all text which varies and isn't in links. What an element says on
+all pages that have it is a constant, and left out if ``MANY`` different pages do,
+unless less than a third of the page would remain (pages that are copies of each
+other). Lists of names, roles and class words tell menus, forms and the like on hosts
+with few pages; a class word doesn't remove an element with half of the page's text,
+if it isn't one for reader comments.
 
 Edge cases: a null page or one without text gives an empty text; pages without a
-host form a group; broken markup is read as far as it goes; equal pages give equal
-texts; a page that lacks the host's place is looked at alone.
+host form a group; broken markup is read as far as it goes; equal pages of a host
+give equal texts; a page without the host's places is looked at alone; elements more
+than ``LEVELS`` deep are aligned as part of the one around them, their text stays.
 """
 
 from __future__ import annotations
@@ -22,7 +28,10 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +43,10 @@ from marklens.llm.storage import keep
 HELD = 5_000
 #: First-step groups of a host.
 SALTS = 64
+#: Different pages on which a constant stands that is no part of the main text.
+MANY = 8
+#: Depth down to which elements are aligned one by one.
+LEVELS = 80
 
 _OUT_NAMES = frozenset("nav header footer aside form menu dialog head".split())
 _OUT_ROLES = frozenset(
@@ -47,53 +60,105 @@ _OUT_WORDS = frozenset(
     "search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget "
     "widgets login reactions feedback".split()
 )
+_COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Class words of articles that only announce another one.
+_TEASERS = frozenset("card cards teaser teasers related promo promoted sponsored ad ads".split())
 _WORDS = re.compile(r"[a-z]+")
+#: Elements that are text rather than a place for it.
+_TEXTUAL = frozenset("p li ul ol dl table pre blockquote h1 h2 h3 h4 h5 h6".split())
 
-# A node is [sign, optional, repeated, constant text or None, characters, nodes].
-_SIGN, _OPTIONAL, _REPEATED, _TEXT, _SIZE, _NODES = range(6)
+# A node is [sign, optional, repeated, constant text or None, characters outside links,
+# nodes, hashes of texts that all its pages have there, whether other texts occur, the
+# least hashes of its pages, MANY at most].
+_SIGN, _OPTIONAL, _REPEATED, _TEXT, _SIZE, _NODES, _COMMON, _VARIES, _PAGES = range(9)
 
 
 def left_out(element: Element) -> bool:
-    """Whether an element holds something else than the main text."""
+    """Whether an element's name, role or attributes say that it holds something else
+    than the main text."""
     marks = element.attributes
     if element.name in _OUT_NAMES or marks.get("role") in _OUT_ROLES:
         return True
     if "hidden" in marks or marks.get("aria-hidden") == "true":
         return True
-    if "display:none" in marks.get("style", "").replace(" ", ""):
-        return True
-    if element.name in ("body", "html", "article", "main"):
-        return False
-    named = f"{marks.get('class', '')} {marks.get('id', '')}"
-    return not _OUT_WORDS.isdisjoint(_WORDS.findall(named))
+    return "display:none" in marks.get("style", "").replace(" ", "")
+
+
+def _named_out(element: Element) -> tuple[bool, bool]:
+    """Whether class or id say so, and whether they say that it is for comments."""
+    if element.name in ("body", "html", "main") or len(element.attributes) == 0:
+        return False, False
+    marks = element.attributes
+    named = _WORDS.findall(f"{marks.get('class', '')} {marks.get('id', '')}")
+    comments = not _COMMENTS.isdisjoint(named)
+    out = _TEASERS | _COMMENTS if element.name == "article" else _OUT_WORDS | _TEASERS
+    return not out.isdisjoint(named), comments
 
 
 def _visible(page: Page) -> list[bool]:
     """Per element, whether neither it nor one around it is left out. The head of an
     article belongs to it."""
-    shown, inside = [True], [False]
+    shown, inside, named = [True], [False], [False]
     for element in page.elements[1:]:
         above = element.parent
         out = left_out(element) and not (element.name == "header" and inside[above])
-        shown.append(shown[above] and not out)
+        by_name, comments = _named_out(element)
+        shown.append(shown[above] and not out and not comments)
+        named.append(by_name and not comments)
         inside.append(inside[above] or element.name in ("article", "main"))
+    if any(named):
+        sizes = [0] * len(shown)
+        for element, _, _, text in page.pieces:
+            if shown[element]:
+                sizes[element] += len(text.strip())
+        for number in range(len(sizes) - 1, 0, -1):
+            sizes[page.elements[number].parent] += sizes[number]
+        for number, element in enumerate(page.elements[1:], 1):
+            small = 2 * sizes[number] < sizes[0]
+            shown[number] = shown[number] and shown[element.parent] and not (named[number] and small)
     return shown
 
 
+def _hash(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def _owners(page: Page) -> list[int]:
+    """Per element the one that it is aligned as: itself, or one at the last level."""
+    owners, levels = [0], [0]
+    for number, element in enumerate(page.elements[1:], 1):
+        deep = levels[element.parent] >= LEVELS
+        owners.append(owners[element.parent] if deep else number)
+        levels.append(levels[element.parent] + (not deep))
+    return owners
+
+
+def _own_texts(page: Page, shown: list[bool], owners: list[int]) -> dict[int, str]:
+    """The shown text of each element without that of the elements in it."""
+    parts: dict[int, list[str]] = {}
+    for element, _, _, text in page.pieces:
+        if shown[element]:
+            parts.setdefault(owners[element], []).append(text)
+    joined = ((number, " ".join("".join(x).split())) for number, x in parts.items())
+    return {number: text for number, text in joined if text}
+
+
 def page_wrapper(page: Page) -> list:
     """The wrapper of one page: its elements, repeated neighbours folded."""
-    shown = _visible(page)
-    nodes = [[e.sign, False, False, "", 0, []] for e in page.elements]
+    shown, owners = _visible(page), _owners(page)
+    texts = _own_texts(page, shown, owners)
+    pages = [_hash("\n".join(texts.values()))]
+    nodes = [[e.sign, False, False, "", 0, [], [], False, pages] for e in page.elements]
+    for number, text in texts.items():
+        nodes[number][_TEXT], nodes[number][_COMMON] = text, [_hash(text)]
     for element, _, link, text in page.pieces:
         if shown[element] and not link:
-            nodes[element][_TEXT] += text
-            nodes[element][_SIZE] += len(text.strip())
+            nodes[owners[element]][_SIZE] += len(text.strip())
     for number in range(len(nodes) - 1, 0, -1):
-        if shown[number]:
+        if shown[number] and owners[number] == number:
             nodes[page.elements[number].parent][_NODES].append(nodes[number])
-    for node in nodes:
-        node[_NODES] = _folded(node[_NODES][::-1])
-        node[_TEXT] = " ".join(node[_TEXT].split())
+    for number in range(len(nodes) - 1, -1, -1):
+        nodes[number][_NODES] = _folded(nodes[number][_NODES][::-1])
     return nodes[0]
 
 
@@ -103,20 +168,32 @@ def _folded(nodes: list) -> list:
     for node in nodes:
         if out and out[-1][_SIGN] == node[_SIGN]:
             optional = out[-1][_OPTIONAL] and node[_OPTIONAL]
-            out[-1] = align(out[-1], node)
+            out[-1] = align(out[-1], node, one_page=True)
             out[-1][_OPTIONAL], out[-1][_REPEATED] = optional, True
         else:
             out.append(node)
     return out
 
 
-def align(a: list, b: list) -> list:
-    """The least wrapper that covers two of the same sign."""
+def align(a: list, b: list, one_page: bool = False) -> list:
+    """The least wrapper that covers two of the same sign. Neighbours on one page add
+    up their texts; of two pages those remain constants that both have."""
     first, second = a[_NODES], b[_NODES]
     if [n[_SIGN] for n in first] == [n[_SIGN] for n in second]:
-        nodes = [align(x, y) for x, y in zip(first, second, strict=True)]
+        nodes = [align(x, y, one_page) for x, y in zip(first, second, strict=True)]
     else:
-        nodes = _folded(_merged(first, second))
+        nodes = _folded(_merged(first, second, one_page))
+    common, varies, pages = a[_COMMON], a[_VARIES] or b[_VARIES], a[_PAGES]
+    if common != b[_COMMON]:
+        if one_page:
+            common = sorted({*common, *b[_COMMON]})
+        else:
+            common, varies = sorted({*common} & {*b[_COMMON]}), True
+    if pages != b[_PAGES]:
+        if one_page:
+            pages = min(pages, b[_PAGES], key=len)
+        else:
+            pages = sorted({*pages, *b[_PAGES]})[:MANY]
     return [
         a[_SIGN],
         a[_OPTIONAL] or b[_OPTIONAL],
@@ -124,28 +201,60 @@ def align(a: list, b: list) -> list:
         a[_TEXT] if a[_TEXT] == b[_TEXT] else None,
         a[_SIZE] + b[_SIZE],
         nodes,
+        common,
+        varies,
+        pages,
     ]
 
 
-def _merged(first: list, second: list) -> list:
+def _lengths(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of first with each start of second."""
+    row = np.zeros(len(second) + 1, np.int32)
+    for sign in first:
+        met = np.maximum(row[1:], row[:-1] + (second == sign))
+        np.maximum.accumulate(met, out=row[1:])
+    return row
+
+
+def common_places(first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, in memory that grows with n + m: the
+    first sequence is halved where both halves together match most."""
+    found: list[tuple[int, int]] = []
+    spans = [(0, len(first), 0, len(second))]
+    while spans:
+        low, high, left, right = spans.pop()
+        while low < high and left < right and first[low] == second[left]:
+            found.append((low, left))
+            low, left = low + 1, left + 1
+        if low == high or left == right:
+            continue
+        if high - low == 1:
+            at = np.flatnonzero(second[left:right] == first[low])
+            if len(at):
+                found.append((low, left + int(at[0])))
+            continue
+        half, part = (low + high) // 2, second[left:right]
+        before = _lengths(first[low:half], part)
+        after = _lengths(first[half:high][::-1], part[::-1])[::-1]
+        cut = left + int(np.argmax(before + after))
+        spans += [(half, high, cut, right), (low, half, left, cut)]
+    return sorted(found)
+
+
+def _merged(first: list, second: list, one_page: bool) -> list:
     """Two sequences along their longest common subsequence; the rest is optional."""
-    n, m = len(first), len(second)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            same = first[i][_SIGN] == second[j][_SIGN]
-            best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and first[i][_SIGN] == second[j][_SIGN]:
-            out.append(align(first[i], second[j]))
-            i, j = i + 1, j + 1
-        elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            out.append([*first[i][:_OPTIONAL], True, *first[i][_REPEATED:]])
-            i += 1
-        else:
-            out.append([*second[j][:_OPTIONAL], True, *second[j][_REPEATED:]])
-            j += 1
+    numbers: dict[str, int] = {}
+    a, b = (
+        np.array([numbers.setdefault(x[_SIGN], len(numbers)) for x in side], np.int32)
+        for side in (first, second)
+    )
+    met = [(-1, -1), *common_places(a, b), (len(first), len(second))]
+    out = []
+    for (i, j), (to_i, to_j) in pairwise(met):
+        for node in [*first[i + 1 : to_i], *second[j + 1 : to_j]]:
+            out.append([*node[:_OPTIONAL], True, *node[_REPEATED:]])
+        if to_i < len(first):
+            out.append(align(first[to_i], second[to_j], one_page))
     return out
 
 
@@ -159,50 +268,100 @@ def expression(node: list) -> str:
     return f"({whole}){suffix}" if suffix else whole
 
 
-def _total(node: list) -> int:
-    return node[_SIZE] + sum(_total(x) for x in node[_NODES])
-
-
-def main_path(node: list) -> list[str]:
-    """Signs from the root to the main text."""
-
-    def named(at: list, path: list[str]) -> Iterator[tuple[int, int, list[str]]]:
-        for x in at[_NODES]:
-            name = x[_SIGN].split(".")[0]
-            here = [*path, x[_SIGN]]
-            if name in ("article", "main"):
-                yield (_total(x), -len(here), here)
-            yield from named(x, here)
-
-    found = [x for x in named(node, []) if x[0]]
-    articles = [x for x in found if x[2][-1].startswith("article")]
-    if articles or found:
-        return max(articles or found)[2]
-    path: list[str] = []
-    while True:
-        largest = max(node[_NODES], key=_total, default=None)
-        if largest is None or 2 * _total(largest) <= _total(node) or not largest[_NODES]:
-            return path
-        if largest[_REPEATED] and largest[_SIGN].split(".")[0] in ("p", "li", "ul", "ol", "table"):
-            return path
-        path.append(largest[_SIGN])
-        node = largest
-
-
-def main_text(page: Page, path: list[str]) -> str | None:
-    """Text under the path; None if the page has no element there."""
-    shown = _visible(page)
-    depth = [0] + [-1] * (len(page.elements) - 1)
-    hit = [not path] + [False] * (len(page.elements) - 1)
-    for number, element in enumerate(page.elements[1:], 1):
-        above = element.parent
-        if hit[above]:
-            hit[number] = True
-        elif depth[above] >= 0 and element.sign == path[depth[above]]:
-            depth[number] = depth[above] + 1
-            hit[number] = depth[number] == len(path)
-    if not any(hit):
-        return None
+class Matcher:
+    """A wrapper to match pages with: per place (the signs from the root to it) the
+    places in it, the constants to drop, and whether it is part of the main text."""
+
+    def __init__(self, wrapper: list) -> None:
+        self.inner: list[dict[str, int]] = [{}]
+        self.drop: list[set[str]] = [set()]
+        above, names, own, repeated = [-1], [""], [[0, False]], [False]
+        waiting = [(wrapper, 0)]
+        while waiting:
+            node, place = waiting.pop()
+            constant = len(node[_PAGES]) >= MANY
+            if constant:
+                self.drop[place].update(node[_COMMON])
+            own[place][0] += node[_SIZE]
+            own[place][1] |= node[_SIZE] > 0 and (node[_VARIES] or not constant)
+            for x in node[_NODES]:
+                if x[_SIGN] not in self.inner[place]:
+                    self.inner[place][x[_SIGN]] = len(self.inner)
+                    self.inner.append({})
+                    self.drop.append(set())
+                    above.append(place)
+                    names.append(x[_SIGN].split(".")[0])
+                    own.append([0, False])
+                    repeated.append(False)
+                at = self.inner[place][x[_SIGN]]
+                repeated[at] |= x[_REPEATED]
+                waiting.append((x, at))
+        sizes = [x[0] for x in own]
+        varies = [x[1] for x in own]
+        for place in range(len(own) - 1, 0, -1):
+            sizes[above[place]] += sizes[place]
+            varies[above[place]] |= varies[place]
+        self.inside = self._main(above, names, sizes)
+        if not any(self.inside):
+            self.inside[self._deepest(names, [x[1] for x in own], varies, repeated)] = True
+        for place in range(1, len(own)):
+            self.inside[place] |= self.inside[above[place]]
+
+    def _main(self, above: list[int], names: list[str], sizes: list[int]) -> list[bool]:
+        """The main and article elements, and each h1 beside one or beside what is around it."""
+        inside = [name in ("article", "main") and size > 0 for name, size in zip(names, sizes, strict=True)]
+        around = set()
+        for place in [x for x, found in enumerate(inside) if found]:
+            while place > 0 and above[place] not in around:
+                place = above[place]
+                around.add(place)
+        for place, name in enumerate(names):
+            if name == "h1" and above[place] in around:
+                inside[place] = True
+        return inside
+
+    def _deepest(
+        self, names: list[str], own: list[bool], varies: list[bool], repeated: list[bool]
+    ) -> int:
+        place = 0
+        while not own[place]:
+            inner = [x for x in self.inner[place].values() if varies[x]]
+            if len(inner) != 1 or repeated[inner[0]] or names[inner[0]] in _TEXTUAL:
+                break
+            place = inner[0]
+        return place
+
+    def text(self, page: Page) -> str:
+        """The page's text in the places of the main text, without constants."""
+        shown, owners = _visible(page), _owners(page)
+        places = [0] + [-1] * (len(page.elements) - 1)
+        for number, element in enumerate(page.elements[1:], 1):
+            if owners[number] != number:
+                places[number] = places[owners[number]]
+            elif places[element.parent] >= 0:
+                places[number] = self.inner[places[element.parent]].get(element.sign, -1)
+        within = [self.inside[0]] + [False] * (len(places) - 1)
+        for number, element in enumerate(page.elements[1:], 1):
+            # An element that the wrapper lacks belongs to the one around it.
+            place = places[number]
+            within[number] = self.inside[place] if place >= 0 else within[element.parent]
+        kept = [x and y for x, y in zip(within, shown, strict=True)]
+        whole = _blocks(page, kept)
+        varying = list(kept)
+        for number, text in _own_texts(page, kept, owners).items():
+            place = places[number]
+            if place >= 0 and self.drop[place] and _hash(text) in self.drop[place]:
+                varying[number] = False
+        if varying == kept:
+            return whole
+        for number, owner in enumerate(owners):
+            varying[number] &= varying[owner] or not kept[owner]
+        rest = _blocks(page, varying)
+        return rest if 3 * len(rest) >= len(whole) else whole
+
+
+def _blocks(page: Page, kept: list[bool]) -> str:
+    """The text of the elements kept, block by block."""
     blocks: list[str] = []
     last, parts = None, []
     for element, block, _, text in [*page.pieces, (0, -1, False, "")]:
@@ -210,7 +369,7 @@ def main_text(page: Page, path: list[str]) -> str | None:
             if joined := " ".join("".join(parts).split()):
                 blocks.append(joined)
             last, parts = block, []
-        if hit[element] and shown[element]:
+        if kept[element]:
             parts.append(text)
     return "\n\n".join(blocks)
 
@@ -263,19 +422,16 @@ def _aligned_group(table: pa.Table) -> pa.Table:
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    paths: dict[str, list[str]] = {}
+    known: dict[str, Matcher] = {}
     for batch in batches:
         texts = []
         for html, wrapper in zip(batch.column("html"), batch.column("wrapper"), strict=True):
             page, wrapper = read(html.as_py() or ""), wrapper.as_py()
-            if wrapper not in paths:
-                if len(paths) >= HELD:
-                    paths.clear()
-                paths[wrapper] = main_path(json.loads(wrapper)) if wrapper else []
-            text = main_text(page, paths[wrapper])
-            if not text:
-                text = main_text(page, main_path(page_wrapper(page)))
-            texts.append(text or "")
+            if wrapper not in known:
+                if len(known) >= HELD:
+                    known.clear()
+                known[wrapper] = Matcher(json.loads(wrapper))
+            texts.append(known[wrapper].text(page) or Matcher(page_wrapper(page)).text(page))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
             names=["page_id", "url", "text"],

@@ -1,6 +1,8 @@
 import html
 import re
 
+import numpy as np
+
 from marklens.llm import wrappers
 from marklens.llm.markup import read
 
@@ -76,3 +78,99 @@ def test_broken_and_missing_pages(spark):
     assert got[4] == "cut off &am" and got[5] == "a"
     assert len(got[7]) == 50_000 * 10 - 1
     assert texts(spark, rows[:0] or [(0, None, None)]) == {0: ""}
+
+
+def story(n):
+    return f"Story {n} tells of number {n * 7}.", f"It ends with {n * 3} and nothing more to say."
+
+
+def on_host(spark, body, pages=30):
+    """Texts of a host's pages; ``body`` takes the number and the two paragraphs."""
+    rows = [(n, f"http://h.example/{n}", f"<body>{body(n, *story(n))}</body>") for n in range(pages)]
+    return texts(spark, rows)
+
+
+def test_class_words_do_not_remove_the_layout(spark):
+    got = on_host(spark, lambda n, a, b: f'<div class="layout no-sidebar"><div class=t><p>{a}<p>{b}</div></div>')
+    assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+
+
+def test_teasers_do_not_replace_the_story(spark):
+    got = on_host(
+        spark,
+        lambda n, a, b: f"<main><p>{a}<p>{b}<section><article class=card><p>Teaser {n}</article></section></main>",
+    )
+    assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+
+
+def test_all_articles_and_titles_stay(spark):
+    got = on_host(spark, lambda n, a, b: f"<article class=x><p>{a}</article><article class=y><p>{b}</article>")
+    assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+    got = on_host(spark, lambda n, a, b: f"<main><h1>{a}</h1><article><p>{b}</article></main>")
+    assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+    got = on_host(spark, lambda n, a, b: f"<h1>{a}</h1><div><article><p>{b}</article></div>", 3)
+    assert got == {n: "\n\n".join(story(n)) for n in range(3)}
+
+
+def test_siblings_without_article_stay(spark):
+    got = on_host(spark, lambda n, a, b: f"<h1>T {n}</h1><div class=lead>{a}</div><div class=story>{b}{b}</div>", 2)
+    assert got == {n: "\n\n".join((f"T {n}", story(n)[0], story(n)[1] * 2)) for n in range(2)}
+
+
+def test_constants_of_a_host_are_no_main_text(spark):
+    legal = "All texts of this site may be read."
+    for place in ("<p>{}", "<div class=z>{}</div>"):
+        line = place.format(legal)
+        got = on_host(spark, lambda n, a, b, line=line: f"<article><p>{a}<p>{b}{line}</article>")
+        assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+    # On few pages, or on copies of one page, nothing tells them from the story.
+    got = on_host(spark, lambda n, a, b: f"<article><p>{a}<p>{legal}</article>", 3)
+    assert got == {n: f"{story(n)[0]}\n\n{legal}" for n in range(3)}
+    got = on_host(spark, lambda n, a, b: f"<article><p>{story(1)[0]}<p>{legal}</article>")
+    assert got == {n: f"{story(1)[0]}\n\n{legal}" for n in range(30)}
+
+
+def test_reader_comments_go_however_long(spark):
+    got = on_host(
+        spark,
+        lambda n, a, b: f"<article><p>{a}<p>{b}<div class=comments><article><p>{'I think so. ' * 50}{n}</article></div></article>",
+    )
+    assert got == {n: "\n\n".join(story(n)) for n in range(30)}
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<div>" * 5_000 + "<p>In the middle {}" + "</div>" * 5_000
+    wide = "".join(f"<h2>Part {i} of {{0}}</h2><p>Text {i}</p>" for i in range(2_500))
+    got = texts(
+        spark,
+        [(n, "http://deep.example/", deep.format(n)) for n in range(3)]
+        + [(n, "http://wide.example/", wide.format(n) + "<ul><li>end</ul>" * (n % 2)) for n in range(10, 13)],
+    )
+    assert all(got[n] == f"In the middle {n}" for n in range(3))
+    for n in range(10, 13):
+        blocks = [x for i in range(2_500) for x in (f"Part {i} of {n}", f"Text {i}")]
+        assert got[n] == "\n\n".join(blocks + ["end"] * (n % 2))
+
+
+def test_common_places_are_a_longest_subsequence():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        a, b = (rng.integers(0, 4, rng.integers(0, 25)) for _ in range(2))
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                same = best[i, j] + 1 if a[i] == b[j] else 0
+                best[i + 1, j + 1] = max(same, best[i, j + 1], best[i + 1, j])
+        got = wrappers.common_places(a, b)
+        assert len(got) == best[-1, -1]
+        assert all(a[i] == b[j] for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+
+
+def test_empty_table_and_other_columns(spark):
+    schema = "page_id long, url string, html string, host string, wrapper string, text string"
+    assert wrappers.extract(spark.createDataFrame([], schema)).collect() == []
+    row = (1, "http://h.example/", "<article><p>Body</article>", "x", "y", "z")
+    assert [tuple(r) for r in wrappers.extract(spark.createDataFrame([row], schema)).collect()] == [
+        (1, "http://h.example/", "Body")
+    ]
