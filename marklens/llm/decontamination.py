@@ -6,11 +6,12 @@ joined by its hash to the windows of the benchmark items. Matches on one diagona
 (place in the text less place in the item) belong together, and so do those on
 consistent diagonals beside each other. They count only if the slots are
 consistent: where an item repeats a value, the text repeats one too. A number with
-its points and commas is one value, and so are the words of a name.
+its points, commas, slashes and colons is one value, and so are the words of a name.
 
 An item with fewer words than a window, or without a window of enough plain words,
-is found where its words stand as they are, all of them and in this order, however
-few they are.
+is found where its words stand as they are, all of them and in this order. An item of
+fewer than ``Windows.short`` words ("Paris") is ordinary text elsewhere: it counts only
+if it is the whole text, and is a mention where it stands in a longer one.
 
 Edge cases: a null text reads as empty; an item without a word can't be found; equal
 rows have equal results; a text without a match is clean.
@@ -24,6 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,13 +52,15 @@ class Windows:
     """words: in a window; plain: of them that aren't placeholders, at least;
     aligned: matched windows on a diagonal that show a passage; share: of an
     item's windows that do so for a short item; drift: of diagonals that are added
-    up, from one to the next at most."""
+    up, from one to the next at most; short: words below which an item within a longer
+    text is a mention."""
 
     words: int = 6
     plain: int = 3
     aligned: int = 8
     share: float = 0.6
     drift: int = 3
+    short: int = 3
 
 
 DEFAULT = Windows()
@@ -93,7 +97,8 @@ def _kinds(w: Words, units: np.ndarray) -> np.ndarray:
 
 def _runs(w: Words, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, placeholders and rows' first places with each run of words that is one
-    value as one word: digits around a point or comma, or the words of a name."""
+    value as one word: digits around a point, comma, slash or colon, or the words of a
+    name."""
     n = len(kinds)
     if not n:
         return w.hashes, kinds, w.first
@@ -101,7 +106,7 @@ def _runs(w: Words, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     gap = w.starts[1:] - w.ends[:-1]
     between = w.data[w.ends[:-1]]
     digit = (w.data >= 0x30) & (w.data <= 0x39)
-    inside = digit[w.ends[:-1] - 1] & digit[w.starts[1:]] & np.isin(between, [0x2C, 0x2E])
+    inside = digit[w.ends[:-1] - 1] & digit[w.starts[1:]] & np.isin(between, np.frombuffer(b",./:", np.uint8))
     name = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & np.isin(between, [0x20, 0x27, 0x2D])
     joins[1:] = (gap == 1) & (inside | name)
     joins[w.first[:-1][np.diff(w.first) > 0]] = False
@@ -128,8 +133,8 @@ def _unit_hashes() -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa.RecordBatch]:
-    """For each text the canonical hash of every window, and its first word as it
-    stands with its placeholder in the two lowest bits."""
+    """For each text the canonical hash of every window, and the words behind its
+    placeholders in order, each with the placeholder's kind in the two lowest bits."""
     units, size = _unit_hashes(), windows.words
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
@@ -143,18 +148,24 @@ def _windows(batches: Iterator[pa.RecordBatch], windows: Windows) -> Iterator[pa
             left = np.repeat(first[1:], counts) - np.arange(len(hashes))
             inside = left[: len(every)] >= size
             plain = np.concatenate([[0], np.cumsum(kinds == 0)])
-            firsts = (hashes & ~np.uint64(3)) | kinds
+            values = (hashes & ~np.uint64(3)) | kinds
             ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
             known = len(every)
+            if known:
+                held = sliding_window_view(kinds > 0, size)[inside]
+                slots = sliding_window_view(values, size)[inside][held].view(np.int64)
+                counted = np.concatenate([[0], np.cumsum(held.sum(axis=1))])
+            else:
+                slots, counted = np.zeros(0, np.int64), np.zeros(1, np.int64)
             columns = [
-                every[inside].view(np.int64),
-                firsts[:known][inside].view(np.int64),
-                (plain[size:] - plain[:-size])[inside].astype(np.int8) if known else np.zeros(0, np.int8),
+                pa.array(every[inside].view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(counted, pa.int32()), pa.array(slots)),
+                pa.array((plain[size:] - plain[:-size])[inside].astype(np.int8) if known else [], pa.int8()),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").slice(low, high - low)]
-                + [pa.ListArray.from_arrays(ends, pa.array(c)) for c in columns],
-                names=["id", "windows", "firsts", "plain"],
+                + [pa.ListArray.from_arrays(ends, c) for c in columns],
+                names=["id", "windows", "slots", "plain"],
             )
 
 
@@ -162,7 +173,7 @@ def canonical(rows: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     """Windows of every text of (id, text), as arrays."""
     return rows.select("id", "text").mapInArrow(
         partial(_windows, windows=windows),
-        "id long, windows array<long>, firsts array<long>, plain array<tinyint>",
+        "id long, windows array<long>, slots array<array<long>>, plain array<tinyint>",
     )
 
 
@@ -222,14 +233,17 @@ def _literal_matches(
         "size",
         F.col("at").alias("item_at"),
         "window",
+        "words",
         (F.col("words") - F.col("size") + 1).alias("in_item"),
     ).join(known.select("item", "item_id"), "item")
     rows = docs.select(row_key(docs).alias("id"), "text")
     items = _sent(keep(items, "literal"))
-    met = literal(rows, tuple(sizes)).drop("words").join(items, ["size", "window"])
+    texts = literal(rows, tuple(sizes)).withColumnRenamed("words", "text_words")
+    met = texts.join(items, ["size", "window"])
+    longer = (F.col("words") < windows.short) & (F.col("text_words") > F.col("words"))
     lined = met.groupBy(
         F.col("id").alias("key"), "item", "item_id", "in_item",
-        (F.col("at") - F.col("item_at")).alias("diagonal"),
+        (F.col("at") - F.col("item_at")).alias("diagonal"), longer.alias("mention"),
     ).agg(F.count_distinct("item_at").alias("aligned"), F.min("at").alias("first_word"))
     return lined.filter(F.col("aligned") == F.col("in_item")).select(
         "key",
@@ -239,6 +253,7 @@ def _literal_matches(
         F.lit(1.0).alias("coverage"),
         F.lit(True).alias("consistent"),
         "first_word",
+        "mention",
     )
 
 
@@ -254,14 +269,14 @@ def item_windows(benchmark: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     items = canonical(known.select(F.col("item").alias("id"), "text"), windows)
     rows = items.select(
         F.col("id").alias("item"),
-        F.posexplode(F.arrays_zip("windows", "firsts", "plain")).alias("item_at", "w"),
+        F.posexplode(F.arrays_zip("windows", "slots", "plain")).alias("item_at", "w"),
     ).filter(F.col("w.plain") >= windows.plain)
     counts = rows.groupBy("item").agg(F.count("*").alias("in_item"))
     rows = rows.select(
         "item",
         "item_at",
         F.col("w.windows").alias("window"),
-        F.col("w.firsts").alias("item_first"),
+        F.col("w.slots").alias("item_slots"),
     )
     return rows.join(counts, "item").join(known.select("item", "item_id"), "item")
 
@@ -274,7 +289,8 @@ def row_key(docs: DataFrame):
 def matches(
     docs: DataFrame, benchmark: DataFrame, windows: Windows = DEFAULT
 ) -> DataFrame:
-    """Passages found: key, item_id, diagonal, aligned windows, coverage, consistent.
+    """Passages found: key, item_id, diagonal, aligned windows, coverage, consistent,
+    first word, and whether it is but a mention.
 
     The benchmark's windows are stored and broadcast if they are few; else both sides
     are shuffled. Matches are combined map-side, so a passage
@@ -283,18 +299,18 @@ def matches(
     usable = keep(item_windows(benchmark, windows), "items")
     rows = docs.select(row_key(docs).alias("id"), "text")
     zipped = canonical(rows, windows).select(
-        "id", F.posexplode(F.arrays_zip("windows", "firsts")).alias("at", "w")
+        "id", F.posexplode(F.arrays_zip("windows", "slots")).alias("at", "w")
     )
     found = zipped.select(
         F.col("id").alias("key"), "at", F.col("w.windows").alias("window"),
-        F.col("w.firsts").alias("first"),
+        F.col("w.slots").alias("slots"),
     ).join(_sent(usable), "window")
-    placeholder = F.col("item_first").bitwiseAND(F.lit(3)) > 0
-    slot = F.when(placeholder, F.struct("item_first", "first"))
+    # Windows of one hash have their placeholders in the same places.
+    values = F.arrays_zip(F.col("item_slots").alias("item_value"), F.col("slots").alias("value"))
     lined = found.groupBy(
         "key", "item", "item_id", "in_item", (F.col("at") - F.col("item_at")).alias("diagonal")
     ).agg(
-        F.collect_set(slot).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(values))).alias("slots"),
         # Rows of equal key have the same places.
         F.collect_set("item_at").alias("places"),
         F.min("at").alias("first_word"),
@@ -333,6 +349,7 @@ def matches(
         (F.col("line.aligned") / F.col("in_item")).alias("coverage"),
         "line.consistent",
         "line.first_word",
+        F.lit(False).alias("mention"),
     )
     whole = _literal_matches(docs, benchmark, usable, windows)
     return aligned if whole is None else aligned.union(whole)
@@ -340,32 +357,44 @@ def matches(
 
 def _one_value_each(slots: Column) -> Column:
     """Whether equal values of the item have equal values in the text."""
-    items = F.array_distinct(F.transform(slots, lambda s: s["item_first"]))
+    items = F.array_distinct(F.transform(slots, lambda s: s["item_value"]))
     return F.size(items) == F.size(slots)
 
 
+def _shows(windows: Windows) -> Column:
+    enough = (F.col("aligned") >= windows.aligned) | (F.col("coverage") >= windows.share)
+    return enough & F.col("consistent") & ~F.col("mention")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, windows: Windows = DEFAULT
 ) -> DataFrame:
     """Passages that show an item, as in ``matches``."""
-    enough = (F.col("aligned") >= windows.aligned) | (F.col("coverage") >= windows.share)
-    return matches(docs, benchmark, windows).filter(enough & F.col("consistent"))
+    return matches(docs, benchmark, windows).filter(_shows(windows))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
-    """One row per document: whether an item stands in it, which ones, how much."""
-    per_key = contaminated(docs, benchmark, windows).groupBy("key").agg(
+    """One row per document: whether it shows an item and how much of it; ``items`` that
+    stand in it, and those among them that are but ``mentions``, which don't make it
+    contaminated."""
+    found = matches(docs, benchmark, windows).withColumn("shows", _shows(windows))
+    shown = F.col("shows")
+    per_key = found.filter("shows OR mention").groupBy("key").agg(
+        F.max("shows").alias("contaminated"),
         F.array_sort(F.collect_set("item_id")).alias("items"),
-        F.max("aligned").alias("aligned"),
-        F.max("coverage").alias("coverage"),
+        F.max(F.when(shown, F.col("aligned"))).alias("aligned"),
+        F.max(F.when(shown, F.col("coverage"))).alias("coverage"),
+        F.array_sort(F.collect_set(F.when(F.col("mention"), F.col("item_id")))).alias("mentions"),
     )
     rows = docs.select("doc_id", row_key(docs).alias("key")).join(per_key, "key", "left")
+    none = F.array().cast("array<bigint>")
     return rows.select(
         "doc_id",
-        F.col("items").isNotNull().alias("contaminated"),
-        F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
+        F.coalesce("contaminated", F.lit(False)).alias("contaminated"),
+        F.coalesce("items", none).alias("items"),
         F.coalesce("aligned", F.lit(0)).cast("long").alias("aligned"),
         F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
+        F.coalesce("mentions", none).alias("mentions"),
     )
 
 

@@ -111,3 +111,32 @@ def test_short_items_and_items_of_numbers_are_found_as_they_stand(spark):
     found = {r["doc_id"]: r["items"] for r in dc.report(docs, items).collect()}
     assert found == {0: [1], 1: [2], 2: [], 3: [], 4: [], 5: [3], 6: []}
     assert {r["doc_id"] for r in dc.clean(docs, items).collect()} == {2, 3, 4, 6}
+
+
+def found(spark, items, texts):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: r for r in dc.report(docs, benchmark).collect()}
+
+
+def test_every_slot_of_a_window_is_compared(spark):
+    item = (
+        "the long walk home starts with 15 small steps over the old stone bridge and then "
+        "it ends behind the mill after exactly 15"
+    )
+    other = item[:-2] + "92"
+    asked_anew = item.replace("15", "40")
+    got = found(spark, [item], [item, other, asked_anew])
+    # The last value differs from the first: only the windows before it stay consistent.
+    assert got[0]["contaminated"] and got[2]["contaminated"]
+    assert got[0]["aligned"] == got[2]["aligned"] > 0
+    assert not got[1]["contaminated"]
+
+
+def test_very_short_items_are_mentions_within_longer_texts(spark):
+    got = found(spark, ["Paris", "Who wrote it", "Two words"], [
+        "He said paris is nice", "Paris", "ask who wrote it today", "two words", "some two words more", None, "",
+    ])
+    assert [got[i]["contaminated"] for i in range(7)] == [False, True, True, True, False, False, False]
+    assert [got[i]["mentions"] for i in range(7)] == [[0], [], [], [], [2], [], []]
+    assert got[2]["items"] == [1]
