@@ -60,10 +60,12 @@ class Windows:
     aligned: int = 8
     share: float = 0.6
     drift: int = 3
-    short: int = 3
+    short: int = 1
 
 
 DEFAULT = Windows()
+#: Of the query and the pipeline: items of one or two words are mentions in longer texts.
+PRODUCTION = Windows(short=3)
 
 
 def _kinds(w: Words, units: np.ndarray) -> np.ndarray:

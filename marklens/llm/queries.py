@@ -64,7 +64,7 @@ def op2_union_free_wrappers(spark, sf_dir):
 @query
 def op3_template_windows(spark, sf_dir):
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return decontamination.report(docs, benchmark)
+    return decontamination.report(docs, benchmark, decontamination.PRODUCTION)
 
 
 @query

@@ -116,7 +116,7 @@ def test_short_items_and_items_of_numbers_are_found_as_they_stand(spark):
 def found(spark, items, texts):
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return {r["doc_id"]: r for r in dc.report(docs, benchmark).collect()}
+    return {r["doc_id"]: r for r in dc.report(docs, benchmark, dc.PRODUCTION).collect()}
 
 
 def test_every_slot_of_a_window_is_compared(spark):
