@@ -123,13 +123,15 @@ def signatures(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
 
 
 def _neighbours(
-    batches: Iterator[pa.RecordBatch], forest: Forest, reach: int, estimate: bool
+    batches: Iterator[pa.RecordBatch], forest: Forest, reach: int, estimate: bool, once: bool
 ) -> Iterator[pa.RecordBatch]:
     """Pairs of components that stand within reach in the sorted order.
 
     ``candidate``: a pair whose set sizes allow a link. ``dense``: the component, without
     b, has a neighbour at full reach, so there may be more beyond. ``estimate``: signatures are there; two
-    single sets far below the limit by them are left out. The last rows of a batch
+    single sets far below the limit by them are left out. ``once``: such a pair is
+    told only in the first tree where it shares a region; were it beyond reach there,
+    both sets would be dense or at a border. The last rows of a batch
     are carried over to the next one. Rows within reach of the partition's border
     come with their region as ``edge`` and without b.
     """
@@ -168,8 +170,13 @@ def _neighbours(
             fresh &= ids[a] != ids[b]
             if estimate:
                 single = fresh & (members[a] == 1) & (members[b] == 1)
-                alike = (columns[6][a[single]] == columns[6][b[single]]).mean(axis=1)
-                fresh[single] = alike >= forest.estimate
+                same = columns[6][a[single]] == columns[6][b[single]]
+                likely = same.mean(axis=1) >= forest.estimate
+                if once:
+                    paths = same.reshape(len(same), forest.trees, forest.depth)
+                    met = paths[:, :, : forest.least].all(axis=2)
+                    likely &= met.argmax(axis=1) == trees[a[single]]
+                fresh[single] = likely
             if step == reach:
                 full = np.unique(np.concatenate([ids[a], ids[b]]))
                 yield _found(full, None, False, True)
@@ -243,7 +250,9 @@ def _perhaps(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return found.withColumn("byte", byte).filter(is_set).select("row.*")
 
 
-def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = False) -> DataFrame:
+def neighbours(
+    rows: DataFrame, reach: int, forest: Forest, estimate: bool = False, once: bool = False
+) -> DataFrame:
     """Pairs (a < b) of neighbouring components, as (a, b, candidate, dense, edge, part).
 
     The sort splits a dense region over as many partitions as it needs.
@@ -253,7 +262,7 @@ def neighbours(rows: DataFrame, reach: int, forest: Forest, estimate: bool = Fal
     order = ("tree", "path", "component")
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     pairs = ordered.mapInArrow(
-        partial(_neighbours, forest=forest, reach=reach, estimate=estimate),
+        partial(_neighbours, forest=forest, reach=reach, estimate=estimate, once=once),
         "a long, b long, candidate boolean, dense boolean, edge binary, part int",
     )
     return pairs.groupBy("a", "b", "edge", "part").agg(
@@ -303,12 +312,14 @@ def region_pairs(
     reach: int,
     forest: Forest = DEFAULT,
     sets: DataFrame | None = None,
+    first_tree: bool = False,
 ) -> DataFrame:
     """Components that meet in a region of any tree, within reach.
 
     Regions with one component are left out by their smallest and greatest
     component; in the others each component has one row, with the range of its set
-    sizes there. ``sets`` gives signatures to estimate likeness by.
+    sizes there. ``sets`` gives signatures to estimate likeness by. ``first_tree``: a
+    pair of single sets comes from one tree instead of all that bring it together.
     """
     rows = keep(_with_component(rows, labels), "rows")
     mixed = (
@@ -340,7 +351,7 @@ def region_pairs(
         known = _perhaps(sets.select("doc_id", "signature"), "doc_id", once.select("doc_id"))
         known = known.groupBy("doc_id").agg(F.first("signature").alias("signature"))
         once = once.join(known, "doc_id")
-    return neighbours(once.drop("doc_id"), reach, forest, sets is not None)
+    return neighbours(once.drop("doc_id"), reach, forest, sets is not None, first_tree)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
@@ -526,7 +537,8 @@ def near_duplicates(docs: DataFrame, forest: Forest = DEFAULT) -> DataFrame:
     rows = keep(shared_regions(sets, forest), "shared")
     asked, changed = None, None
     for reach in (forest.reach, forest.reach * forest.widening):
-        pairs = keep(region_pairs(rows, labels, reach, forest, sets), "pairs")
+        # With little reach every tree counts; later one tells each pair.
+        pairs = keep(region_pairs(rows, labels, reach, forest, sets, asked is not None), "pairs")
         new = pairs.filter("candidate").select("a", "b")
         if asked is not None:
             # What was compared before has no link, unless a side has grown since.
