@@ -156,3 +156,15 @@ def test_partition_border_marks_what_it_cuts(spark):
     missed = {(a, b) for a in range(1, 9) for b in range(a + 1, 9)} - seen
     marked = {r["a"] for r in neardup.crowded(pairs).collect()}
     assert missed and {x for pair in missed for x in pair} <= marked and 9 not in marked
+
+
+def test_one_tree_tells_what_all_trees_tell(spark, families):
+    docs = spark.createDataFrame(families, "doc_id long, text string").dropDuplicates(["text"])
+    sets = neardup.keep(neardup.signatures(docs).filter("digest IS NOT NULL"), "sets")
+    labels = spark.createDataFrame([], "id long, label long")
+    rows = neardup.shared_regions(sets)
+    got = [
+        {(r["a"], r["b"]) for r in neardup.region_pairs(rows, labels, 4096, sets=sets, first_tree=x).filter("candidate").collect()}
+        for x in (False, True)
+    ]
+    assert got[0] == got[1] and len(got[0]) > 100
