@@ -16,10 +16,11 @@ vocabulary and is there in every task, so its side of the join is looked up by i
 At scale: a word is sent once per block, however frequent, and lists are packed, so
 Spark handles a row per block and part. Texts are shuffled once, packed. A part is
 held by one task, so their number has to grow with the number of distinct words, as
-that of the shuffle partitions does. Texts are split twice, in step 1 and for step 3; a block has the number of
-its scan task and its place in that, with a digest of its rows, so blocks that do
-not meet again (rows that come in another order when computed again) are noticed.
-Their words are then encoded in step 3.
+that of the shuffle partitions does. Texts are split twice, in step 1 and for step 3;
+a block has the number of its partition of the texts and its place in that, with a
+digest of its rows, so blocks that do not meet again (rows that come in another order
+when computed again) are noticed. Their words are then encoded in step 3. The number
+is a column, as texts and answers are tasks of one stage and numbered through there.
 
 Edge cases: a null text reads as empty; an empty text has no ids and decodes to
 an empty text; repeated rows stay; a word of any length is encoded whole; a text
@@ -38,7 +39,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,11 +102,11 @@ def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return words, np.searchsorted(starts, at[1:])
 
 
-def _name(data: np.ndarray, offsets: np.ndarray, number: int) -> bytes:
+def _name(data: np.ndarray, offsets: np.ndarray, task: int, number: int) -> bytes:
     """Of a block: its scan task, its place in that, and a digest of its texts."""
     seen = blake2b(data[offsets[0] : offsets[-1]], digest_size=8)
     seen.update((offsets - offsets[0]).tobytes())
-    return f"{TaskContext.get().partitionId()}-{number}-{seen.hexdigest()}".encode()
+    return f"{task}-{number}-{seen.hexdigest()}".encode()
 
 
 _WEIGHTS = mix(np.arange(1, 257, dtype=np.uint64))
@@ -141,8 +141,10 @@ def _blocks(
     number = 0
     for batch in batches:
         data, offsets = buffers(batch.column("text"))
+        rows = batch.select(["doc_id", "text"])
         for low, high in chunks(offsets, size):
-            yield batch.slice(low, high - low), _name(data, offsets[low : high + 1], number)
+            name = _name(data, offsets[low : high + 1], batch.column("task")[low].as_py(), number)
+            yield rows.slice(low, high - low), name
             number += 1
 
 
@@ -328,18 +330,28 @@ def _parts(docs: DataFrame) -> int:
     return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The texts with the number of their partition, which a union leaves as it is."""
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("task"))
+
+
 def word_ids(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every distinct word encoded once, its ids packed for the blocks that have it."""
     ask = partial(_ask, size=block_bytes, parts=_parts(docs))
-    asked = docs.select("doc_id", "text").mapInArrow(ask, _ASKED)
+    asked = _numbered(docs).mapInArrow(ask, _ASKED)
     dealt = asked.repartition("part").sortWithinPartitions("part")
     return dealt.mapInArrow(partial(_answer, spec=spec), _ROWS)
 
 
+def block_rows(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The answers to every block and its packed texts, under the same name."""
+    texts = _numbered(docs).mapInArrow(partial(_send, size=block_bytes), _ROWS)
+    return word_ids(docs, spec, block_bytes).unionByName(texts)
+
+
 def encode(docs: DataFrame, spec: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Token ids of every text, as (doc_id, ids)."""
-    texts = docs.select("doc_id", "text").mapInArrow(partial(_send, size=block_bytes), _ROWS)
-    rows = word_ids(docs, spec, block_bytes).unionByName(texts)
+    rows = block_rows(docs, spec, block_bytes)
     rows = rows.withColumn("late", F.col("texts").isNotNull())
     met = rows.repartition("block").sortWithinPartitions("block", "late", "part").drop("late")
     place = partial(_place, spec=spec, parts=_parts(docs))

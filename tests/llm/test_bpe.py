@@ -78,6 +78,18 @@ def test_blocks_meet_by_word(spark, tokenizer):
     assert all(ids[i] == tokenizer.encode(t, add_special_tokens=False).ids for i, t in rows)
 
 
+@pytest.mark.parametrize("size", [40, 8 << 20])
+def test_texts_meet_the_answers_to_their_block(spark, size):
+    """Both are told the same name, though the tasks of a union have other numbers."""
+    spec = bpe.load_spec(vocabulary_path())
+    rows = [(i, f"common word{i % 7} own{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    met = [(r["block"], r["part"], r["texts"]) for r in bpe.block_rows(docs, spec, size).collect()]
+    answered = {block for block, part, _ in met if part is not None}
+    sent = [block for block, _, texts in met if texts is not None]
+    assert len(sent) == len(set(sent)) >= 6 and set(sent) == answered
+
+
 def test_a_block_without_all_answers_is_encoded_in_place(tokenizer):
     """As when rows come in another order when they are computed again."""
     import pyarrow as pa
