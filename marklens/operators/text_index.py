@@ -8,6 +8,10 @@ their postings alone, and lets the search itself confirm the records that have a
 A search without such a trigram (a short text, a choice of alternatives) reads all
 records. Names with characters beyond ASCII are candidates of every search, since
 letters of different length may be equal there when case is ignored.
+
+At scale: a task sorts or groups about ``PER_TASK`` postings, so their number grows with
+the table and a task's memory does not. The number is set, since postings shrink so much
+when they are packed that partitions of equal bytes would hold many millions.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from marklens.spec import DEFAULT_SPEC, ScorecardSpec
 
 #: Postings read for one search.
 RAREST = 4
+#: Postings that one task sorts or groups.
+PER_TASK = 1_000_000
 _BEYOND = ""  # the entry of names that are always candidates
 _POSTINGS, _COUNTS = "postings", "counts"
 
@@ -39,10 +45,24 @@ def postings(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> DataFrame:
     return df.select(spec.key, F.explode(F.expr(grams)).alias("gram"))
 
 
+def _tasks(postings: int | None) -> int:
+    return max(1, -(-(postings or 0) // PER_TASK))
+
+
+def most_postings(df: DataFrame, spec: ScorecardSpec = DEFAULT_SPEC) -> int:
+    """A bound on the table's postings, from the lengths of names and keys alone."""
+    lengths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in (spec.name, spec.key)]
+    per_record = lengths[0] + lengths[1] + F.lit(1)
+    return df.agg(F.sum(per_record)).first()[0] or 0
+
+
 def build(df: DataFrame, path: str, spec: ScorecardSpec = DEFAULT_SPEC) -> None:
     """Write the index of a record table. Keys join the sort, so that a trigram that
-    most names have is spread over files."""
-    rows = postings(df, spec).repartitionByRange("gram", spec.key)
+    most names have is spread over files. Records are dealt to as many tasks first: a
+    shuffle to many tasks holds what a task sends, which a scan has too much of."""
+    tasks = _tasks(most_postings(df, spec))
+    dealt = df.select(spec.key, spec.name).repartition(tasks, spec.key, spec.name)
+    rows = postings(dealt, spec).repartitionByRange(tasks, "gram", spec.key)
     rows.sortWithinPartitions("gram", spec.key).write.parquet(f"{path}/{_POSTINGS}")
     written = df.sparkSession.read.parquet(f"{path}/{_POSTINGS}")
     counts = written.groupBy("gram").agg(F.count("*").alias("records"))
@@ -132,12 +152,21 @@ def candidate_keys(
     spark: SparkSession, path: str, grams: set[str], spec: ScorecardSpec = DEFAULT_SPEC
 ) -> DataFrame:
     """Keys of the records that have all of the rarest trigrams, and those that are
-    always candidates."""
+    always candidates.
+
+    A key's few postings meet unreduced: a frequent trigram's file is small but names
+    so many keys that a scan task could not group them. The last shuffle sends the
+    candidates alone, so that few of them can be broadcast.
+    """
     counts = spark.read.parquet(f"{path}/{_COUNTS}")
-    known = {r["gram"]: r["records"] for r in counts.filter(F.col("gram").isin(*sorted(grams))).collect()}
+    asked = F.col("gram").isin(*sorted(grams), _BEYOND)
+    known = {r["gram"]: r["records"] for r in counts.filter(asked).collect()}
     rarest = sorted(grams, key=lambda g: (known.get(g, 0), g))[:RAREST]
     found = spark.read.parquet(f"{path}/{_POSTINGS}").filter(F.col("gram").isin(*rarest, _BEYOND))
-    per_key = found.groupBy(spec.key).agg(
-        F.count_if(F.col("gram") != _BEYOND).alias("n"), F.max(F.col("gram") == _BEYOND).alias("always")
+    tasks = _tasks(sum(known.get(g, 0) for g in (*rarest, _BEYOND)))
+    met = found.select(spec.key, (F.col("gram") == _BEYOND).alias("beyond")).repartition(tasks, spec.key)
+    per_key = met.groupBy(spec.key).agg(
+        F.count_if(~F.col("beyond")).alias("n"), F.max("beyond").alias("always")
     )
-    return per_key.filter((F.col("n") == len(rarest)) | F.col("always")).select(spec.key)
+    candidates = per_key.filter((F.col("n") == len(rarest)) | F.col("always"))
+    return candidates.select(spec.key).repartition(spec.key)

@@ -66,3 +66,17 @@ def test_only_postings_of_the_query_are_read(indexed):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "postings" in plan and "In(gram, [" in plan
     assert {r.Student_ID for r in keys.collect()} >= {101}
+
+
+def test_a_task_has_few_postings(spark, tmp_path, monkeypatch):
+    """Tasks grow in number with the table, to sort its postings as to group them."""
+    monkeypatch.setattr(text_index, "PER_TASK", 100, raising=False)
+    df = records(spark, [record(i, name=f"Customer#{i:06d}") for i in range(1000, 1200)])
+    path = str(tmp_path / "i")
+    text_index.build(df, path)
+    files = spark.read.parquet(f"{path}/postings").groupBy("_metadata.file_path").count().collect()
+    assert len(files) > 20 and max(r["count"] for r in files) <= 400
+    keys = text_index.candidate_keys(spark, path, {"cus", "ust", "#00", "101"})
+    assert sorted(r.Student_ID for r in keys.collect()) == sorted([1101, *range(1010, 1020)])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange") > plan.rindex("Aggregate")  # nothing is grouped where files are read
