@@ -142,11 +142,16 @@ def train_and_hold_out(
     The split depends on the keys alone, so it is computed again where it is used.
     ``balanced`` weights the categories so that a rare one counts as much as others.
     With a ``store`` folder, a tree that was trained there on the same records and
-    with the same options is loaded instead.
+    with the same options is loaded instead; the records and their split are written
+    there and read where they are used, as every job would derive them again.
     """
     categories = spec.support.categories
+    if store:
+        labelled = _written(labelled, store)
     complete = labelled.filter(is_complete(spec))
     divided = stratified_split(complete, SUPPORT, spec.key, categories, share)
+    if store:
+        divided = _written(divided, store)
     training = divided.filter(~F.col(IS_TEST)).drop(IS_TEST)
     if store:
         options = {"share": share, "balanced": balanced, **tree_options}
@@ -158,6 +163,12 @@ def train_and_hold_out(
     return HoldOut(tree, training, predict(tree, held_out, spec), left_out)
 
 
+def _written(df: DataFrame, store: str) -> DataFrame:
+    path = f"{store}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fit(
     training: DataFrame, spec: ScorecardSpec, balanced: bool, **tree_options
 ) -> DecisionTreeClassificationModel:

@@ -129,3 +129,17 @@ def test_suggestion_rows(spark):
     assert [(r.Student_ID, r.Position) for r in rows] == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)]
     assert rows[3].Suggestion.startswith("Review the topics")
     assert DEFAULT_SPEC.support.categories[0] == rows[3][SUPPORT]
+
+
+def test_records_are_derived_once_for_a_stored_tree(spark, tmp_path):
+    """What is known of the tree comes from the rows written beside it."""
+    store = str(tmp_path / "trees")
+    labelled = _core_labelled(spark, SF)
+    hold_out = model.train_and_hold_out(labelled, store=store, balanced=True)
+    for rows in (hold_out.training, hold_out.predicted, hold_out.left_out):
+        files = rows.inputFiles()
+        assert files and all(store in f for f in files)
+    plain = model.train_and_hold_out(labelled, balanced=True)
+    assert plain.training.exceptAll(hold_out.training).isEmpty()
+    assert hold_out.training.count() == plain.training.count()
+    assert hold_out.predicted.count() == plain.predicted.count()
